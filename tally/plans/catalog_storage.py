@@ -1,3 +1,101 @@
-"""Registered storage queries."""
+"""Registered storage queries (SRC-3/4, SNK-1/2, SET-1).  These write to the shared folder
+(``spark.checkpoint.dir``) and return what a reader sees afterwards."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tally import constants as K
+from tally.functions.columns import MONEY_SUM
+from tally.operators import reports as R
+from tally.plans.registry import query
+from tally.session import scratch_path
+from tally.sources import storage as S
+
+HASH = "CAST(('0x' || substr(md5({x}), 1, 8)) AS BIGINT)"
+
+
+def _gen_sql():
+    i = "(o_orderkey + 1)"
+    h = HASH.format(x="t.transaction_id")
+    return f"""
+    SELECT md5('e:' || t.transaction_id || ':' || CAST(l.k AS VARCHAR)) AS entry_id, t.transaction_id,
+           md5('w:' || CAST({HASH.format(x="t.transaction_id || l.salt")} % 200000 AS VARCHAR)) AS wallet_id,
+           l.type, CAST(CAST(CAST({h} % 1000000 AS DECIMAL(19,4)) / 100 + 1 AS DECIMAL(19,4)) AS DOUBLE) AS amount,
+           ['USD', 'VND', 'EUR'][1 + {h} % 3] AS currency, t.created_at, t.status,
+           strftime(t.created_at, '%Y-%m') AS posting_month
+    FROM (SELECT md5('txn:' || CAST({i} AS VARCHAR)) AS transaction_id,
+                 CASE WHEN ({i} * 2654435761) % 100 < 85 THEN 'SETTLED'
+                      WHEN ({i} * 2654435761) % 100 < 95 THEN 'PENDING' ELSE 'REVERSED' END AS status,
+                 TIMESTAMP '2024-07-01 00:00:00' + to_months(CAST({i} % 24 AS INTEGER))
+                   + to_days(CAST({i} * 37 % 28 AS INTEGER)) + to_seconds({i} * 131 % 86400) AS created_at
+          FROM orders) t,
+         (VALUES (1, 'DEBIT', 'd'), (2, 'CREDIT', 'c')) l(k, type, salt)"""
+
+
+@query("generate_ledger", _gen_sql())
+def _generate_ledger(L):
+    """SRC-3: the benchmark generator driven by the order keys (grows with the data)."""
+    headers, entries = S.generate_ledger(L.raw("orders").select((F.col("o_orderkey") + 1).alias("i")))
+    return entries.join(headers.select("transaction_id", "status"), "transaction_id")
+
+
+@query("flat_to_partitioned", """
+    SELECT posting_month, COUNT(*) AS rows, CAST(SUM(amount) AS DOUBLE) AS amount FROM entries GROUP BY posting_month""")
+def _flat_to_partitioned(L):
+    """SRC-4: flat entries rewritten month-partitioned, read back per month."""
+    flat = scratch_path(L.spark, "entries-flat")
+    L.entries.drop("posting_month").write.mode("overwrite").parquet(flat)
+    part = S.flat_to_partitioned(L.spark, flat, scratch_path(L.spark, "entries-part"))
+    return part.groupBy("posting_month").agg(F.count(F.lit(1)).alias("rows"),
+                                             F.sum("amount").cast(MONEY_SUM).alias("amount"))
+
+
+@query("partition_route", f"""
+    SELECT CASE WHEN posting_month BETWEEN '{K.FIRST_PARTITION_MONTH}' AND '{K.LAST_PARTITION_MONTH}'
+                THEN posting_month ELSE '{K.DEFAULT_PARTITION}' END AS entry_partition, COUNT(*) AS rows
+    FROM entries GROUP BY 1""")
+def _partition_route(L):
+    """SNK-1: entries routed to their month or to DEFAULT, read back per partition."""
+    path = scratch_path(L.spark, "entries-routed")
+    S.write_routed(L.entries.drop("posting_month"), path)
+    return L.spark.read.parquet(path).groupBy("entry_partition").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("rollup_refresh", """
+    SELECT e.posting_month AS month, e.wallet_id, e.currency, CAST(SUM(e.amount) AS DOUBLE) AS settled_total,
+           COUNT(*) AS entry_count
+    FROM entries e JOIN transactions t ON t.transaction_id = e.transaction_id
+    WHERE t.status = 'SETTLED'
+    GROUP BY e.posting_month, e.wallet_id, e.currency""")
+def _rollup_refresh(L):
+    """SNK-2: a stale month in the rollup is replaced by a refresh; other months untouched."""
+    path = scratch_path(L.spark, "rollup")
+    good = R.monthly_rollup(L.entries, L.transactions).filter(F.col("month") != K.REPORT_MONTH)
+    stale = (L.entries.filter(F.col("posting_month") == K.REPORT_MONTH)       # every status: wrong on purpose
+             .groupBy(F.col("posting_month").alias("month"), "wallet_id", "currency")
+             .agg(F.sum("amount").cast(MONEY_SUM).alias("settled_total"), F.count(F.lit(1)).alias("entry_count")))
+    S.write_by_month(good.unionByName(stale), path, month_col="month", key_col="wallet_id")
+    refreshed = R.monthly_rollup(L.entries, L.transactions, [K.REPORT_MONTH])
+    S.overwrite_months(refreshed, path)
+    return L.spark.read.parquet(path)
+
+
+@query("result_equivalence", f"""
+    SELECT 'flat_minus_partitioned' AS direction, CAST(0 AS BIGINT) AS rows
+    UNION ALL SELECT 'partitioned_minus_flat', 0
+    UNION ALL SELECT 'groups', COUNT(*) FROM (
+      SELECT e.wallet_id, e.currency FROM entries e JOIN transactions t ON t.transaction_id = e.transaction_id
+      WHERE t.status = 'SETTLED' AND e.posting_month = '{K.REPORT_MONTH}'
+      GROUP BY e.wallet_id, e.currency)""")
+def _result_equivalence(L):
+    """SET-1: the report from a flat table and from the partitioned table are identical (exceptAll both ways)."""
+    flat_path, part_path = scratch_path(L.spark, "eq-flat"), scratch_path(L.spark, "eq-part")
+    L.entries.write.mode("overwrite").parquet(flat_path)
+    S.write_by_month(L.entries, part_path)
+    flat = R.settlement_report(L.spark.read.parquet(flat_path), L.transactions, K.REPORT_MONTH)
+    part = R.settlement_report(L.spark.read.parquet(part_path), L.transactions, K.REPORT_MONTH)
+    rows = [("flat_minus_partitioned", flat.exceptAll(part).count()),
+            ("partitioned_minus_flat", part.exceptAll(flat).count()),
+            ("groups", flat.count())]
+    return L.spark.createDataFrame(rows, "direction string, rows bigint")
