@@ -272,6 +272,8 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
         return body
     ctes = ",\n".join(f"{n} AS ({views[n]})" for n in order)
     stripped = body.lstrip()
+    if stripped[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{stripped[14:]}"
     if stripped[:4].upper() == "WITH":
         return f"WITH {ctes},\n{stripped[4:]}"
     return f"WITH {ctes}\n{body}"
