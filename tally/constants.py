@@ -86,3 +86,12 @@ IDEMPOTENCY_TTL_HOURS = 24
 LATENCY_SLO_MS = 150
 SETTLE_SLO_MINUTES = 15
 PENDING_ALERT_MINUTES = 15
+
+# ---------------------------------------------------------------------------
+# Streaming horizons.
+# ---------------------------------------------------------------------------
+ACTIVITY_DELAY = "10 minutes"                   # watermark delay on the activity stream
+LEDGER_DELAY = "1 day"                          # watermark delay on the posting stream
+LATE_GRACE_DAYS = 1                             # a month closes one day after it ends
+ARRIVAL_BATCHES = 4                             # postings arrive in this many key-ordered runs
+ORPHAN_BOUND = "1 hour"                         # an outcome later than this counts as none

@@ -204,8 +204,12 @@ class Ledger:
                         "a", "fee", "rate", "b", "created_at"))
 
     @staticmethod
-    def legs_of(movements: DataFrame) -> DataFrame:
-        """Expand each movement into its balanced legs (lateral VALUES -> inline of structs)."""
+    def legs_of(movements: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+        """Expand each movement into its balanced legs (lateral VALUES -> inline of structs).
+
+        ``carry`` names header columns kept on every leg (e.g. the status the
+        posting stream needs), so no join back to the headers is required.
+        """
         def leg(n, typ, wallet, amount, ccy):
             return F.struct(F.lit(n).alias("leg"), F.lit(typ).alias("type"), wallet.alias("wallet_id"),
                             amount.cast(MONEY).alias("amount"), ccy.alias("currency"))
@@ -220,11 +224,11 @@ class Ledger:
             leg(4, "DEBIT", F.concat(F.lit("FX-"), "q"), F.col("b"), F.col("q")),
             leg(5, "CREDIT", F.concat(F.lit("W-"), "payee"), F.col("b"), F.col("q")))
         return (movements
-                .select("transaction_id", "o_orderkey", "created_at",
+                .select("transaction_id", "o_orderkey", "created_at", *carry,
                         F.inline(F.when(F.col("txn_type") == "exchange", fx).otherwise(same)))
                 .select(F.concat("transaction_id", F.lit("-"), "leg").alias("entry_id"),
                         "transaction_id", "wallet_id", "type", "amount", "currency", "created_at",
-                        posting_month("created_at").alias("posting_month"), "leg", "o_orderkey"))
+                        posting_month("created_at").alias("posting_month"), "leg", "o_orderkey", *carry))
 
     @cached_property
     def entries_with_keys(self) -> DataFrame:
