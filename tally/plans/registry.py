@@ -54,6 +54,7 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    _load_all()
     configure(spark)
     return present(REGISTRY[key].build(Ledger(spark, sf_dir)))
 
