@@ -16,18 +16,14 @@ State is bounded by watermarks or event-time timers everywhere.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
+from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
-                                                      StatefulProcessorHandle, TimerValues)
 
 from tally import constants as K
 from tally.functions.columns import MONEY_SUM, ms_interval, signed_amount
 from tally.session import scratch_path
+from tally.streaming.state_ops import ClaimBuckets, StuckPending
 
 US_PER_HOUR = 3_600_000_000
 MS_PER_MINUTE = 60_000
@@ -89,42 +85,19 @@ def attempt_documents(events: DataFrame) -> DataFrame:
 
 CLAIM_OUT = ("request_id string, caller_id string, idempotency_key string, event_id long, event_type string, "
              "at_us long, latency_ms long, verdict string, transaction_id string")
-CLAIM_STATE = "claim_until_us long, claim_txn string"
 
 
-def _claim_requests(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """First claim wins for 24 h from the claim; a later request inside that horizon replays it.
+def claim_requests(events: DataFrame, delay: str = K.ACTIVITY_DELAY, buckets: int | None = None) -> DataFrame:
+    """STR-2: per-(caller, key) idempotency claims with a 24-hour horizon, one verdict per request.
 
-    Rows of one (caller, key) in this micro-batch are put in (time, id) order;
-    the state holds only the live claim, and an event-time timeout at its
-    expiry removes it, so state stays proportional to claims of the last 24 h.
+    Keys are grouped into ``buckets`` hash buckets (default: 8 per shuffle
+    partition) so one Python call handles many keys; the claim state itself
+    is per key in RocksDB and swept by event-time timers.
     """
-    if state.hasTimedOut:
-        state.remove()
-        return
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["at_us", "event_id"], kind="stable")
-    until, txn = state.get if state.exists else (None, None)
-    ttl = K.IDEMPOTENCY_TTL_HOURS * US_PER_HOUR
-    verdicts, txns = [], []
-    for at, own in zip(pdf["at_us"].tolist(), pdf["transaction_id"].tolist()):
-        if until is None or at >= until:
-            until, txn = at + ttl, own
-            verdicts.append("CLAIMED")
-        else:
-            verdicts.append("REPLAY")
-        txns.append(txn)
-    pdf = pdf.assign(verdict=verdicts, transaction_id=txns)
-    if until // 1000 > state.getCurrentWatermarkMs():
-        state.update((until, txn))
-        state.setTimeoutTimestamp(until // 1000)
-    else:
-        state.remove()
-    yield pdf[["request_id", "caller_id", "idempotency_key", "event_id", "event_type", "at_us", "latency_ms",
-               "verdict", "transaction_id"]]
-
-
-def claim_requests(events: DataFrame, delay: str = K.ACTIVITY_DELAY) -> DataFrame:
-    """STR-2: per-(caller, key) idempotency claims with a 24-hour horizon, one verdict per request."""
+    spark = events.sparkSession
+    use_rocksdb_state(spark)
+    if buckets is None:
+        buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     req = (events.filter(F.col("event_type").isin("purchase", "click"))
            .withWatermark("ts", delay)
            .select(F.concat(F.lit("req-"), "event_id").alias("request_id"),
@@ -132,10 +105,11 @@ def claim_requests(events: DataFrame, delay: str = K.ACTIVITY_DELAY) -> DataFram
                    F.col("props").alias("idempotency_key"), "event_id", "event_type",
                    F.unix_micros("ts").alias("at_us"),
                    F.floor(F.col("value")).cast("bigint").alias("latency_ms"),
-                   F.concat(F.lit("T"), "event_id").alias("transaction_id"), "ts"))
-    return (req.groupBy("caller_id", "idempotency_key")
-            .applyInPandasWithState(_claim_requests, CLAIM_OUT, CLAIM_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout)
+                   F.concat(F.lit("T"), "event_id").alias("transaction_id"))
+           .withColumn("bucket", F.pmod(F.xxhash64("caller_id", "idempotency_key"), F.lit(buckets))))
+    processor = ClaimBuckets(K.IDEMPOTENCY_TTL_HOURS * US_PER_HOUR, 3_600_000)
+    return (req.groupBy("bucket")
+            .transformWithStateInPandas(processor, CLAIM_OUT, "append", "EventTime")
             .withColumn("created_at", F.timestamp_micros("at_us")))
 
 
@@ -249,58 +223,13 @@ def orphan_attempts(docs: DataFrame, bound: str = "1 hour", delay: str = K.ACTIV
 STUCK_OUT = "request_id string, caller_id string, received_at_us long, alert_at_ms long"
 
 
-class StuckPending(StatefulProcessor):
-    """STR-13: alert once a received request has had no outcome for 15 minutes.
-
-    State per request: when it was received (if seen) and when its outcome
-    came (if seen).  A received request registers an event-time timer at
-    received + 15 min; a timely outcome deletes it.  The timer fires when the
-    watermark passes it and emits the alert.  Outcome-only state gets its own
-    cleanup timer, so nothing outlives the watermark.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "caller_id string, received_us long, outcome_us long")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        caller, received, outcome = self.seen.get() if self.seen.exists() else (None, None, None)
-        for pdf in rows:
-            for kind, c, at in zip(pdf["kind"].tolist(), pdf["caller_id"].tolist(), pdf["at_us"].tolist()):
-                if kind == "received":
-                    received, caller = at, c
-                else:
-                    outcome = at if outcome is None else min(outcome, at)
-        limit_us = K.PENDING_ALERT_MINUTES * MS_PER_MINUTE * 1000
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if received is not None and outcome is not None and outcome <= received + limit_us:
-            self.seen.clear()                      # answered in time: nothing to watch
-        else:
-            anchor = received if received is not None else outcome
-            self.seen.update((caller, received, outcome))
-            self.handle.registerTimer(anchor // 1000 + K.PENDING_ALERT_MINUTES * MS_PER_MINUTE)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        caller, received, _ = self.seen.get() if self.seen.exists() else (None, None, None)
-        self.seen.clear()
-        if received is None:
-            return iter([])
-        return iter([pd.DataFrame({"request_id": [key[0]], "caller_id": [caller], "received_at_us": [received],
-                                   "alert_at_ms": [expiredTimerInfo.getExpiryTimeInMs()]})])
-
-    def close(self) -> None:
-        pass
-
-
 def stuck_pending(docs: DataFrame, delay: str = K.ACTIVITY_DELAY) -> DataFrame:
     d = (docs.filter(F.col("kind").isin("received", "outcome"))
          .withWatermark("at", delay)
          .select("request_id", "caller_id", "kind", F.unix_micros("at").alias("at_us")))
     return (d.groupBy("request_id")
-            .transformWithStateInPandas(StuckPending(), STUCK_OUT, "append", "EventTime")
+            .transformWithStateInPandas(StuckPending(K.PENDING_ALERT_MINUTES * MS_PER_MINUTE), STUCK_OUT, "append",
+                                        "EventTime")
             .select("request_id", "caller_id", F.timestamp_micros("received_at_us").alias("received_at"),
                     F.timestamp_millis("alert_at_ms").alias("alert_at")))
 
