@@ -223,37 +223,70 @@ def wallets_without_entries(wallets: DataFrame, entries: DataFrame) -> DataFrame
 
 # ---- posting gate ------------------------------------------------------------
 
+GATE_RULES = ("bad_type", "not_null", "amount_not_positive", "currency_mismatch", "missing_header",
+              "unbalanced", "duplicate_entry")
+
+
+def posting_verdicts(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
+    """INT-1 in one pass: one row per staged transaction with every rule's verdict and its leg count.
+
+    The legs are joined once to the (wallet, currency) pairs and once to the
+    header ids, flagged per leg, and aggregated per (transaction, currency)
+    and per (transaction, entry); both aggregations and the final join reuse
+    the header join's partitioning on ``transaction_id``, so the staged batch
+    is read once and shuffled twice whatever the number of rules.
+    """
+    pairs = wallets.groupBy("wallet_id", "currency").agg(F.lit(True).alias("_wallet"))
+    heads = transactions.groupBy("transaction_id").agg(F.lit(True).alias("_header"))
+    not_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in NOT_NULL_RULES["entries"]])
+    legs = (staged.join(pairs, ["wallet_id", "currency"], "left")
+            .join(heads, "transaction_id", "left")
+            .select("transaction_id", "entry_id", "currency", "type", "amount",
+                    (~domain_ok("type", K.ENTRY_TYPES)).alias("bad_type"),
+                    not_null.alias("not_null"),
+                    F.coalesce(F.col("amount") <= 0, F.lit(False)).alias("amount_not_positive"),
+                    (F.col("wallet_id").isNotNull() & F.col("currency").isNotNull()
+                     & F.col("_wallet").isNull()).alias("currency_mismatch"),
+                    F.col("_header").isNull().alias("missing_header")))
+    leg_rules = GATE_RULES[:5]
+    per_ccy = (legs.groupBy("transaction_id", "currency")
+               .agg(sum_where(F.col("type") == "DEBIT").alias("debits"),
+                    sum_where(F.col("type") == "CREDIT").alias("credits"),
+                    F.count(F.lit(1)).alias("legs"),
+                    *[F.bool_or(r).alias(r) for r in leg_rules]))
+    per_txn = (per_ccy.groupBy("transaction_id")
+               .agg(F.bool_or(F.col("debits") != F.col("credits")).alias("unbalanced"),
+                    F.sum("legs").alias("legs"),
+                    *[F.bool_or(r).alias(r) for r in leg_rules]))
+    dups = (legs.groupBy("transaction_id", "entry_id").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("transaction_id").agg(F.bool_or(F.col("n") > 1).alias("duplicate_entry")))
+    names = sorted(GATE_RULES)
+    reasons = F.filter(F.array(*[F.when(F.col(r), F.lit(r)) for r in names]), lambda x: x.isNotNull())
+    return (per_txn.join(dups, "transaction_id")
+            .filter(F.col("transaction_id").isNotNull())
+            .select("transaction_id", "legs", reasons.alias("reasons")))
+
+
 def posting_reasons(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
     """(transaction_id, reason) for every rule a staged batch breaks (INT-1)."""
-    def by_txn(df, reason):
-        return df.select("transaction_id", F.lit(reason).alias("reason"))
-    not_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in NOT_NULL_RULES["entries"]])
-    parts = [
-        by_txn(staged.filter(~domain_ok("type", K.ENTRY_TYPES)), "bad_type"),
-        by_txn(staged.filter(not_null), "not_null"),
-        by_txn(staged.filter(F.col("amount") <= 0), "amount_not_positive"),
-        by_txn(currency_mismatch(staged, wallets), "currency_mismatch"),
-        by_txn(staged.join(transactions.select("transaction_id"), "transaction_id", "left_anti"),
-               "missing_header"),
-        by_txn(zero_sum_violations(staged), "unbalanced"),
-        by_txn(staged.groupBy("transaction_id", "entry_id").count().filter(F.col("count") > 1),
-               "duplicate_entry"),
-    ]
-    return reduce(DataFrame.unionByName, parts).filter(F.col("transaction_id").isNotNull()).distinct()
+    return (posting_verdicts(staged, transactions, wallets)
+            .select("transaction_id", F.explode("reasons").alias("reason")))
 
 
 def posting_quarantine(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
     """SNK-5: one row per rejected transaction with all its reasons and its leg count."""
-    reasons = (posting_reasons(staged, transactions, wallets).groupBy("transaction_id")
-               .agg(F.concat_ws(",", F.sort_array(F.collect_list("reason"))).alias("reasons")))
-    legs = staged.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("legs"))
-    return reasons.join(legs, "transaction_id")
+    return (posting_verdicts(staged, transactions, wallets).filter(F.size("reasons") > 0)
+            .select("transaction_id", F.concat_ws(",", "reasons").alias("reasons"), "legs"))
 
 
 def posting_accepted(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
-    """INT-1: legs of transactions with no violation -- one bad leg removes all legs of its transaction."""
-    bad = posting_reasons(staged, transactions, wallets).select("transaction_id")
-    return staged.join(bad, "transaction_id", "left_anti")
+    """INT-1: legs of transactions with no violation -- one bad leg removes all legs of its transaction.
+
+    A leg without a transaction id cannot be attributed to an atomic unit and
+    is never accepted.
+    """
+    bad = posting_verdicts(staged, transactions, wallets).filter(F.size("reasons") > 0).select("transaction_id")
+    return staged.filter(F.col("transaction_id").isNotNull()).join(bad, "transaction_id", "left_anti")
 
 
 def violations_all(L) -> DataFrame:

@@ -269,7 +269,8 @@ def _posting_quarantine(L):
 @query("posting_accepted", f"""
     SELECT transaction_id, entry_id, wallet_id, type, amount::DOUBLE AS amount, currency, created_at, posting_month
     FROM entries_staged s
-    WHERE NOT EXISTS (SELECT 1 FROM ({REASONS_SQL}) r WHERE r.transaction_id = s.transaction_id)""")
+    WHERE s.transaction_id IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM ({REASONS_SQL}) r WHERE r.transaction_id = s.transaction_id)""")
 def _posting_accepted(L):
     """INT-1: accepted legs (transaction-atomic)."""
     return I.posting_accepted(L.entries_staged, L.transactions, L.wallets)
