@@ -300,7 +300,7 @@ def violations_all(L) -> DataFrame:
         rate_violations(L.exchange_rates),
         _violation(zs, "zero_sum", "transactions", F.concat_ws("|", "transaction_id", "currency"),
                    F.concat_ws("/", F.col("debits").cast("string"), F.col("credits").cast("string"))),
-        _violation(currency_mismatch(L.entries_staged, L.wallets), "currency_fk", "entries", "entry_id",
+        _violation(currency_mismatch(L.entries_staged, L.wallet_dim), "currency_fk", "entries", "entry_id",
                    F.concat_ws("|", "wallet_id", "currency")),
         fk_orphans(L).select(F.lit("fk").alias("rule"), F.col("fk").alias("entity"),
                              F.col("child_key").alias("entity_key"), F.col("parent_key").alias("detail")),

@@ -62,7 +62,7 @@ def _thin_transactions(L):
       AND NOT EXISTS (SELECT 1 FROM wallets w WHERE w.wallet_id = e.wallet_id AND w.currency = e.currency)""")
 def _currency_mismatch(L):
     """JOIN-4: composite-FK breaks in the staged batch."""
-    return I.currency_mismatch(L.entries_staged, L.wallets)
+    return I.currency_mismatch(L.entries_staged, L.wallet_dim)
 
 
 def _domain_sql(entity, key, column, allowed):
@@ -263,7 +263,7 @@ REASONS_SQL = f"""
       ON l.transaction_id = r.transaction_id""")
 def _posting_quarantine(L):
     """SNK-5: rejected transactions with reasons."""
-    return I.posting_quarantine(L.entries_staged, L.transactions, L.wallets)
+    return I.posting_quarantine(L.entries_staged, L.transactions, L.wallet_dim)
 
 
 @query("posting_accepted", f"""
@@ -273,7 +273,7 @@ def _posting_quarantine(L):
       AND NOT EXISTS (SELECT 1 FROM ({REASONS_SQL}) r WHERE r.transaction_id = s.transaction_id)""")
 def _posting_accepted(L):
     """INT-1: accepted legs (transaction-atomic)."""
-    return I.posting_accepted(L.entries_staged, L.transactions, L.wallets)
+    return I.posting_accepted(L.entries_staged, L.transactions, L.wallet_dim)
 
 
 def _violations_sql():

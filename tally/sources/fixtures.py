@@ -10,6 +10,8 @@ AQE at runtime) and otherwise shuffles.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ from tally import constants as K
 from tally.functions.columns import MONEY, RATE, money, posting_month
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+STORE_VERSION = 2          # bump when a stored derivation changes
 
 
 def _lit_array(values):
@@ -33,11 +36,21 @@ def rate_expr(base: F.Column, quote: F.Column) -> F.Column:
 
 
 class Ledger:
-    """Lazily derived ledger views over one scale-factor directory."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Lazily derived ledger views over one scale-factor directory.
+
+    With ``stored=True`` (the default) the two expensive derivations -- the
+    per-order money flow and the ledger legs -- are written once per input
+    fingerprint into the shared folder (legs ``partitionBy(posting_month)``)
+    and every later query, in this session or another, reads them back: the
+    stored month layout is what lets a month report prune partitions.  The
+    fingerprint covers every input file's size and modification time and the
+    derivation version, so changed inputs are never served stale.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.stored = stored
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -151,9 +164,51 @@ class Ledger:
                      F.min("l_suppkey").alias("min_suppkey"),
                      F.count(F.lit(1)).alias("n_lines")))
 
+    @cached_property
+    def store_root(self) -> str:
+        from tally.session import shared_dir
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        parts = [f"v{STORE_VERSION}", self.sf_dir]
+        for t in TABLES:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{t}.parquet")
+            fs = path.getFileSystem(conf)
+            for st in fs.listStatus(path):
+                parts.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+        digest = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+        return f"{shared_dir(self.spark)}/tally/ledger/{digest}"
+
+    def _store(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        """Write ``df`` once under the fingerprint (staged, then renamed into place); read it back."""
+        if not self.stored:
+            return df
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = f"{self.store_root}/{name}"
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(conf)
+        Path = jvm.org.apache.hadoop.fs.Path
+        if not fs.exists(target):           # the folder appears only by the atomic rename below
+            tmp_name = f"{name}.staging-{uuid.uuid4().hex[:12]}"
+            tmp = f"{self.store_root}/{tmp_name}"
+            if partition_by:
+                from tally.sources.storage import write_by_month
+                write_by_month(df, tmp, month_col=partition_by, key_col="entry_id")
+            else:
+                df.write.mode("overwrite").parquet(tmp)
+            if fs.exists(target) or not fs.rename(Path(tmp), target):   # another writer won the race
+                fs.delete(Path(tmp), True)
+            nested = Path(f"{path}/{tmp_name}")
+            if fs.exists(nested):           # rename into a folder created meanwhile: drop our copy
+                fs.delete(nested, True)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
     @cached_property
     def order_flow(self) -> DataFrame:
-        """One row per order: header fields plus the money movement it implies."""
+        """One row per order: header fields plus the money movement it implies (stored once)."""
+        return self._store("order_flow", self._order_flow_plan())
+
+    def _order_flow_plan(self) -> DataFrame:
         o = self.raw("orders")
         urgent = F.col("o_orderpriority") == K.URGENT_PRIORITY
         payee_key = F.when(urgent, (F.col("o_custkey") * K.PAYEE_MULTIPLIER + F.col("o_orderkey") + 1)
@@ -232,7 +287,8 @@ class Ledger:
 
     @cached_property
     def entries_with_keys(self) -> DataFrame:
-        return self.legs_of(self.movements)
+        """The ledger legs, stored month-partitioned."""
+        return self._store("entries_with_keys", self.legs_of(self.movements), partition_by="posting_month")
 
     @cached_property
     def entries(self) -> DataFrame:

@@ -48,7 +48,7 @@ class StreamLedger(Ledger):
 
     def __init__(self, spark: SparkSession, sf_dir: str, streamed: dict[str, str | None],
                  max_files: int | None = None):
-        super().__init__(spark, sf_dir)
+        super().__init__(spark, sf_dir, stored=False)
         self.streamed = streamed           # table -> landing path (None = the driver file itself)
         self.max_files = max_files
 
