@@ -22,6 +22,8 @@ from tally.functions.columns import MONEY, RATE, money, posting_month
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 STORE_VERSION = 2          # bump when a stored derivation changes
+STORED_COLUMNS = {"entries_with_keys": ["entry_id", "transaction_id", "wallet_id", "type", "amount", "currency",
+                                        "created_at", "posting_month", "leg", "o_orderkey"]}
 
 
 def _lit_array(values):
@@ -178,17 +180,24 @@ class Ledger:
         digest = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
         return f"{shared_dir(self.spark)}/tally/ledger/{digest}"
 
-    def _store(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        """Write ``df`` once under the fingerprint (staged, then renamed into place); read it back."""
+    def _store(self, name: str, build, partition_by: str | None = None) -> DataFrame:
+        """The view ``build()`` written once under the fingerprint (staged, then renamed into place).
+
+        ``build`` is only called when the stored copy is missing; otherwise the
+        copy is read from its own footers, so no derivation plan is analysed.
+        """
         if not self.stored:
-            return df
+            return build()
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        Path = jvm.org.apache.hadoop.fs.Path
         path = f"{self.store_root}/{name}"
-        target = jvm.org.apache.hadoop.fs.Path(path)
+        target = Path(path)
         fs = target.getFileSystem(conf)
-        Path = jvm.org.apache.hadoop.fs.Path
+        columns = None
         if not fs.exists(target):           # the folder appears only by the atomic rename below
+            df = build()
+            columns = df.columns
             tmp_name = f"{name}.staging-{uuid.uuid4().hex[:12]}"
             tmp = f"{self.store_root}/{tmp_name}"
             if partition_by:
@@ -201,12 +210,16 @@ class Ledger:
             nested = Path(f"{path}/{tmp_name}")
             if fs.exists(nested):           # rename into a folder created meanwhile: drop our copy
                 fs.delete(nested, True)
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        out = self.spark.read.parquet(path)
+        if partition_by:                    # partition column back in its place, as a string
+            cols = columns or STORED_COLUMNS[name]
+            out = out.withColumn(partition_by, F.col(partition_by).cast("string")).select(*cols)
+        return out
 
     @cached_property
     def order_flow(self) -> DataFrame:
         """One row per order: header fields plus the money movement it implies (stored once)."""
-        return self._store("order_flow", self._order_flow_plan())
+        return self._store("order_flow", self._order_flow_plan)
 
     def _order_flow_plan(self) -> DataFrame:
         o = self.raw("orders")
@@ -288,7 +301,7 @@ class Ledger:
     @cached_property
     def entries_with_keys(self) -> DataFrame:
         """The ledger legs, stored month-partitioned."""
-        return self._store("entries_with_keys", self.legs_of(self.movements), partition_by="posting_month")
+        return self._store("entries_with_keys", lambda: self.legs_of(self.movements), partition_by="posting_month")
 
     @cached_property
     def entries(self) -> DataFrame:
