@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast only what is proven small: no static size estimates; AQE converts a join to a
+    # broadcast from the measured size of a finished stage; explicit hints mark fixed-size dimensions
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -38,6 +42,10 @@ def configure(spark: SparkSession) -> None:
     """Session settings every job relies on (safe to call on a foreign session)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 
 
 def shared_dir(spark: SparkSession) -> str:

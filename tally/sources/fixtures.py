@@ -21,7 +21,7 @@ from tally import constants as K
 from tally.functions.columns import MONEY, RATE, money, posting_month
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-STORE_VERSION = 2          # bump when a stored derivation changes
+STORE_VERSION = 3          # bump when a stored derivation changes
 STORED_COLUMNS = {"entries_with_keys": ["entry_id", "transaction_id", "wallet_id", "type", "amount", "currency",
                                         "created_at", "posting_month", "leg", "o_orderkey"]}
 

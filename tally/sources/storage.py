@@ -1,9 +1,9 @@
 """Partitioned storage of the ledger: month layout, routing, month overwrite, conversion, generator.
 
 Layout: ``<path>/posting_month=YYYY-MM/part-*.parquet``.  A month is the unit
-of pruning, of rollup refresh and of backfill commits.  Writers spread one
-month over several tasks (hash of the row key) so a heavy month is not one
-task and not one giant file.
+of pruning, of rollup refresh and of backfill commits.  Writers rebalance by
+month (AQE sizes the files and splits a heavy month over several tasks), so a
+heavy month is neither one task nor one giant file.
 """
 
 from __future__ import annotations
@@ -14,15 +14,24 @@ from pyspark.sql import functions as F
 from tally import constants as K
 from tally.functions.columns import MONEY, hash32
 
-FILES_PER_MONTH = 4
 
 
 def write_by_month(df: DataFrame, path: str, month_col: str = "posting_month", key_col: str = "entry_id",
-                   files_per_month: int = FILES_PER_MONTH, mode: str = "overwrite") -> None:
-    """Cluster rows by (month, hash(key) % n) so each month is written by n tasks."""
-    spread = F.pmod(F.xxhash64(key_col), F.lit(files_per_month))
-    (df.repartition(month_col, spread)
-       .write.mode(mode).partitionBy(month_col).parquet(path))
+                   files_per_month: int | None = None, mode: str = "overwrite") -> None:
+    """Write month directories with files sized by the data, not by a constant.
+
+    Default: ``REBALANCE(month)`` -- AQE coalesces small months into one task
+    (one file per month) and splits a heavy month into advisory-size pieces,
+    so a month holding a third of the rows is written by many tasks.  With
+    ``files_per_month`` the rows of a month are spread over exactly that many
+    tasks by a hash of ``key_col``.
+    """
+    if files_per_month:
+        spread = F.pmod(F.xxhash64(key_col), F.lit(files_per_month))
+        out = df.repartition(month_col, spread)
+    else:
+        out = df.hint("rebalance", month_col)
+    out.write.mode(mode).partitionBy(month_col).parquet(path)
 
 
 def read_months(spark: SparkSession, path: str, months: list[str] | None = None,
