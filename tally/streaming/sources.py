@@ -14,7 +14,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.sources.fixtures import Ledger
 
 
 def _stream_path(path: str) -> str:
@@ -35,25 +34,3 @@ def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -
 def event_time(df: DataFrame, column: str) -> DataFrame:
     """Watermarks need TIMESTAMP (the parquet files hold TIMESTAMP_NTZ); the session zone is UTC."""
     return df.withColumn(column, F.col(column).cast("timestamp"))
-
-
-class StreamLedger(Ledger):
-    """The ledger views with some driver tables arriving as a stream.
-
-    Every derived view keeps its batch definition: a streamed ``orders`` makes
-    ``transactions``, ``movements`` and every ``entries*`` view streaming
-    DataFrames through stream-static joins against the dimensions (customers,
-    parties, the per-order line aggregate), which stay batch.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str, streamed: dict[str, str | None],
-                 max_files: int | None = None):
-        super().__init__(spark, sf_dir, stored=False)
-        self.streamed = streamed           # table -> landing path (None = the driver file itself)
-        self.max_files = max_files
-
-    def raw(self, name: str) -> DataFrame:
-        if name in self.streamed:
-            path = self.streamed[name] or f"{self.sf_dir}/{name}.parquet"
-            return stream_table(self.spark, path, self.max_files)
-        return super().raw(name)
