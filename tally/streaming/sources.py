@@ -9,15 +9,16 @@ micro-batch so state and shuffle per batch stay bounded.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-
-def _stream_path(path: str) -> str:
-    if path.endswith(".parquet") and not os.path.isdir(path) and "[" not in path:
+def _stream_path(spark: SparkSession, path: str) -> str:
+    """A single file becomes a one-character glob (the file source wants a folder or a pattern)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if "[" not in path and fs.isFile(p):
         return f"{path[:-1]}[{path[-1]}]"
     return path
 
@@ -28,7 +29,7 @@ def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(_stream_path(path))
+    return reader.parquet(_stream_path(spark, path))
 
 
 def event_time(df: DataFrame, column: str) -> DataFrame:
