@@ -132,7 +132,7 @@ def _orphans(child: DataFrame, fk: str, child_key: str, cols: list[str], parent:
 def fk_orphans(L) -> DataFrame:
     """JOIN-5: every simple foreign key as a left-anti join, unioned."""
     parts = [
-        _orphans(L.wallets, "wallets.account_id", "wallet_id", ["account_id"], L.accounts, ["account_id"]),
+        _orphans(L.wallet_dim, "wallets.account_id", "wallet_id", ["account_id"], L.accounts, ["account_id"]),
         _orphans(L.transactions, "transactions.exchange_rate_id", "transaction_id", ["exchange_rate_id"],
                  L.exchange_rates, ["exchange_rate_id"]),
         _orphans(L.entries_staged, "entries.transaction_id", "entry_id", ["transaction_id"],
@@ -158,8 +158,8 @@ def duplicate_keys(L) -> DataFrame:
     parts = [
         dups(L.currencies, "currencies.code", ["code"]),
         dups(L.exchange_rates, "exchange_rates.date_pair", ["rate_date", "base_currency_id", "currency_id"]),
-        dups(L.wallets, "wallets.wallet_id_currency", ["wallet_id", "currency"]),
-        dups(L.wallets, "wallets.pkey", ["wallet_id"]),
+        dups(L.wallet_dim, "wallets.wallet_id_currency", ["wallet_id", "currency"]),
+        dups(L.wallet_dim, "wallets.pkey", ["wallet_id"]),
         dups(L.entries_staged, "entries.pkey", ["entry_id", "created_at"]),
         dups(L.idempotency_requests, "idempotency_keys.caller_key", ["caller_id", "key"]),
         dups(L.transactions, "transactions.pkey", ["transaction_id"]),
@@ -293,7 +293,7 @@ def violations_all(L) -> DataFrame:
     """INT-9 / SET-2: every rule's violations, one row per (rule, key)."""
     zs = zero_sum_violations(L.entries_staged)
     parts = [
-        domain_violations({"accounts": L.accounts, "wallets": L.wallets, "transactions": L.transactions,
+        domain_violations({"accounts": L.accounts, "wallets": L.wallet_dim, "transactions": L.transactions,
                            "entries": L.entries_staged, "audit_logs": L.audit_logs,
                            "settlement_batches": L.settlement_batches}),
         amount_violations(L.entries_staged),

@@ -92,7 +92,7 @@ def _domain_union():
 @query("domain_violations", _domain_union())
 def _domain_violations(L):
     """PRJ-3 + PRJ-5: closed-set and NOT NULL rules over every table."""
-    return I.domain_violations({"accounts": L.accounts, "wallets": L.wallets, "transactions": L.transactions,
+    return I.domain_violations({"accounts": L.accounts, "wallets": L.wallet_dim, "transactions": L.transactions,
                                 "entries": L.entries_staged, "audit_logs": L.audit_logs,
                                 "settlement_batches": L.settlement_batches})
 
@@ -225,7 +225,7 @@ def _mixed_currency_wallets(L):
     WHERE EXISTS (SELECT 1 FROM entries e WHERE e.wallet_id = w.wallet_id)""")
 def _wallets_with_entries(L):
     """JOIN-6 EXISTS."""
-    return I.wallets_with_entries(L.wallets, L.entries)
+    return I.wallets_with_entries(L.wallet_dim, L.entries)
 
 
 @query("wallets_without_entries", """
@@ -233,7 +233,7 @@ def _wallets_with_entries(L):
     WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e.wallet_id = w.wallet_id)""")
 def _wallets_without_entries(L):
     """JOIN-6 NOT EXISTS."""
-    return I.wallets_without_entries(L.wallets, L.entries)
+    return I.wallets_without_entries(L.wallet_dim, L.entries)
 
 
 REASONS_SQL = f"""
