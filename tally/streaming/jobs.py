@@ -280,20 +280,61 @@ def _overwrite(df: DataFrame, path: str, partition_by: list[str]) -> None:
        .partitionBy(*partition_by).parquet(path))
 
 
-def balance_batches(base: str) -> Callable[[DataFrame, int], None]:
-    """STR-8: each micro-batch writes its per-wallet delta under its own batch id (replay = rewrite)."""
+def _snapshot_marks(spark: SparkSession, base: str) -> list[int]:
+    """Batch ids of the balance snapshots present (directory names only)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{base}/snapshot")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    return sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(root)
+                  if st.isDirectory() and st.getPath().getName().startswith("upto="))
+
+
+def _balances_upto(spark: SparkSession, base: str, upto: int | None, own_mark: bool = True) -> DataFrame:
+    """Latest snapshot (at or before ``upto``; strictly before when ``own_mark`` is False) plus the
+    deltas after it up to ``upto``, summed per wallet."""
+    marks = [m for m in _snapshot_marks(spark, base)
+             if upto is None or m < upto or (own_mark and m == upto)]
+    deltas = spark.read.parquet(f"{base}/deltas")
+    if upto is not None:
+        deltas = deltas.filter(F.col("batch_id") <= upto)
+    if marks:
+        deltas = deltas.filter(F.col("batch_id") > marks[-1])
+    parts = deltas.select("wallet_id", "currency", "delta", "legs")
+    if marks:
+        snap = (spark.read.parquet(f"{base}/snapshot/upto={marks[-1]}")
+                .select("wallet_id", "currency", F.col("balance").alias("delta"), "legs"))
+        parts = parts.unionByName(snap)
+    return (parts.groupBy("wallet_id", "currency")
+            .agg(F.sum("delta").cast(MONEY_SUM).alias("balance"), F.sum("legs").alias("legs")))
+
+
+def balance_batches(base: str, compact_every: int = 16) -> Callable[[DataFrame, int], None]:
+    """STR-8: each micro-batch writes its per-wallet delta under its own batch id (replay = rewrite).
+
+    Every ``compact_every`` batches the deltas up to this batch are folded
+    into a snapshot ``snapshot/upto=<batch id>`` (again an overwrite keyed by
+    the batch id), so reading the balance costs one snapshot plus at most
+    ``compact_every`` deltas, however long the stream has run.  Old deltas and
+    snapshots are no longer read and can be expired.
+    """
     def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         delta = (batch.groupBy("wallet_id", "currency")
                  .agg(F.sum(signed_amount()).cast(MONEY_SUM).alias("delta"), F.count(F.lit(1)).alias("legs"))
                  .withColumn("batch_id", F.lit(batch_id)))
         _overwrite(delta, f"{base}/deltas", ["batch_id"])
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            # built from earlier snapshots only, so a replay never reads the folder it rewrites
+            snap = _balances_upto(spark, base, batch_id, own_mark=False).withColumn("upto", F.lit(batch_id))
+            _overwrite(snap, f"{base}/snapshot", ["upto"])
     return fn
 
 
 def balances(spark: SparkSession, base: str) -> DataFrame:
-    """Current balance = sum of committed batch deltas (partial aggregation, no hot task)."""
-    return (spark.read.parquet(f"{base}/deltas").groupBy("wallet_id", "currency")
-            .agg(F.sum("delta").cast(MONEY_SUM).alias("balance"), F.sum("legs").alias("legs")))
+    """Current balance: the latest snapshot plus the deltas committed after it."""
+    return _balances_upto(spark, base, None)
 
 
 def rollup_batches(base: str, grace_days: int = K.LATE_GRACE_DAYS) -> Callable[[DataFrame, int], None]:

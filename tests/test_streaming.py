@@ -89,3 +89,30 @@ def test_claims_across_runs_equal_one_run(spark):
     b = _snapshot(spark.read.parquet(f"{two}/out"), ["request_id"])
     assert a == b and len(a) > 0
     assert any(r[1] == "REPLAY" for r in a)
+
+
+def test_balance_compaction_and_replay(spark):
+    """Snapshots every 2 batches; a replayed compaction batch rewrites the same snapshot."""
+    L = Ledger(spark, SF_SMALL)
+    base = scratch_path(spark, "compact-balance")
+    fn = S.balance_batches(base, compact_every=2)
+    e = L.entries
+    cuts = ["1996-01", "1997-01", "1998-01", "1999-01"]
+    bounds = [None] + cuts + [None]
+    batches = []
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        b = e
+        if lo:
+            b = b.filter(F.col("posting_month") >= lo)
+        if hi:
+            b = b.filter(F.col("posting_month") < hi)
+        batches.append(b)
+    for i, b in enumerate(batches):
+        fn(b, i)
+    fn(batches[3], 3)                  # replay of a compaction batch
+    assert S._snapshot_marks(spark, base) == [1, 3]
+    signed = F.when(F.col("type") == "CREDIT", F.col("amount")).otherwise(-F.col("amount"))
+    want = {(r.wallet_id, r.currency): (r.b, r.n) for r in
+            e.groupBy("wallet_id", "currency").agg(F.sum(signed).alias("b"), F.count(F.lit(1)).alias("n")).collect()}
+    got = {(r.wallet_id, r.currency): (r.balance, r.legs) for r in S.balances(spark, base).collect()}
+    assert got == want
