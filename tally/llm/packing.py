@@ -54,25 +54,38 @@ def _word_ids(tokenizer_path: str):
     kept = sys.__dict__.setdefault("_tally_word_ids", {})
     if tokenizer_path in kept:
         return kept[tokenizer_path]
+    import re
+
     import regex
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path)
     model = tok.model
-    plain = regex.compile(r"[!-~À-ÖØ-öø-ſ]+")
+    plain = re.compile(r"[!-~À-ÖØ-öø-ſ]+")
     split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     byte_chars = {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(others)}}
 
+    def as_bytes(part: str) -> str:
+        return part if part.isascii() else part.encode().decode("latin-1").translate(byte_chars)
+
     class Words(dict):
         def __missing__(self, word: bytes) -> bytes:
             text = word.decode("utf-8", "replace")
-            if plain.fullmatch(text) and "<|" not in text:
-                ids = [t.id for part in split(text.lower())
-                       for t in model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(byte_chars))]
-            else:
+            if not plain.fullmatch(text) or "<|" in text:
                 ids = tok.encode(text, add_special_tokens=False).ids
+            elif text.isalpha():
+                low = text.lower()
+                if low != text:
+                    self[word] = out = self[low.encode()]
+                    return out
+                ids = [t.id for t in model.tokenize(as_bytes(text))]
+            elif text[-1] in ".,;:!?" and text[:-1].isalpha():
+                self[word] = out = self[text[:-1].encode()] + self[text[-1].encode()]
+                return out
+            else:
+                ids = [t.id for part in split(text.lower()) for t in model.tokenize(as_bytes(part))]
             self[word] = out = np.array(ids, dtype="<u4").tobytes()
             return out
 
