@@ -113,3 +113,36 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
     return shift + np.arange(total)
+
+
+def codepoints(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and the number of them before each text (n + 1 values)."""
+    at = np.flatnonzero((raw & 0xC0) != 0x80)
+    pad = np.concatenate((raw, np.zeros(3, np.uint8))).astype(np.uint32)
+    b = pad[at]
+    out = b.copy()
+    for low, high, mask, more in ((0xC0, 0xE0, 0x1F, 1), (0xE0, 0xF0, 0x0F, 2), (0xF0, 0x100, 0x07, 3)):
+        k = np.flatnonzero((b >= low) & (b < high))
+        value = b[k] & mask
+        for j in range(1, more + 1):
+            value = (value << 6) | (pad[at[k] + j] & 0x3F)
+        out[k] = value
+    return np.minimum(out, 0x10FFFF), np.searchsorted(at, offsets)
+
+
+def letters() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point: whether it is a letter, and its lower case (itself where that is not one character)."""
+    import sys
+
+    kept = sys.__dict__.setdefault("_tally_letters", [])
+    if not kept:
+        alpha = np.zeros(0x110000, dtype=bool)
+        lower = np.arange(0x110000, dtype=np.uint32)
+        for c in range(0x110000):
+            x = chr(c)
+            if x.isalpha():
+                alpha[c] = True
+                if len(x.lower()) == 1:
+                    lower[c] = ord(x.lower())
+        kept += [alpha, lower]
+    return kept[0], kept[1]
