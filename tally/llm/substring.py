@@ -213,7 +213,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def found(which: DataFrame) -> DataFrame:
         lists = which.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
-        return (texts.join(lists, "doc_id").select("doc_id", "text", "anchors")
+        return (numbered.join(lists, "doc_id").select("doc_id", "text", "anchors")
                 .mapInArrow(lambda it: _shared_windows(it, width, gram), "anchor long, doc_id long, hashes binary"))
 
     shards = 8 * shuffle_width(spark)
@@ -226,8 +226,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hot = (each.join(lowest.where("lowest < highest"), "hashes").where("doc_id > lowest")
            .select("doc_id", "hashes"))
     repeated = cold.unionByName(hot).groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    return (texts.join(repeated, "doc_id", "left").select("doc_id", "text", "hashes")
-            .mapInArrow(lambda it: _cut(it, width), RESULT))
+    # the joins shuffle one and the same frame, so Spark shuffles it once
+    rows = (numbered.join(repeated, "doc_id", "left").select("doc_id", "text", "hashes")
+            .unionByName(texts.where("doc_id is null").withColumn("hashes", F.lit(None).cast("array<binary>"))))
+    return rows.mapInArrow(lambda it: _cut(it, width), RESULT)
 
 
 def _by(*cols: str):
