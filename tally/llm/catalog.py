@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.llm import langid, packing, substring, suffixes
+from tally.llm import langid, packing, quality, substring, suffixes
 from tally.llm.oracles import SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [packing.op1_best_fit_packing, suffixes.op4_suffix_array_dedup, langid.op8_language_id, substring.op5_substring_dedup]
+    found = [packing.op1_best_fit_packing, suffixes.op4_suffix_array_dedup, quality.op6_quality_classifier, langid.op8_language_id, substring.op5_substring_dedup]
     return {f.__name__: f for f in found}
 
 
