@@ -48,8 +48,8 @@ def powers(base: np.uint64, n: int, _kept: dict = {}) -> np.ndarray:
     return have[:n]
 
 
-def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, past the last row, bytes, offsets) in runs of about ``size`` bytes.
+def text_slices(column: pa.Array, size: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, past the last row, bytes, offsets) in runs of about ``size`` bytes and at most ``rows`` rows.
 
     Null texts are empty.  A text longer than ``size`` is a run of its own.
     """
@@ -67,7 +67,7 @@ def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1)
-        to = min(to, n)
+        to = min(to, n) if rows is None else min(to, n, at + rows)
         yield at, to, raw[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
         at = to
 
