@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.llm import jaccard, langid, neardup_vectors, packing, quality, substring, suffixes, toxicity
+from tally.llm import jaccard, langid, nearest, neardup_vectors, packing, quality, substring, suffixes, toxicity
 from tally.llm.oracles import SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [neardup_vectors.op9_embedding_near_dedup, jaccard.op2_ngram_jaccard_join, toxicity.op3_toxicity, packing.op1_best_fit_packing, suffixes.op4_suffix_array_dedup, quality.op6_quality_classifier, langid.op8_language_id, substring.op5_substring_dedup]
+    found = [nearest.op7_nearest_neighbours, neardup_vectors.op9_embedding_near_dedup, jaccard.op2_ngram_jaccard_join, toxicity.op3_toxicity, packing.op1_best_fit_packing, suffixes.op4_suffix_array_dedup, quality.op6_quality_classifier, langid.op8_language_id, substring.op5_substring_dedup]
     return {f.__name__: f for f in found}
 
 
