@@ -295,7 +295,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     shards = max(shuffle_width(docs.sparkSession), mixed.count() // SHARD_SEGMENTS)
     wanted = mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct(
         "anchor", "start", "n_windows", "lead", "single", "hot")).alias("wanted"))
-    one_each = texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "wanted")
+    # all columns of texts: its joins then shuffle one and the same frame, which Spark does once
+    one_each = texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "wanted", "doc_id")
 
     def fetched(hot: bool) -> DataFrame:
         some = one_each.withColumn("wanted", F.filter("wanted", lambda w: w["hot"] == F.lit(hot)))
