@@ -271,7 +271,8 @@ def _verified(block: pa.Table, percent: int) -> pa.Table:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                        percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: rows whose sets reach ``percent`` of Jaccard are linked."""
+    """(doc_id, n_shingles, component_id, component, text_key) of every row: rows whose sets reach ``percent`` of
+    Jaccard are linked.  ``component`` numbers the classes (null without a set), ``text_key`` is a hash of the text."""
     spark = docs.sparkSession
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
@@ -309,8 +310,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     names = of.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("name"))
     return (of.join(names, "component", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id")))
+                    F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id"),
+                    "component", "text_key"))
 
 
 def op2_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

@@ -197,19 +197,21 @@ def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
             named = [model.languages[k] if size[i] else UNKNOWN for i, k in enumerate(best)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(a, z - a), pa.array(named, pa.string()),
-                 pa.array(np.where(size > 0, p[np.arange(z - a), best], 0.0))], names=["doc_id", "lang_pred", "score"])
+                 pa.array(np.where(size > 0, p[np.arange(z - a), best], 0.0)), batch.column(2).slice(a, z - a)],
+                names=["doc_id", "lang_pred", "score", "text_key"])
 
 
 def identify(docs: DataFrame, learn: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
-    """(doc_id, lang_pred, score) of every row, by a model fitted on ``learn`` (default: all of ``docs``)."""
+    """(doc_id, lang_pred, score, text_key) of every row (``text_key``: hash of the text), by a model fitted on ``learn`` (default: all of ``docs``)."""
     named = (F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     learn = docs if learn is None else learn
     model = fit(learn.select(named[0].alias("key"), named[1].alias("text"), F.col(lang_col).cast("string").alias("lang")))
-    texts = docs.select(named[0].alias("doc_id"), named[1].alias("text"))
+    texts = docs.select(named[0].alias("doc_id"), named[1].alias("text"), F.xxhash64(named[1]).alias("text_key"))
     if model is None:
-        return texts.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return texts.mapInArrow(lambda it: _predicted(it, model), "doc_id long, lang_pred string, score double")
+        return texts.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), "text_key")
+    return texts.mapInArrow(lambda it: _predicted(it, model),
+                            "doc_id long, lang_pred string, score double, text_key long")
 
 
 def held_out(id_col: str = "doc_id"):

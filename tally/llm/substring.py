@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,11 +146,11 @@ def _repeated_in_shard(group: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(d[starts]), "hashes": _binaries(h, np.append(starts, len(h)))})
 
 
-def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                        ("kept_text", pa.string())])
+def _cut(batches: Iterator[pa.RecordBatch], width: int, verbatim: bool) -> Iterator[pa.RecordBatch]:
+    fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
+              ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_text", pa.string())]
     for batch in batches:
+        schema = pa.schema(fields + [(n, c.type) for n, c in zip(batch.schema.names[3:], batch.columns[3:], strict=True)])
         lists = batch.column(2)
         for a, z, raw, offsets in text_slices(batch.column(1)):
             s, e, upto = words(raw, offsets)
@@ -178,9 +179,12 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBat
                 pa.array(np.searchsorted(owner, np.arange(z - a + 1)).astype(np.int32)),
                 pa.StructArray.from_arrays([pa.array(open_ - upto[owner]), pa.array(close - upto[owner])],
                                            names=["start", "end"]))
+            kept = _joined(raw, s, e, upto, ~removed)
+            if verbatim:
+                kept = pc.if_else(pa.array(n_removed == 0), batch.column(1).slice(a, z - a), kept)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, z - a).cast(pa.int64()), pa.array(np.diff(upto)), pa.array(n_removed),
-                 spans, _joined(raw, s, e, upto, ~removed)], schema=schema)
+                [batch.column(0).slice(a, z - a).cast(pa.int64()), pa.array(np.diff(upto)), pa.array(n_removed), spans, kept,
+                 *(c.slice(a, z - a) for c in batch.columns[3:])], schema=schema)
 
 
 def _joined(raw: np.ndarray, s: np.ndarray, e: np.ndarray, upto: np.ndarray, kept: np.ndarray) -> pa.Array:
@@ -199,21 +203,25 @@ def _joined(raw: np.ndarray, s: np.ndarray, e: np.ndarray, upto: np.ndarray, kep
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                   gram: int = GRAM, hot_docs: int = HOT_DOCS) -> DataFrame:
+                   gram: int = GRAM, hot_docs: int = HOT_DOCS, carry: tuple[str, ...] = (), verbatim: bool = False) -> DataFrame:
     """One row per text: word counts, removal spans in words, and the kept text.
 
-    A window of ``width`` words is removed where a row with a smaller id has it too.
+    A window of ``width`` words is removed where a row with a smaller id has it too.  The columns ``carry`` go along
+    as ``carried_0``, ``carried_1`` and so on.  ``verbatim``: a text that loses nothing is kept as it is, white space
+    included; otherwise kept words are joined by one space.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    carried = [F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)]
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carried)
+    others = texts.columns[2:]
     numbered = texts.where("doc_id is not null")
-    anchors = numbered.mapInArrow(lambda it: _anchors(it, width, gram), "anchor long, doc_id long")
+    anchors = numbered.select("doc_id", "text").mapInArrow(lambda it: _anchors(it, width, gram), "anchor long, doc_id long")
     shared = (anchors.withColumn("n", F.count(F.lit(1)).over(_by("anchor")))
               .where("n > 1").withColumn("hot", F.col("n") > hot_docs))
 
     def found(which: DataFrame) -> DataFrame:
         lists = which.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
-        return (numbered.join(lists, "doc_id").select("doc_id", "text", "anchors")
+        return (numbered.join(lists, "doc_id").select("doc_id", "text", "anchors", *others)
                 .mapInArrow(lambda it: _shared_windows(it, width, gram), "anchor long, doc_id long, hashes binary"))
 
     shards = 8 * shuffle_width(spark)
@@ -227,9 +235,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
            .select("doc_id", "hashes"))
     repeated = cold.unionByName(hot).groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
     # the joins shuffle one and the same frame, so Spark shuffles it once
-    rows = (numbered.join(repeated, "doc_id", "left").select("doc_id", "text", "hashes")
-            .unionByName(texts.where("doc_id is null").withColumn("hashes", F.lit(None).cast("array<binary>"))))
-    return rows.mapInArrow(lambda it: _cut(it, width), RESULT)
+    rows = (numbered.join(repeated, "doc_id", "left").select("doc_id", "text", "hashes", *others)
+            .unionByName(texts.where("doc_id is null").withColumn("hashes", F.lit(None).cast("array<binary>"))
+                         .select("doc_id", "text", "hashes", *others)))
+    schema = RESULT + "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[2:])
+    return rows.mapInArrow(lambda it: _cut(it, width, verbatim), schema)
 
 
 def _by(*cols: str):
