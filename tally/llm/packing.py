@@ -235,7 +235,11 @@ def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
     ``pieces`` has ``ids``; both have (doc_id, piece, ids_crc32)."""
     key = ["doc_id", "piece", "ids_crc32"]
     one = placed.groupBy(*key).agg(F.collect_list(F.struct("sequence_id", "offset")).alias("places"))
-    return (pieces.select(*key, "ids").dropDuplicates(key).join(one, key).select("ids", F.explode("places").alias("p"))
+    own = pieces.select(*[F.col(k).alias(f"_{k}") for k in key], "ids").dropDuplicates([f"_{k}" for k in key])
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return (own.join(one, same).select("ids", F.explode("places").alias("p"))
             .groupBy("p.sequence_id").agg(F.sort_array(F.collect_list(F.struct("p.offset", "ids"))).alias("parts"))
             .select("sequence_id", F.expr("aggregate(parts, X'', (a, p) -> concat(a, p.ids))").alias("ids")))
 
