@@ -20,9 +20,6 @@ TXN_STATUSES = ("PENDING", "SETTLED", "REVERSED")
 ENTRY_TYPES = ("DEBIT", "CREDIT")
 ACTOR_TYPES = ("ACCOUNT", "SERVICE", "OPS_USER")
 BATCH_STATUSES = ("OPEN", "CLOSED", "SETTLED")
-ACTIVITY_EVENT_TYPES = ("REQUEST_RECEIVED", "VALIDATION_REJECTED", "IDEMPOTENT_REPLAY",
-                        "OPERATION_OUTCOME", "ACCESS")
-ACTIVITY_OUTCOMES = ("ACCEPTED", "REJECTED", "COMMITTED", "ROLLED_BACK", "ERROR")
 
 # ---------------------------------------------------------------------------
 # The fixture mapping from the driver tables to the ledger.

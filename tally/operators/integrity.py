@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally import constants as K
-from tally.functions.columns import MONEY_SUM, domain_ok, signed_amount, sum_where
+from tally.functions.columns import MONEY_SUM, domain_ok, sum_where
+from tally.sources.storage import write_by_month
 
 VIOLATION_COLS = ["rule", "entity", "entity_key", "detail"]
 
@@ -227,21 +228,27 @@ GATE_RULES = ("bad_type", "not_null", "amount_not_positive", "currency_mismatch"
               "unbalanced", "duplicate_entry")
 
 
+def posting_unit() -> Column:
+    """What a leg stands or falls with: its transaction, or itself where it names none."""
+    return F.coalesce(F.col("transaction_id"), F.concat(F.lit("entry:"), F.coalesce("entry_id", F.lit(""))))
+
+
 def posting_verdicts(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
     """INT-1 in one pass: one row per staged transaction with every rule's verdict and its leg count.
 
     The legs are joined once to the (wallet, currency) pairs and once to the
     header ids, flagged per leg, and aggregated per (transaction, currency)
-    and per (transaction, entry); both aggregations and the final join reuse
-    the header join's partitioning on ``transaction_id``, so the staged batch
-    is read once and shuffled twice whatever the number of rules.
+    and per (transaction, entry), whatever the number of rules.  A leg without
+    a transaction id belongs to no atomic unit: it is a unit of its own, named
+    by its entry id, and breaks ``not_null``.
     """
+    staged = staged.withColumn("unit", posting_unit())
     pairs = wallets.groupBy("wallet_id", "currency").agg(F.lit(True).alias("_wallet"))
     heads = transactions.groupBy("transaction_id").agg(F.lit(True).alias("_header"))
     not_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in NOT_NULL_RULES["entries"]])
     legs = (staged.join(pairs, ["wallet_id", "currency"], "left")
             .join(heads, "transaction_id", "left")
-            .select("transaction_id", "entry_id", "currency", "type", "amount",
+            .select("unit", "entry_id", "currency", "type", "amount",
                     (~domain_ok("type", K.ENTRY_TYPES)).alias("bad_type"),
                     not_null.alias("not_null"),
                     F.coalesce(F.col("amount") <= 0, F.lit(False)).alias("amount_not_positive"),
@@ -249,28 +256,21 @@ def posting_verdicts(staged: DataFrame, transactions: DataFrame, wallets: DataFr
                      & F.col("_wallet").isNull()).alias("currency_mismatch"),
                     F.col("_header").isNull().alias("missing_header")))
     leg_rules = GATE_RULES[:5]
-    per_ccy = (legs.groupBy("transaction_id", "currency")
+    per_ccy = (legs.groupBy("unit", "currency")
                .agg(sum_where(F.col("type") == "DEBIT").alias("debits"),
                     sum_where(F.col("type") == "CREDIT").alias("credits"),
                     F.count(F.lit(1)).alias("legs"),
                     *[F.bool_or(r).alias(r) for r in leg_rules]))
-    per_txn = (per_ccy.groupBy("transaction_id")
+    per_txn = (per_ccy.groupBy("unit")
                .agg(F.bool_or(F.col("debits") != F.col("credits")).alias("unbalanced"),
                     F.sum("legs").alias("legs"),
                     *[F.bool_or(r).alias(r) for r in leg_rules]))
-    dups = (legs.groupBy("transaction_id", "entry_id").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("transaction_id").agg(F.bool_or(F.col("n") > 1).alias("duplicate_entry")))
+    dups = (legs.groupBy("unit", "entry_id").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("unit").agg(F.bool_or(F.col("n") > 1).alias("duplicate_entry")))
     names = sorted(GATE_RULES)
     reasons = F.filter(F.array(*[F.when(F.col(r), F.lit(r)) for r in names]), lambda x: x.isNotNull())
-    return (per_txn.join(dups, "transaction_id")
-            .filter(F.col("transaction_id").isNotNull())
-            .select("transaction_id", "legs", reasons.alias("reasons")))
-
-
-def posting_reasons(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
-    """(transaction_id, reason) for every rule a staged batch breaks (INT-1)."""
-    return (posting_verdicts(staged, transactions, wallets)
-            .select("transaction_id", F.explode("reasons").alias("reason")))
+    return (per_txn.join(dups, "unit")
+            .select(F.col("unit").alias("transaction_id"), "legs", reasons.alias("reasons")))
 
 
 def posting_quarantine(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
@@ -282,11 +282,24 @@ def posting_quarantine(staged: DataFrame, transactions: DataFrame, wallets: Data
 def posting_accepted(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
     """INT-1: legs of transactions with no violation -- one bad leg removes all legs of its transaction.
 
-    A leg without a transaction id cannot be attributed to an atomic unit and
-    is never accepted.
+    What is not accepted is in ``posting_rejected_legs``; together they are the staged legs.
     """
-    bad = posting_verdicts(staged, transactions, wallets).filter(F.size("reasons") > 0).select("transaction_id")
-    return staged.filter(F.col("transaction_id").isNotNull()).join(bad, "transaction_id", "left_anti")
+    bad = posting_verdicts(staged, transactions, wallets).filter(F.size("reasons") > 0)
+    return (staged.withColumn("unit", posting_unit())
+            .join(bad.select(F.col("transaction_id").alias("unit")), "unit", "left_anti").select(*staged.columns))
+
+
+def posting_rejected_legs(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
+    """SNK-5: the rejected legs themselves, each with its transaction's reasons."""
+    bad = posting_quarantine(staged, transactions, wallets)
+    return (staged.withColumn("unit", posting_unit())
+            .join(bad.select(F.col("transaction_id").alias("unit"), "reasons"), "unit")
+            .select(*staged.columns, "reasons"))
+
+
+def quarantine(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, path: str) -> None:
+    """SNK-5: write the rejected legs with their reasons, by posting month."""
+    write_by_month(posting_rejected_legs(staged, transactions, wallets), path, dynamic=True)
 
 
 def violations_all(L) -> DataFrame:
@@ -328,7 +341,3 @@ def immutability_audit(old: DataFrame, new: DataFrame, key: str = "entry_id") ->
                     F.col("o_amount").alias("old_amount"), F.col("n_amount").alias("new_amount"))
             .filter(F.col("change").isNotNull())
             .withColumn("changed_columns", F.when(F.col("change") == "UPDATED", F.col("changed_columns"))))
-
-
-def signed_net_by_txn(entries: DataFrame) -> DataFrame:
-    return entries.groupBy("transaction_id", "currency").agg(F.sum(signed_amount()).alias("net"))

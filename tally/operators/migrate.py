@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally import constants as K
-from tally.session import scratch_path
 from tally.sources.storage import write_by_month
 
 COLUMN = "settlement_batch_id"
@@ -23,29 +22,59 @@ def months_needing_backfill(df: DataFrame, column: str = COLUMN) -> list[str]:
 
 
 def backfill(spark: SparkSession, path: str, column: str = COLUMN, sentinel: str = K.SENTINEL_BATCH,
-             months_per_commit: int = 12) -> int:
+             months_per_commit: int = 12, log: str | None = None) -> int:
     """MIG-2: resumable backfill -- only NULL rows change, live values are kept.
 
-    Months are processed in groups; each group is staged to a fresh folder and
-    then swapped in with a dynamic partition overwrite, which is the commit.
-    A rerun recomputes the list of months that still hold NULLs, so it resumes
-    where a failed run stopped and is a no-op once done.  Returns months touched.
+    Months go in groups.  A group is staged whole under ``log`` (default:
+    ``<path>.backfill``) and appears there by a rename; then it is swapped in
+    with a dynamic partition overwrite, which is the commit, and only then its
+    stage is dropped.  The swap deletes before it renames, so a run that died
+    in between leaves its stage behind: a rerun first swaps in every stage it
+    finds, whatever the table shows of those months, then goes on with the
+    months that still hold NULLs.  Returns months touched.
     """
+    log = log or f"{path.rstrip('/')}.backfill"
+    schema = spark.read.parquet(path).schema
+
+    def swap_in(stage: str) -> None:
+        write_by_month(spark.read.schema(schema).parquet(stage), path, dynamic=True)
+        _drop(spark, stage)
+
+    for name in _children(spark, log):
+        if not name.endswith(".tmp"):
+            swap_in(f"{log}/{name}")
     months = months_needing_backfill(spark.read.parquet(path), column)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        for i in range(0, len(months), months_per_commit):
-            group = months[i:i + months_per_commit]
-            stage = scratch_path(spark, "backfill-stage")
-            part = spark.read.parquet(path).filter(F.col("posting_month").isin(group))
-            write_by_month(part.withColumn(column, F.coalesce(F.col(column), F.lit(sentinel))), stage)
-            write_by_month(spark.read.parquet(stage), path, mode="overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    for i in range(0, len(months), months_per_commit):
+        group = months[i:i + months_per_commit]
+        stage = f"{log}/{group[0]}_{group[-1]}"
+        part = spark.read.parquet(path).filter(F.col("posting_month").isin(group))
+        part.withColumn(column, F.coalesce(F.col(column), F.lit(sentinel))).write.mode("overwrite").parquet(f"{stage}.tmp")
+        _rename(spark, f"{stage}.tmp", stage)
+        swap_in(stage)
     return len(months)
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, _fs(spark, target)[1]):
+        raise RuntimeError(f"cannot rename {source} to {target}")
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def backfill_progress(df: DataFrame, column: str = COLUMN) -> DataFrame:
     """AGG-13 / MIG-3: rows and remaining NULLs per month."""
     return (df.groupBy("posting_month")

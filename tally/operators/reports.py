@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +13,16 @@ from tally.functions.windows import bucketed_running_sum
 
 
 def settled_headers(transactions: DataFrame, start=None, end=None) -> DataFrame:
-    """PRJ-2: SETTLED headers, optionally inside [start, end)."""
+    """PRJ-2: SETTLED headers, optionally inside [start, end).
+
+    Headers stored by month (with ``posting_month``) are also filtered on it, so only those months are opened.
+    """
     t = transactions.filter(F.col("status") == "SETTLED")
     if start is not None:
         t = t.filter(half_open("created_at", start, end))
+        if "posting_month" in transactions.columns:
+            last = end - dt.timedelta(microseconds=1)
+            t = t.filter(F.col("posting_month").between(f"{start:%Y-%m}", f"{last:%Y-%m}"))
     return t
 
 
@@ -130,13 +138,13 @@ def fx_position(entries: DataFrame) -> DataFrame:
 
 
 def settlement_routed(rollup: DataFrame, entries: DataFrame, transactions: DataFrame,
-                      current_month: str, months: list[str]) -> DataFrame:
-    """SET-3: closed months from the rollup, the current month live, one result."""
-    closed = (rollup.filter(F.col("month").isin([m for m in months if m != current_month]))
+                      current_month: str) -> DataFrame:
+    """SET-3: every closed month from the stored rollup, the current month live, one result."""
+    closed = (rollup.filter(F.col("month") < current_month)
               .select("month", "wallet_id", "currency", "settled_total"))
     live = (settlement_report(entries, transactions, current_month)
             .select(F.lit(current_month).alias("month"), "wallet_id", "currency", "settled_total"))
-    return closed.unionByName(live) if current_month in months else closed
+    return closed.unionByName(live)
 
 
 def monthly_growth(entries: DataFrame) -> DataFrame:

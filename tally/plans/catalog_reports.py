@@ -8,6 +8,8 @@ from tally import constants as K
 from tally.functions.columns import month_end, month_start
 from tally.operators import reports as R
 from tally.plans.registry import query
+from tally.session import scratch_path
+from tally.sources.storage import overwrite_months
 
 M = K.REPORT_MONTH
 MS, ME = month_start(M), month_end(M)
@@ -22,7 +24,7 @@ RANGE_T = f"t.created_at >= TIMESTAMP '{MS}' AND t.created_at < TIMESTAMP '{ME}'
     GROUP BY e.wallet_id, e.currency""")
 def _settlement_report(L):
     """Flagship: gross settled total per wallet and currency for the report month."""
-    return R.settlement_report(L.entries, L.transactions, M)
+    return R.settlement_report(L.entries, L.headers, M)
 
 
 @query("settlement_year", """
@@ -33,7 +35,7 @@ def _settlement_report(L):
     GROUP BY e.posting_month, e.wallet_id, e.currency""")
 def _settlement_year(L):
     """The report for every month of 1998 in one job (the entry() query)."""
-    return R.settlement_by_month(L.entries, L.transactions, "1998-01", "1998-12")
+    return R.settlement_by_month(L.entries, L.headers, "1998-01", "1998-12")
 
 
 @query("settled_headers", f"""
@@ -41,7 +43,7 @@ def _settlement_year(L):
     WHERE t.status = 'SETTLED' AND {RANGE_T}""")
 def _settled_headers(L):
     """PRJ-2: settled headers of the report month."""
-    return R.settled_headers(L.transactions, MS, ME).select("transaction_id", "type", "created_at")
+    return R.settled_headers(L.headers, MS, ME).select("transaction_id", "type", "created_at")
 
 
 @query("month_scan", f"""
@@ -68,7 +70,7 @@ def _scan_entries(L):
     GROUP BY e.wallet_id, e.currency""")
 def _net_movement(L):
     """AGG-2 / PRJ-6: signed settled movement per wallet for the report month."""
-    return R.net_movement(L.entries, L.transactions, M)
+    return R.net_movement(L.entries, L.headers, M)
 
 
 @query("debit_credit_totals", """
@@ -149,23 +151,22 @@ def _fx_position(L):
     return R.fx_position(L.entries)
 
 
-ROUTED_MONTHS = ["1998-04", "1998-05", "1998-06"]
 
 
-@query("settlement_routed", f"""
+@query("settlement_routed", """
     SELECT e.posting_month AS month, e.wallet_id, e.currency, CAST(SUM(e.amount) AS DOUBLE) AS settled_total
     FROM entries e JOIN transactions t ON t.transaction_id = e.transaction_id
-    WHERE t.status = 'SETTLED' AND e.posting_month IN ('1998-04', '1998-05')
-    GROUP BY e.posting_month, e.wallet_id, e.currency
-    UNION ALL
-    SELECT '{M}', e.wallet_id, e.currency, CAST(SUM(e.amount) AS DOUBLE)
-    FROM entries e JOIN transactions t ON t.transaction_id = e.transaction_id
-    WHERE t.status = 'SETTLED' AND {RANGE_E} AND {RANGE_T}
-    GROUP BY e.wallet_id, e.currency""")
+    WHERE t.status = 'SETTLED'
+      AND (e.posting_month < (SELECT max(posting_month) FROM entries)
+           OR strftime(t.created_at, '%Y-%m') = e.posting_month)
+    GROUP BY e.posting_month, e.wallet_id, e.currency""")
 def _settlement_routed(L):
-    """SET-3: closed months from the rollup, current month live."""
-    rollup = R.monthly_rollup(L.entries, L.transactions, ROUTED_MONTHS[:-1])
-    return R.settlement_routed(rollup, L.entries, L.transactions, M, ROUTED_MONTHS)
+    """SET-3: every closed month from the stored rollup, the current (last) month live."""
+    current = L.entries.agg(F.max("posting_month")).first()[0]
+    path = scratch_path(L.spark, "routed-rollup")
+    overwrite_months(R.monthly_rollup(L.entries, L.transactions).filter(F.col("month") < current), path)
+    rollup = L.spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
+    return R.settlement_routed(rollup, L.entries, L.headers, current)
 
 
 @query("monthly_growth", """

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tally import constants as K
 from tally.plans.registry import query
+from tally.session import path_exists
 from tally.sources.fixtures import Ledger
 from tally.streaming import jobs as S
 from tally.streaming.sources import event_time, stream_table
@@ -39,20 +40,23 @@ def _drain(L: Ledger, name: str, stream: DataFrame, partition_by=None) -> DataFr
 
 
 def _read_or_empty(L: Ledger, path: str, like: DataFrame) -> DataFrame:
-    try:
-        return L.spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- nothing was ever written there
-        return L.spark.createDataFrame([], like.schema)
+    """What was written at ``path``; nothing if nothing ever was."""
+    return L.spark.read.parquet(path) if path_exists(L.spark, path) else L.spark.createDataFrame([], like.schema)
 
 
-def _land_all(L: Ledger, legs: DataFrame, name: str) -> str:
+LANDED_FILES = 6
+FILES_PER_BATCH = 2
+
+
+def _land_shuffled(L: Ledger, legs: DataFrame, name: str) -> str:
+    """Legs in ``LANDED_FILES`` files by hash of the entry: legs of a transaction and of a day arrive apart."""
     path = S.new_run(L.spark, name)
-    legs.write.mode("overwrite").parquet(path)
+    legs.repartition(LANDED_FILES, "entry_id").write.mode("overwrite").parquet(path)
     return path
 
 
-def _ledger_stream(L: Ledger, path: str) -> DataFrame:
-    return event_time(stream_table(L.spark, path), "created_at")
+def _ledger_stream(L: Ledger, path: str, max_files: int | None = None) -> DataFrame:
+    return event_time(stream_table(L.spark, path, max_files), "created_at")
 
 
 # ---- DuckDB fragments shared by the oracles ----------------------------------
@@ -217,15 +221,14 @@ def _stream_orphan_attempts(L):
 @query("stream_stuck_pending", f"""
     WITH {ATT}, rec AS (SELECT * FROM att WHERE kind = 'received'), o AS (SELECT * FROM att WHERE kind = 'outcome')
     SELECT r.request_id, r.caller_id, r.t_at AS received_at,
-           make_timestamp((epoch_us(r.t_at) // 1000 + {K.PENDING_ALERT_MINUTES * 60_000}) * 1000) AS alert_at
+           r.t_at + INTERVAL {K.PENDING_ALERT_MINUTES} MINUTE AS alert_at
     FROM rec r
-    WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.request_id = r.request_id
+    WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.request_id = r.request_id AND o.t_at >= r.t_at
                                         AND o.t_at <= r.t_at + INTERVAL {K.PENDING_ALERT_MINUTES} MINUTE)
-      AND epoch_us(r.t_at) // 1000 + {K.PENDING_ALERT_MINUTES * 60_000}
-          <= epoch_us((SELECT max(t_at) FROM att WHERE kind <> 'access') - INTERVAL {DELAY_MIN} MINUTE) // 1000""")
+      AND r.t_at + INTERVAL {K.PENDING_ALERT_MINUTES} MINUTE
+          < least((SELECT max(t_at) FROM rec), (SELECT max(t_at) FROM o)) - INTERVAL {DELAY_MIN} MINUTE""")
 def _stream_stuck_pending(L):
-    """STR-13: requests pending longer than 15 minutes (transformWithState, event-time timers, RocksDB)."""
-    S.use_rocksdb_state(L.spark)
+    """STR-13: requests pending longer than 15 minutes (stream-stream left outer join, bounded state)."""
     return _drain(L, "stream_stuck_pending", S.stuck_pending(S.attempt_documents(_events(L))))
 
 
@@ -245,9 +248,11 @@ def _stream_stuck_pending(L):
        AND CAST(date_trunc('day', created_at) AS TIMESTAMP) + INTERVAL 1 DAY
            <= (SELECT max(created_at) FROM entries_staged) - INTERVAL 1 DAY""")
 def _stream_zero_sum(L):
-    """STR-7: deferred per-(transaction, currency) zero-sum over the staged posting stream."""
-    path = _land_all(L, L.entries_staged, "landing-staged")
-    return _drain(L, "stream_zero_sum", S.zero_sum_stream(_ledger_stream(L, path)))
+    """STR-7: deferred per-(transaction, currency) zero-sum over the staged posting stream, in shuffled micro-batches."""
+    path = _land_shuffled(L, L.entries_staged, "landing-staged")
+    run = S.new_run(L.spark, "stream_zero_sum")
+    S.run_foreach_batch(_ledger_stream(L, path, FILES_PER_BATCH), S.zero_sum_batches(run), f"{run}/checkpoint")
+    return S.zero_sum_verdicts(L.spark, run)
 
 
 @query("stream_balance", """
@@ -257,9 +262,9 @@ def _stream_zero_sum(L):
     FROM entries GROUP BY wallet_id, currency""")
 def _stream_balance(L):
     """STR-8: running wallet balances from per-batch deltas written by batch id (replay-safe)."""
-    path = _land_all(L, L.entries, "landing-entries")
+    path = _land_shuffled(L, L.entries, "landing-entries")
     run = S.new_run(L.spark, "stream_balance")
-    S.run_foreach_batch(_ledger_stream(L, path), S.balance_batches(run), f"{run}/checkpoint")
+    S.run_foreach_batch(_ledger_stream(L, path, FILES_PER_BATCH), S.balance_batches(run), f"{run}/checkpoint")
     return S.balances(L.spark, run)
 
 
@@ -322,9 +327,7 @@ def _retention_sweep(L):
     """STR-11: drop event-date partitions of the ingested projection older than the horizon."""
     run = S.new_run(L.spark, "retention")
     docs = S.activity_documents(_events(L))
-    S.run_to_files(docs, f"{run}/activity", f"{run}/checkpoint", ["event_date"])
+    S.run_foreach_batch(docs, S.append_batches(f"{run}/activity", ["event_date"]), f"{run}/checkpoint")
     S.retention_sweep(L.spark, f"{run}/activity", KEEP_FROM)
-    # the sink's own log still names the dropped files, so readers address the partition folders
-    kept = (L.spark.read.schema(docs.schema).option("basePath", f"{run}/activity")
-            .parquet(f"{run}/activity/event_date=*"))
+    kept = L.spark.read.parquet(f"{run}/activity")
     return kept.groupBy("event_date").agg(F.count(F.lit(1)).alias("documents"))

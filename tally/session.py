@@ -17,7 +17,9 @@ DEFAULT_CONF = {
     # broadcast from the measured size of a finished stage; explicit hints mark fixed-size dimensions
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # stream state lives in RocksDB, off the JVM heap, whatever ran first
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -39,26 +41,25 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 
 
 def configure(spark: SparkSession) -> None:
-    """Session settings every job relies on (safe to call on a foreign session)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    if spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None:
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    """The settings results and streams rely on; join and overwrite settings stay the caller's."""
+    for k in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+        spark.conf.set(k, DEFAULT_CONF[k])
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so that ``checkpoint()`` and staged
-    writes always land in one place every executor can reach.
+    Read from the session.  When it is unset a private folder is created and
+    registered for a local master (tests); on a cluster, whose executors could
+    not reach it, that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tally-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -73,3 +74,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one job's staged output."""
     return f"{shared_dir(spark)}/tally/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -18,12 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally import constants as K
-from tally.functions.columns import MONEY, RATE, money, posting_month
+from tally.functions.columns import MONEY, MONEY_SUM, RATE, money, posting_month
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-STORE_VERSION = 3          # bump when a stored derivation changes
+STORE_VERSION = 4          # bump when a stored derivation changes
 STORED_COLUMNS = {"entries_with_keys": ["entry_id", "transaction_id", "wallet_id", "type", "amount", "currency",
-                                        "created_at", "posting_month", "leg", "o_orderkey"]}
+                                        "created_at", "posting_month", "leg", "o_orderkey"],
+                  "order_flow": ["transaction_id", "o_orderkey", "o_orderdate", "o_orderpriority", "n_lines", "payer",
+                                 "payee", "p", "q", "txn_type", "status", "exchange_rate_id", "a", "fee", "rate", "b",
+                                 "is_movement", "created_at", "posting_month"]}
 
 
 def _lit_array(values):
@@ -137,7 +140,7 @@ class Ledger:
                  & ((F.substring(F.col("wallet_id"), 4, 30).cast("bigint") % K.DRIFT_MODULUS) == 0))
         return (self.wallet_dim.join(computed, "wallet_id", "left")
                 .withColumn("balance", (F.coalesce("computed", F.lit(0))
-                                        + F.when(drift, F.lit(K.DRIFT_AMOUNT)).otherwise(F.lit(0))).cast(MONEY))
+                                        + F.when(drift, F.lit(K.DRIFT_AMOUNT)).otherwise(F.lit(0))).cast(MONEY_SUM))
                 .drop("computed"))
 
     @cached_property
@@ -171,12 +174,18 @@ class Ledger:
         from tally.session import shared_dir
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        parts = [f"v{STORE_VERSION}", self.sf_dir]
+        # constants decide the derivation as much as the files do
+        parts = [f"v{STORE_VERSION}", self.sf_dir,
+                 *(f"{k}={getattr(K, k)!r}" for k in sorted(vars(K)) if k.isupper())]
         for t in TABLES:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{t}.parquet")
             fs = path.getFileSystem(conf)
-            for st in fs.listStatus(path):
-                parts.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+            files = fs.listFiles(path, True)
+            found = []
+            while files.hasNext():
+                st = files.next()
+                found.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+            parts += sorted(found)
         digest = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
         return f"{shared_dir(self.spark)}/tally/ledger/{digest}"
 
@@ -219,7 +228,7 @@ class Ledger:
     @cached_property
     def order_flow(self) -> DataFrame:
         """One row per order: header fields plus the money movement it implies (stored once)."""
-        return self._store("order_flow", self._order_flow_plan)
+        return self._store("order_flow", self._order_flow_plan, partition_by="posting_month")
 
     def _order_flow_plan(self) -> DataFrame:
         o = self.raw("orders")
@@ -254,16 +263,24 @@ class Ledger:
             F.when(is_fx, F.round(F.col("a") * rate, 4).cast(MONEY)).otherwise(F.col("a")).alias("b"),
             (F.col("a").isNotNull()
              & ~((F.col("payee_kind") == "C") & (F.col("payee_key") == F.col("o_custkey")))).alias("is_movement"),
-            F.col("o_orderdate").alias("created_at"))
+            F.col("o_orderdate").alias("created_at"), posting_month("o_orderdate").alias("posting_month"))
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        """The transactions with their month, the partition column of their stored layout."""
+        return self._headers("posting_month")
 
     @cached_property
     def transactions(self) -> DataFrame:
         """All orders become headers, so some headers have no entries."""
+        return self._headers()
+
+    def _headers(self, *more: str) -> DataFrame:
         extra = F.to_json(F.struct(F.col("o_orderpriority").alias("priority"),
                                    F.coalesce("n_lines", F.lit(0)).cast("int").alias("lines")))
         return self.order_flow.select(
             "transaction_id", F.col("txn_type").alias("type"), "status", "exchange_rate_id",
-            extra.alias("extra_info"), "created_at")
+            extra.alias("extra_info"), "created_at", *more)
 
     @cached_property
     def movements(self) -> DataFrame:

@@ -17,21 +17,22 @@ from tally.functions.columns import MONEY, hash32
 
 
 def write_by_month(df: DataFrame, path: str, month_col: str = "posting_month", key_col: str = "entry_id",
-                   files_per_month: int | None = None, mode: str = "overwrite") -> None:
+                   files_per_month: int | None = None, mode: str = "overwrite", dynamic: bool = False) -> None:
     """Write month directories with files sized by the data, not by a constant.
 
     Default: ``REBALANCE(month)`` -- AQE coalesces small months into one task
     (one file per month) and splits a heavy month into advisory-size pieces,
     so a month holding a third of the rows is written by many tasks.  With
     ``files_per_month`` the rows of a month are spread over exactly that many
-    tasks by a hash of ``key_col``.
+    tasks by a hash of ``key_col``.  ``dynamic`` replaces only the months of ``df``.
     """
     if files_per_month:
         spread = F.pmod(F.xxhash64(key_col), F.lit(files_per_month))
         out = df.repartition(month_col, spread)
     else:
         out = df.hint("rebalance", month_col)
-    out.write.mode(mode).partitionBy(month_col).parquet(path)
+    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+     .partitionBy(month_col).parquet(path))
 
 
 def read_months(spark: SparkSession, path: str, months: list[str] | None = None,
@@ -61,13 +62,7 @@ def write_routed(df: DataFrame, path: str, first: str = K.FIRST_PARTITION_MONTH,
 
 def overwrite_months(df: DataFrame, path: str, month_col: str = "month", key_col: str = "wallet_id") -> None:
     """SNK-2: replace exactly the months present in ``df`` (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_by_month(df, path, month_col=month_col, key_col=key_col, mode="overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    write_by_month(df, path, month_col=month_col, key_col=key_col, dynamic=True)
 
 
 def flat_to_partitioned(spark: SparkSession, flat_path: str, out_path: str) -> DataFrame:

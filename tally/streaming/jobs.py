@@ -17,16 +17,16 @@ State is bounded by watermarks or event-time timers everywhere.
 from __future__ import annotations
 
 from collections.abc import Callable
-from pyspark.sql import DataFrame, SparkSession
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally import constants as K
-from tally.functions.columns import MONEY_SUM, ms_interval, signed_amount
-from tally.session import scratch_path
-from tally.streaming.state_ops import ClaimBuckets, StuckPending
+from tally.functions.columns import MONEY_SUM, ms_interval, signed_amount, sum_where
+from tally.session import path_exists, scratch_path
+from tally.streaming.state_ops import ClaimBuckets
 
 US_PER_HOUR = 3_600_000_000
-MS_PER_MINUTE = 60_000
 
 # ---------------------------------------------------------------------------
 # running a stream to completion (the registered queries are finite runs)
@@ -48,10 +48,12 @@ def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], check
        .trigger(availableNow=True).start().awaitTermination())
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB state store; it also keeps large state off the JVM heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def append_batches(path: str, partition_by: list[str]) -> Callable[[DataFrame, int], None]:
+    """Sink of plain partition folders: each micro-batch owns the partitions named by its id, so a replay rewrites
+    the same files and a folder can be dropped without a sink log that still names its files."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        _overwrite(batch.withColumn("batch_id", F.lit(batch_id)), path, [*partition_by, "batch_id"])
+    return fn
 
 
 # ---------------------------------------------------------------------------
@@ -87,17 +89,18 @@ CLAIM_OUT = ("request_id string, caller_id string, idempotency_key string, event
              "at_us long, latency_ms long, verdict string, transaction_id string")
 
 
-def claim_requests(events: DataFrame, delay: str = K.ACTIVITY_DELAY, buckets: int | None = None) -> DataFrame:
+#: Hash buckets of the claim state.  The state is keyed by them, so the number is fixed for the life of a checkpoint.
+CLAIM_BUCKETS = 128
+
+
+def claim_requests(events: DataFrame, delay: str = K.ACTIVITY_DELAY, buckets: int = CLAIM_BUCKETS) -> DataFrame:
     """STR-2: per-(caller, key) idempotency claims with a 24-hour horizon, one verdict per request.
 
-    Keys are grouped into ``buckets`` hash buckets (default: 8 per shuffle
-    partition) so one Python call handles many keys; the claim state itself
-    is per key in RocksDB and swept by event-time timers.
+    Keys are grouped into ``buckets`` hash buckets so one Python call handles
+    many keys; the claim state itself is per key in RocksDB and swept by
+    event-time timers.  A checkpoint must be restarted with the ``buckets`` it
+    was started with, whatever the session's partition count.
     """
-    spark = events.sparkSession
-    use_rocksdb_state(spark)
-    if buckets is None:
-        buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     req = (events.filter(F.col("event_type").isin("purchase", "click"))
            .withWatermark("ts", delay)
            .select(F.concat(F.lit("req-"), "event_id").alias("request_id"),
@@ -220,18 +223,12 @@ def orphan_attempts(docs: DataFrame, bound: str = "1 hour", delay: str = K.ACTIV
             .select("request_id", "caller_id", "event_type", "received_at"))
 
 
-STUCK_OUT = "request_id string, caller_id string, received_at_us long, alert_at_ms long"
-
-
-def stuck_pending(docs: DataFrame, delay: str = K.ACTIVITY_DELAY) -> DataFrame:
-    d = (docs.filter(F.col("kind").isin("received", "outcome"))
-         .withWatermark("at", delay)
-         .select("request_id", "caller_id", "kind", F.unix_micros("at").alias("at_us")))
-    return (d.groupBy("request_id")
-            .transformWithStateInPandas(StuckPending(K.PENDING_ALERT_MINUTES * MS_PER_MINUTE), STUCK_OUT, "append",
-                                        "EventTime")
-            .select("request_id", "caller_id", F.timestamp_micros("received_at_us").alias("received_at"),
-                    F.timestamp_millis("alert_at_ms").alias("alert_at")))
+def stuck_pending(docs: DataFrame, minutes: int = K.PENDING_ALERT_MINUTES, delay: str = K.ACTIVITY_DELAY) -> DataFrame:
+    """STR-13: requests without an outcome for ``minutes``: the same join, bounded by the alert time."""
+    limit = f"{minutes} minutes"
+    return (orphan_attempts(docs, limit, delay)
+            .select("request_id", "caller_id", "received_at",
+                    (F.col("received_at") + F.expr(f"INTERVAL {limit}")).alias("alert_at")))
 
 
 # ---------------------------------------------------------------------------
@@ -255,26 +252,6 @@ def land(df: DataFrame, path: str, buckets: list[int] | None = None) -> None:
     df.write.mode("append").parquet(path)
 
 
-def zero_sum_stream(legs: DataFrame, delay: str = K.LEDGER_DELAY) -> DataFrame:
-    """STR-7: deferred per-(transaction, currency) zero-sum verdict.
-
-    The legs of one posting share ``created_at``, so a day window on it holds
-    the whole posting; the verdict is emitted once the watermark passes the
-    day, as the deferred trigger checks at commit.  Only unbalanced groups are
-    written out.
-    """
-    d = legs.withWatermark("created_at", delay)
-    return (d.groupBy(F.window("created_at", "1 day"), "transaction_id", "currency")
-            .agg(F.coalesce(F.sum(F.when(F.col("type") == "DEBIT", F.col("amount"))), F.lit(0))
-                 .cast(MONEY_SUM).alias("debits"),
-                 F.coalesce(F.sum(F.when(F.col("type") == "CREDIT", F.col("amount"))), F.lit(0))
-                 .cast(MONEY_SUM).alias("credits"),
-                 F.count(F.lit(1)).alias("legs"))
-            .filter(F.col("debits") != F.col("credits"))
-            .select(F.col("window.start").alias("posting_day"), "transaction_id", "currency", "debits", "credits",
-                    (F.col("credits") - F.col("debits")).cast(MONEY_SUM).alias("imbalance"), "legs"))
-
-
 def _overwrite(df: DataFrame, path: str, partition_by: list[str]) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
@@ -291,50 +268,84 @@ def _snapshot_marks(spark: SparkSession, base: str) -> list[int]:
                   if st.isDirectory() and st.getPath().getName().startswith("upto="))
 
 
-def _balances_upto(spark: SparkSession, base: str, upto: int | None, own_mark: bool = True) -> DataFrame:
-    """Latest snapshot (at or before ``upto``; strictly before when ``own_mark`` is False) plus the
-    deltas after it up to ``upto``, summed per wallet."""
+def _folded(spark: SparkSession, base: str, keys: list[str], upto: int | None = None, own_mark: bool = True) -> DataFrame:
+    """Sums per key: the latest snapshot (at or before ``upto``; strictly before when ``own_mark`` is False) plus
+    the deltas after it up to ``upto``."""
     marks = [m for m in _snapshot_marks(spark, base)
              if upto is None or m < upto or (own_mark and m == upto)]
-    deltas = spark.read.parquet(f"{base}/deltas")
+    parts = spark.read.parquet(f"{base}/deltas")
+    sums = [c for c in parts.columns if c not in (*keys, "batch_id")]
     if upto is not None:
-        deltas = deltas.filter(F.col("batch_id") <= upto)
+        parts = parts.filter(F.col("batch_id") <= upto)
     if marks:
-        deltas = deltas.filter(F.col("batch_id") > marks[-1])
-    parts = deltas.select("wallet_id", "currency", "delta", "legs")
+        parts = parts.filter(F.col("batch_id") > marks[-1])
+    parts = parts.select(*keys, *sums)
     if marks:
-        snap = (spark.read.parquet(f"{base}/snapshot/upto={marks[-1]}")
-                .select("wallet_id", "currency", F.col("balance").alias("delta"), "legs"))
-        parts = parts.unionByName(snap)
-    return (parts.groupBy("wallet_id", "currency")
-            .agg(F.sum("delta").cast(MONEY_SUM).alias("balance"), F.sum("legs").alias("legs")))
+        parts = parts.unionByName(spark.read.parquet(f"{base}/snapshot/upto={marks[-1]}").select(*keys, *sums))
+    kind = dict(parts.dtypes)
+    return parts.groupBy(*keys).agg(*[F.sum(c).cast(kind[c]).alias(c) for c in sums])
 
 
-def balance_batches(base: str, compact_every: int = 16) -> Callable[[DataFrame, int], None]:
-    """STR-8: each micro-batch writes its per-wallet delta under its own batch id (replay = rewrite).
+def fold_batches(base: str, keys: list[str], sums: dict[str, Column], compact_every: int = 16
+                 ) -> Callable[[DataFrame, int], None]:
+    """Running sums per key over a stream, in any order of arrival.
 
-    Every ``compact_every`` batches the deltas up to this batch are folded
-    into a snapshot ``snapshot/upto=<batch id>`` (again an overwrite keyed by
-    the batch id), so reading the balance costs one snapshot plus at most
-    ``compact_every`` deltas, however long the stream has run.  Old deltas and
-    snapshots are no longer read and can be expired.
+    Each micro-batch writes its own sums under its batch id (replay = rewrite).
+    Every ``compact_every`` batches the deltas up to this batch are folded into
+    a snapshot ``snapshot/upto=<batch id>`` (again an overwrite keyed by the
+    batch id), so reading costs one snapshot plus at most ``compact_every``
+    deltas, however long the stream has run.  Old deltas and snapshots are no
+    longer read and can be expired.
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        delta = (batch.groupBy("wallet_id", "currency")
-                 .agg(F.sum(signed_amount()).cast(MONEY_SUM).alias("delta"), F.count(F.lit(1)).alias("legs"))
-                 .withColumn("batch_id", F.lit(batch_id)))
+        delta = batch.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()]).withColumn("batch_id", F.lit(batch_id))
         _overwrite(delta, f"{base}/deltas", ["batch_id"])
         if compact_every and batch_id % compact_every == compact_every - 1:
             # built from earlier snapshots only, so a replay never reads the folder it rewrites
-            snap = _balances_upto(spark, base, batch_id, own_mark=False).withColumn("upto", F.lit(batch_id))
+            snap = _folded(spark, base, keys, batch_id, own_mark=False).withColumn("upto", F.lit(batch_id))
             _overwrite(snap, f"{base}/snapshot", ["upto"])
     return fn
 
 
+WALLET = ["wallet_id", "currency"]
+UNIT = ["posting_day", "transaction_id", "currency"]
+
+
+def balance_batches(base: str, compact_every: int = 16) -> Callable[[DataFrame, int], None]:
+    """STR-8: running wallet balances."""
+    return fold_batches(base, WALLET, {"balance": F.sum(signed_amount()).cast(MONEY_SUM), "legs": F.count(F.lit(1))},
+                        compact_every)
+
+
 def balances(spark: SparkSession, base: str) -> DataFrame:
     """Current balance: the latest snapshot plus the deltas committed after it."""
-    return _balances_upto(spark, base, None)
+    return _folded(spark, base, WALLET)
+
+
+def zero_sum_batches(base: str, compact_every: int = 16) -> Callable[[DataFrame, int], None]:
+    """STR-7: running debits and credits per (posting day, transaction, currency).
+
+    A leg that arrives late changes the sums of its transaction like any other, so it is judged again with it.
+    """
+    fold = fold_batches(base, UNIT, {"debits": sum_where(F.col("type") == "DEBIT"),
+                                     "credits": sum_where(F.col("type") == "CREDIT"), "legs": F.count(F.lit(1))},
+                        compact_every)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        fold(batch.withColumn("posting_day", F.date_trunc("day", "created_at")), batch_id)
+        mark = batch.agg(F.max("created_at").alias("max_created_at")).withColumn("batch_id", F.lit(batch_id))
+        _overwrite(mark, f"{base}/frontier", ["batch_id"])
+    return fn
+
+
+def zero_sum_verdicts(spark: SparkSession, base: str, delay: str = K.LEDGER_DELAY) -> DataFrame:
+    """Transactions whose legs do not balance, of the days that the feed has left behind by ``delay``."""
+    reached = spark.read.parquet(f"{base}/frontier").agg(F.max("max_created_at")).first()[0]
+    final = F.col("posting_day") + F.expr("INTERVAL 1 day") <= F.lit(reached) - F.expr(f"INTERVAL {delay}")
+    return (_folded(spark, base, UNIT).filter(final & (F.col("debits") != F.col("credits")))
+            .select(*UNIT, "debits", "credits", (F.col("credits") - F.col("debits")).cast(MONEY_SUM).alias("imbalance"),
+                    "legs"))
 
 
 def rollup_batches(base: str, grace_days: int = K.LATE_GRACE_DAYS) -> Callable[[DataFrame, int], None]:
@@ -353,11 +364,9 @@ def rollup_batches(base: str, grace_days: int = K.LATE_GRACE_DAYS) -> Callable[[
         try:
             _overwrite(batch.withColumn("batch_id", F.lit(batch_id)), f"{base}/ledger", ["posting_month", "batch_id"])
             frontier = None
-            try:
+            if path_exists(spark, f"{base}/frontier"):  # before the first batch there is none
                 frontier = (spark.read.parquet(f"{base}/frontier").filter(F.col("batch_id") < batch_id)
                             .agg(F.max("max_created_at")).first()[0])
-            except Exception:  # noqa: BLE001 -- first batch: no frontier yet
-                frontier = None
             if frontier is not None:
                 closes = F.add_months(F.to_date(F.concat(F.col("posting_month"), F.lit("-01"))), 1)
                 late = batch.filter(F.date_add(closes, grace_days).cast("timestamp") <= F.lit(frontier))

@@ -113,52 +113,4 @@ class ClaimBuckets(StatefulProcessor):
         pass
 
 
-class StuckPending(StatefulProcessor):
-    """Alert once a received request has had no outcome for ``limit_ms``.
-
-    State per request: caller, received time (if seen) and outcome time (if
-    seen).  A received request registers an event-time timer at received +
-    limit; a timely outcome clears the state and the timer.  The timer fires
-    when the watermark passes it and emits the alert.  Outcome-only state gets
-    a timer too, so nothing outlives the watermark.
-    """
-
-    def __init__(self, limit_ms: int):
-        self.limit_ms = limit_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "caller_id string, received_us long, outcome_us long")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        caller, received, outcome = self.seen.get() if self.seen.exists() else (None, None, None)
-        for pdf in rows:
-            for kind, c, at in zip(pdf["kind"].tolist(), pdf["caller_id"].tolist(), pdf["at_us"].tolist()):
-                if kind == "received":
-                    received, caller = at, c
-                else:
-                    outcome = at if outcome is None else min(outcome, at)
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if received is not None and outcome is not None and outcome <= received + self.limit_ms * 1000:
-            self.seen.clear()                      # answered in time: nothing to watch
-        else:
-            anchor = received if received is not None else outcome
-            self.seen.update((caller, received, outcome))
-            self.handle.registerTimer(anchor // 1000 + self.limit_ms)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        caller, received, _ = self.seen.get() if self.seen.exists() else (None, None, None)
-        self.seen.clear()
-        if received is None:
-            return iter([])
-        return iter([pd.DataFrame({"request_id": [key[0]], "caller_id": [caller], "received_at_us": [received],
-                                   "alert_at_ms": [expiredTimerInfo.getExpiryTimeInMs()]})])
-
-    def close(self) -> None:
-        pass
-
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

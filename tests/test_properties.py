@@ -61,3 +61,59 @@ def test_fixture_ledger_sums_to_zero_per_currency(spark):
     signed = F.when(F.col("type") == "CREDIT", F.col("amount")).otherwise(-F.col("amount"))
     for r in L.entries.groupBy("currency").agg(F.sum(signed).alias("s")).collect():
         assert r.s == 0
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=postings(), nameless=st.sets(st.integers(0, 17), max_size=5))
+def test_gate_loses_no_leg(spark, rows, nameless):
+    """Accepted and rejected legs are the staged legs, also those without a transaction or an entry id."""
+    staged = [(None if i % 3 == 1 else r[0], None, *r[2:]) if i in nameless else r for i, r in enumerate(rows)]
+    e, _, w = _frames(spark, staged)
+    _, t, _ = _frames(spark, rows)
+    accepted, rejected = I.posting_accepted(e, t, w), I.posting_rejected_legs(e, t, w)
+    assert accepted.count() + rejected.count() == len(staged)
+    assert accepted.filter("transaction_id is null").count() == 0
+    lost = rejected.filter("transaction_id is null")
+    assert lost.count() == len([i for i in nameless if i < len(rows)])
+    assert all("not_null" in r.reasons for r in lost.collect())
+
+
+def test_quarantine_keeps_the_legs(spark):
+    from tally.session import scratch_path
+    L = Ledger(spark, SF_SMALL)
+    path = scratch_path(spark, "quarantine")
+    I.quarantine(L.entries_staged, L.transactions, L.wallet_dim, path)
+    kept = spark.read.parquet(path)
+    assert kept.count() + I.posting_accepted(L.entries_staged, L.transactions, L.wallet_dim).count() == L.entries_staged.count()
+    assert kept.filter("reasons = ''").count() == 0
+
+
+def test_balances_beyond_the_money_type(spark):
+    """A wallet's sum may pass what one amount can hold."""
+    e = spark.createDataFrame([(f"e{i}", "t", "FX-VND", "CREDIT", D("900000000000000.0000"), "VND") for i in range(40)],
+                              "entry_id string, transaction_id string, wallet_id string, type string, "
+                              "amount decimal(19,4), currency string")
+    w = spark.createDataFrame([("FX-VND", "VND", D("36000000000000000.0100"))],
+                              "wallet_id string, currency string, balance decimal(38,4)")
+    r = I.balance_drift(w, e).first()
+    assert r.computed_balance == D("36000000000000000") and r.discrepancy == D("0.01")
+    assert Ledger(spark, SF_SMALL).wallets.schema["balance"].dataType.precision == 38
+
+
+def test_backfill_restores_a_swap_that_died(spark):
+    """A stage left by a run that died while swapping is swapped in by the next run."""
+    from tally.operators import migrate as G
+    from tally.session import scratch_path
+    from tally.sources.storage import write_by_month
+    path = scratch_path(spark, "bf")
+    rows = [(f"e{i}", f"1998-0{1 + i % 3}", None) for i in range(30)]
+    df = spark.createDataFrame(rows, "entry_id string, posting_month string, settlement_batch_id string")
+    write_by_month(df, path)
+    staged = spark.read.parquet(path).filter("posting_month = '1998-02'").withColumn("settlement_batch_id", F.lit("B"))
+    staged.write.parquet(f"{path}.backfill/1998-02_1998-02")
+    G._drop(spark, f"{path}/posting_month=1998-02")  # deleted, not yet renamed
+    G.backfill(spark, path)
+    after = spark.read.parquet(path)
+    assert after.count() == 30 and after.filter("settlement_batch_id is null").count() == 0
+    assert after.filter("settlement_batch_id = 'B'").count() == 10
+    assert G._children(spark, f"{path}.backfill") == []
