@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,12 +74,13 @@ def _anchors(batches: Iterator[pa.RecordBatch], width: int, gram: int) -> Iterat
             pairs = np.unique(np.rec.fromarrays([row[own], anchor], names="row,anchor"))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pairs["anchor"].view(np.int64)), pa.array(ids[a:z][pairs["row"]].astype(np.int64))],
-                names=["anchor", "doc_id"])
+                names=["anchor", "place"])
 
 
 def _shared_windows(batches: Iterator[pa.RecordBatch], width: int, gram: int) -> Iterator[pa.RecordBatch]:
     """(anchor, doc_id, hashes) for each text and each of its shared anchors."""
     for batch in batches:
+        batch = batch.filter(batch.column(0).is_valid())
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         lists = batch.column(2)
         for a, z, raw, offsets in text_slices(batch.column(1)):
@@ -158,7 +159,8 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int, verbatim: bool) -> Itera
             n = len(s)
             gone = np.zeros(n + 1, np.int64)
             part = lists.slice(a, z - a)
-            blobs = [b"".join(x) if x else b"" for x in part.to_pylist()]
+            named = batch.column(0).slice(a, z - a).is_valid().to_pylist()
+            blobs = [b"".join(x) if x and y else b"" for x, y in zip(part.to_pylist(), named, strict=True)]
             of = np.repeat(np.arange(z - a), [len(x) // 8 for x in blobs])
             listed = np.frombuffer(b"".join(blobs), np.uint64)
             if len(listed):
@@ -212,16 +214,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     carried = [F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)]
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carried)
-    others = texts.columns[2:]
-    numbered = texts.where("doc_id is not null")
-    anchors = numbered.select("doc_id", "text").mapInArrow(lambda it: _anchors(it, width, gram), "anchor long, doc_id long")
-    shared = (anchors.withColumn("n", F.count(F.lit(1)).over(_by("anchor")))
+    own = F.col(id_col).cast("long")
+    # joins go by ``place`` (spread where there is no id) and over all of these columns: so they shuffle one and the same
+    # frame, which Spark does once
+    texts = docs.select(own.alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                        F.coalesce(own, F.xxhash64(F.col(text_col).cast("string"))).alias("place"), *carried)
+    others = texts.columns[3:]
+    anchors = texts.where("doc_id is not null").select("doc_id", "text").mapInArrow(
+        lambda it: _anchors(it, width, gram), "anchor long, place long")
+    shared = (anchors.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor")))
               .where("n > 1").withColumn("hot", F.col("n") > hot_docs))
 
     def found(which: DataFrame) -> DataFrame:
-        lists = which.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
-        return (numbered.join(lists, "doc_id").select("doc_id", "text", "anchors", *others)
+        lists = which.groupBy("place").agg(F.collect_list("anchor").alias("anchors"))
+        return (texts.join(lists, "place").select("doc_id", "text", "anchors", *others)
                 .mapInArrow(lambda it: _shared_windows(it, width, gram), "anchor long, doc_id long, hashes binary"))
 
     shards = 8 * shuffle_width(spark)
@@ -233,18 +239,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lowest = each.groupBy("hashes").agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"))
     hot = (each.join(lowest.where("lowest < highest"), "hashes").where("doc_id > lowest")
            .select("doc_id", "hashes"))
-    repeated = cold.unionByName(hot).groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    # the joins shuffle one and the same frame, so Spark shuffles it once
-    rows = (numbered.join(repeated, "doc_id", "left").select("doc_id", "text", "hashes", *others)
-            .unionByName(texts.where("doc_id is null").withColumn("hashes", F.lit(None).cast("array<binary>"))
-                         .select("doc_id", "text", "hashes", *others)))
-    schema = RESULT + "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[2:])
-    return rows.mapInArrow(lambda it: _cut(it, width, verbatim), schema)
-
-
-def _by(*cols: str):
-    from pyspark.sql import Window
-    return Window.partitionBy(*cols)
+    repeated = (cold.unionByName(hot).groupBy(F.col("doc_id").alias("place"))
+                .agg(F.collect_list("hashes").alias("hashes")))
+    schema = RESULT + "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[3:])
+    return (texts.join(repeated, "place", "left").select("doc_id", "text", "hashes", *others)
+            .mapInArrow(lambda it: _cut(it, width, verbatim), schema))
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
