@@ -42,9 +42,9 @@ PREFIXES = (3, 4, 5, 6)
 SUFFIX = 3
 MIN_TEXTS = 4
 PURITY = 0.97
-TOXIC_ROWS = 2000
-CLEAN_ROWS = 6000
-LEARN_CHARS = 20_000
+TOXIC_ROWS = 1000
+CLEAN_ROWS = 2000
+LEARN_CHARS = 10_000
 SEQUENCE = 128
 THRESHOLD = 0.7
 
@@ -218,15 +218,22 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
         return None
     column = pa.array(texts, pa.string())
     parts = []
-    for a, z, raw, offsets in text_slices(column):
+    for a, _, raw, offsets in text_slices(column):
         owner, _, _, hashed = tokens(raw, offsets)
         parts.append((owner + a, hashed))
-    owner, hashed = np.concatenate([o for o, _ in parts]), np.concatenate([h for _, h in parts], axis=1)
+    owner = np.concatenate([o for o, _ in parts])
+    hashed = [[h[r] for _, h in parts] for r in range(len(parts[0][1]))]
+    del parts
+    slots = np.empty((len(hashed), len(owner)), np.int32)
     marked = np.zeros(len(owner), bool)
     is_toxic = toxic.astype(bool)[owner]
     n_toxic, n_clean = int(toxic.sum()), int((1 - toxic).sum())
     need = MIN_TEXTS if n_toxic >= 20 * MIN_TEXTS else 2
-    for row in hashed[:-1]:  # the last letters alone name nothing
+    for r in range(len(hashed)):  # a row at a time, so that the driver holds few of them
+        row, hashed[r] = np.concatenate(hashed[r]), []
+        slots[r] = _slots(row)
+        if r == len(hashed) - 1:  # the last letters alone name nothing
+            break
         u, back = np.unique(row, return_inverse=True)
         pair = np.unique(back.astype(np.int64) * (len(texts) + 1) + owner)
         f, t = pair // (len(texts) + 1), toxic[pair % (len(texts) + 1)]
@@ -234,9 +241,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model | None:
         in_clean = np.bincount(f, 1 - t, minlength=len(u))
         rate = in_toxic / n_toxic
         marked |= ((in_toxic >= need) & (rate / (rate + in_clean / n_clean) >= PURITY))[back] & is_toxic
-    slots = _slots(hashed)
     w, bias, transition, start = fit_crf(slots, owner, marked.astype(float))
-    p = marginals(w[slots].sum(axis=0) + bias, np.append(True, owner[1:] != owner[:-1]), transition, start)
+    p = marginals(sum(w[row] for row in slots) + bias, np.append(True, owner[1:] != owner[:-1]), transition, start)
     judge = fit_judge(_summary(p, owner, len(texts)), toxic.astype(float))
     return Model(w.astype(np.float32), bias, transition, start, judge)
 
