@@ -23,7 +23,7 @@ BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 WORD_BASE_INV = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
