@@ -23,3 +23,60 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n,
        sha256(coalesce(s, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op2_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g
+  FROM w, unnest(range(1, greatest(len(ws) - 1, CASE WHEN len(ws) > 0 THEN 2 ELSE 1 END))) AS u(i)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * common >= 90 * (nx.n + ny.n - common)
+), edges AS (
+  SELECT x, y FROM links UNION SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, edges.y FROM reach JOIN edges ON edges.x = reach.b
+)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE a = w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+"""
+
+_VECTORS = """
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0"""
+
+#: Exact search: the query equals it where every part is asked, as on small tables.
+SQL["op7_nearest_neighbours"] = f"""
+WITH v AS ({_VECTORS}
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+SQL["op9_embedding_near_dedup"] = f"""
+WITH RECURSIVE v AS ({_VECTORS} AND label IS NOT NULL
+), edges AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, edges.y FROM reach JOIN edges ON edges.x = reach.b
+)
+SELECT e.vec_id, (SELECT count(*) FROM edges WHERE x = e.vec_id) AS n_links,
+       (SELECT min(b) FROM reach WHERE a = e.vec_id) AS component_id,
+       e.vec_id = (SELECT min(b) FROM reach WHERE a = e.vec_id) AS kept
+FROM embeddings e
+"""
