@@ -12,25 +12,29 @@ from tally.plans.registry import query
 from tally.session import scratch_path
 from tally.sources import storage as S
 
-HASH = "CAST(('0x' || substr(md5({x}), 1, 8)) AS BIGINT)"
-
 
 def _gen_sql():
-    i = "(o_orderkey + 1)"
-    h = HASH.format(x="t.transaction_id")
+    def lane(k, n):
+        return f"(CAST('0x' || substr(md5(g), {8 * k + 1}, 8) AS BIGINT) % {n})"
+
+    status, top = "CASE", 0
+    for value, share in S.GEN_STATUS_PERCENT:
+        top += share
+        status += f" WHEN {lane(0, 100)} < {top} THEN '{value}'"
+    wallets = S.GEN_WALLETS
     return f"""
-    SELECT md5('e:' || t.transaction_id || ':' || CAST(l.k AS VARCHAR)) AS entry_id, t.transaction_id,
-           md5('w:' || CAST({HASH.format(x="t.transaction_id || l.salt")} % 200000 AS VARCHAR)) AS wallet_id,
-           l.type, CAST(CAST(CAST({h} % 1000000 AS DECIMAL(19,4)) / 100 + 1 AS DECIMAL(19,4)) AS DOUBLE) AS amount,
-           ['USD', 'VND', 'EUR'][1 + {h} % 3] AS currency, t.created_at, t.status,
-           strftime(t.created_at, '%Y-%m') AS posting_month
-    FROM (SELECT md5('txn:' || CAST({i} AS VARCHAR)) AS transaction_id,
-                 CASE WHEN ({i} * 2654435761) % 100 < 85 THEN 'SETTLED'
-                      WHEN ({i} * 2654435761) % 100 < 95 THEN 'PENDING' ELSE 'REVERSED' END AS status,
-                 TIMESTAMP '2024-07-01 00:00:00' + to_months(CAST({i} % 24 AS INTEGER))
-                   + to_days(CAST({i} * 37 % 28 AS INTEGER)) + to_seconds({i} * 131 % 86400) AS created_at
-          FROM orders) t,
-         (VALUES (1, 'DEBIT', 'd'), (2, 'CREDIT', 'c')) l(k, type, salt)"""
+    WITH h AS (
+      SELECT g AS transaction_id, {status} END AS status,
+             TIMESTAMP '{S.GEN_START}' + to_seconds({lane(1, S.GEN_DAYS * 86_400)}) AS created_at,
+             CAST(CAST({lane(2, 10_000_000)} + 100 AS DECIMAL(19,4)) / 100 AS DECIMAL(19,4)) AS amount,
+             {list(S.GEN_CURRENCIES)}[1 + {lane(2, len(S.GEN_CURRENCIES))}] AS currency,
+             {lane(3, wallets)} AS payer, 1 + {lane(0, wallets - 1)} AS distance
+      FROM (SELECT 'G' || lpad(CAST(o_orderkey + 1 AS VARCHAR), 12, '0') AS g FROM orders)),
+    legs AS (
+      SELECT *, 'DEBIT' AS type, payer AS w FROM h UNION ALL SELECT *, 'CREDIT', (payer + distance) % {wallets} FROM h)
+    SELECT transaction_id || '-' || type AS entry_id, transaction_id, 'GW-' || CAST(w AS VARCHAR) AS wallet_id, type,
+           CAST(amount AS DOUBLE) AS amount, currency, created_at, status, strftime(created_at, '%Y-%m') AS posting_month
+    FROM legs"""
 
 
 @query("generate_ledger", _gen_sql())

@@ -4,8 +4,7 @@ Every view is a lazy DataFrame derived from the parquet tables, so the work
 of any query grows with the data.  Only the five-row currency vocabulary,
 the 25-row nation table and the 20 currency pairs are fixed-size; they are
 the only sides broadcast explicitly.  Everything else is left to the
-planner, which broadcasts by measured size (``autoBroadcastJoinThreshold``,
-AQE at runtime) and otherwise shuffles.
+planner, which shuffles, or broadcasts what AQE has measured to be small.
 """
 
 from __future__ import annotations

@@ -8,11 +8,11 @@ heavy month is neither one task nor one giant file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally import constants as K
-from tally.functions.columns import MONEY, hash32
+from tally.functions.columns import MONEY
 
 
 
@@ -74,34 +74,49 @@ def flat_to_partitioned(spark: SparkSession, flat_path: str, out_path: str) -> D
     return spark.read.parquet(out_path)
 
 
-def generate_ledger(ids: DataFrame, id_col: str = "i", n_wallets: int = 200_000) -> tuple[DataFrame, DataFrame]:
-    """SRC-3: the benchmark ledger -- status mix 85/10/5 over 24 months, two legs per header.
+# The published shape of the benchmark ledger.
+GEN_STATUS_PERCENT = (("SETTLED", 85), ("PENDING", 10), ("REVERSED", 5))
+GEN_CURRENCIES = ("USD", "VND", "EUR")
+GEN_START, GEN_DAYS = "2024-07-01 00:00:00", 730
+GEN_WALLETS = 200_000
+
+
+def draw(seed: Column, lane: int, n: int) -> Column:
+    """A number below ``n`` from one of the four 32-bit lanes of the seed's md5."""
+    return F.conv(F.substring(F.md5(seed), 8 * lane + 1, 8), 16, 10).cast("bigint") % n
+
+
+def generate_ledger(ids: DataFrame, id_col: str = "i", n_wallets: int = GEN_WALLETS) -> tuple[DataFrame, DataFrame]:
+    """SRC-3: the benchmark ledger -- its status mix over its months, one payer and one payee leg per header.
 
     ``ids`` is any DataFrame of integer ids (``spark.range`` in the benchmark,
-    order keys when registered as a query).  Hashes use md5 prefixes so the
-    values are reproducible outside Spark.
+    order keys when registered as a query).  Everything about a header is
+    drawn from the lanes of one md5 of its id, so the values are the same
+    wherever and however often it is generated: status, posting second, amount
+    and currency, payer; the payee is another wallet at a drawn distance.
     """
-    i = F.col(id_col).cast("bigint")
-    mix = (i * F.lit(2654435761)) % 100
-    status = F.when(mix < 85, "SETTLED").when(mix < 95, "PENDING").otherwise("REVERSED")
-    created = (F.lit("2024-07-01 00:00:00").cast("timestamp_ntz")
-               + F.make_ym_interval(F.lit(0), (i % 24).cast("int"))
-               + F.make_dt_interval((i * 37 % 28).cast("int"), F.lit(0), F.lit(0), (i * 131 % 86400).cast("decimal(18,6)")))
-    headers = ids.select(F.md5(F.concat(F.lit("txn:"), i.cast("string"))).alias("transaction_id"),
-                         status.alias("status"), created.alias("created_at"))
-    txn_hash = hash32(F.col("transaction_id"))
-    legs = F.array(F.struct(F.lit(1).alias("k"), F.lit("DEBIT").alias("type"), F.lit("d").alias("salt")),
-                   F.struct(F.lit(2).alias("k"), F.lit("CREDIT").alias("type"), F.lit("c").alias("salt")))
-    entries = (headers.select("transaction_id", "created_at", F.inline(legs))
-               .select(F.md5(F.concat(F.lit("e:"), F.col("transaction_id"), F.lit(":"), F.col("k").cast("string")))
-                       .alias("entry_id"),
-                       "transaction_id",
-                       F.md5(F.concat(F.lit("w:"), (hash32(F.concat("transaction_id", "salt")) % n_wallets)
-                                      .cast("string"))).alias("wallet_id"),
-                       "type",
-                       ((txn_hash % 1000000) / F.lit(100) + 1).cast(MONEY).alias("amount"),
-                       F.element_at(F.array(F.lit("USD"), F.lit("VND"), F.lit("EUR")),
-                                    (txn_hash % 3 + 1).cast("int")).alias("currency"),
-                       "created_at",
-                       F.date_format("created_at", "yyyy-MM").alias("posting_month")))
+    name = F.concat(F.lit("G"), F.lpad(F.col(id_col).cast("string"), 12, "0"))
+    percent, top, status = draw(name, 0, 100), 0, F.lit(None).cast("string")
+    for value, share in GEN_STATUS_PERCENT:
+        top += share
+        status = F.coalesce(status, F.when(percent < top, value))
+    second = draw(name, 1, GEN_DAYS * 86_400)
+    drawn = ids.select(
+        name.alias("transaction_id"), status.alias("status"),
+        (F.lit(GEN_START).cast("timestamp_ntz")
+         + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), second.cast("decimal(18,6)"))).alias("created_at"),
+        ((draw(name, 2, 10_000_000) + 100) / F.lit(100)).cast(MONEY).alias("amount"),
+        F.element_at(F.array(*map(F.lit, GEN_CURRENCIES)), (draw(name, 2, len(GEN_CURRENCIES)) + 1).cast("int")).alias("currency"),
+        draw(name, 3, n_wallets).alias("payer"), (1 + draw(name, 0, n_wallets - 1)).alias("distance"))
+    drawn = drawn.withColumn("posting_month", F.date_format("created_at", "yyyy-MM"))
+    headers = drawn.select("transaction_id", "status", "created_at", "posting_month")
+
+    def leg(kind: str, wallet: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type"), F.concat(F.lit("GW-"), wallet.cast("string")).alias("wallet_id"))
+
+    payee = (F.col("payer") + F.col("distance")) % n_wallets
+    entries = (drawn.select("transaction_id", "amount", "currency", "created_at", "posting_month",
+                            F.inline(F.array(leg("DEBIT", F.col("payer")), leg("CREDIT", payee))))
+               .select(F.concat_ws("-", "transaction_id", "type").alias("entry_id"), "transaction_id", "wallet_id", "type",
+                       "amount", "currency", "created_at", "posting_month"))
     return headers, entries
