@@ -36,7 +36,7 @@ from tally.llm.textcols import BASE, BASE_INV, codepoints, mix, powers, ranges,
 
 ALPHA = 1.0
 SPACE_MARK = 0x2581
-SLICE = 3 << 20
+SLICE = 2 << 20
 
 
 class Vocabulary:
