@@ -37,10 +37,10 @@ THRESHOLD = 0.98
 SHARD = 2000
 SAMPLE = 40_000
 OVERLAP = 3
-DEGREE = 24
+DEGREE = 20
 BEAM = 32
 ALPHA = 1.2
-NEAREST, RANDOM = 64, 32
+NEAREST, RANDOM = 48, 16
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
