@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.staging import stage, table
@@ -194,13 +194,17 @@ def top_k(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.nda
 
 
 def _reranked(work: pa.Table, k: int) -> pa.Table:
+    """(query_id, found): the block's best rows of each query in one list."""
     work = work.combine_chunks()
     asks = np.array(work.column("query").to_pylist(), bool)
     x, ids = matrix(work.column("v")), work.column("vec_id").to_numpy()
     parts = list(top_k(x[asks], ids[asks], x[~asks], ids[~asks], k)) if asks.any() and not asks.all() else []
     q, i, s = (np.concatenate([p[c] for p in parts]) if parts else np.zeros(0) for c in range(3))
-    return pa.table({"query_id": pa.array(q.astype(np.int64)), "vec_id": pa.array(i.astype(np.int64)),
-                     "score": pa.array(s.astype(np.float64))})
+    q, i, s = q.astype(np.int64), i.astype(np.int64), s.astype(np.float64)
+    cuts = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
+    found = pa.StructArray.from_arrays([pa.array(-s), pa.array(i)], names=["minus", "vec_id"])
+    return pa.table({"query_id": pa.array(q[cuts]), "found": pa.ListArray.from_arrays(
+        pa.array(np.append(cuts, len(q)).astype(np.int32)), found)})
 
 
 def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K) -> DataFrame:
@@ -232,10 +236,10 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_c
 
     work = dealt(index, "row_block", "query_block", False).unionByName(dealt(routed, "query_block", "row_block", True))
     best = work.groupBy("dim", "part", "row_block", "query_block").applyInArrow(
-        lambda t: _reranked(t, k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+        lambda t: _reranked(t, k), "query_id long, found array<struct<minus:double,vec_id:long>>")
+    merged = best.groupBy("query_id").agg(F.slice(F.sort_array(F.flatten(F.collect_list("found"))), 1, k).alias("found"))
+    return (merged.select("query_id", F.posexplode("found").alias("at", "f"))
+            .select("query_id", (F.col("at") + 1).alias("rank"), "f.vec_id", (-F.col("f.minus")).alias("score")))
 
 
 def op7_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
