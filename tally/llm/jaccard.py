@@ -13,13 +13,17 @@ at most ``k`` shingles (``k = (1 - J) / (1 + J) * 2 * largest size``), and:
     little, so it signs only in sets with more than ``spare`` empty parts: two
     linked sets share a part that is not empty, or both have that many.
 
-So linked sets always share a signature, whatever else a signature holds.
-Each set is tied to the smallest one with its signature (a star, not all
-pairs); the components of these ties are the candidate groups.  The shingles
-of the texts in a group are then fetched and all pairs of a group are compared
-by exact intersection counts, in blocks: a group of more than ``CHUNK`` shingles
-is split into chunks and each pair of chunks is a task's work.  A block gives a
-spanning forest of its links, never the pairs.
+So linked sets always share a signature, and mostly many: of ``k + 1 + spare``
+parts at least ``spare + 1`` are untouched, and of those no more are empty than
+in either set.  A signature of up to ``BUCKET`` sets gives its pairs, and a pair
+stays if it shares as many signatures as that bound asks; sets that share one
+passage share one or two and go.  A signature of more sets ties each of them to
+the smallest (a star, not all pairs), and lowers the bound of its sets' other
+pairs by one.  The components of the ties are the candidate groups.  The
+shingles of the texts in a group are then fetched and all pairs of a group are
+compared by exact intersection counts, in blocks: a group of more than ``CHUNK``
+shingles is split into chunks and each pair of chunks is a task's work.  A block
+gives a spanning forest of its links, never the pairs.
 
 Nulls and edge cases: null and empty texts have no set and link with nothing;
 a text of fewer words than ``width`` is one shingle; equal texts and repeated
@@ -48,6 +52,10 @@ WIDTH = 3
 PERCENT = 90
 PARTS = 8
 FULL_ENUMERATION = 4
+#: Sets of a signature whose pairs are counted.
+BUCKET = 64
+#: A signature row's tag: band group times this, plus the number of signatures that a linked set must share.
+TAG = 64
 #: Shingles of a group that one block holds from each side.
 CHUNK = 1_000_000
 #: A set's hashes keep 52 bits: the upper 12 number the texts of a slice.
@@ -115,14 +123,15 @@ def plan(percent: int, group: int, upto: int) -> tuple[int, int, int]:
         spare += 1
 
 
-def signatures(row: np.ndarray, value: np.ndarray, n_rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and signature, for every signature of every row's set."""
+def signatures(row: np.ndarray, value: np.ndarray, n_rows: int, percent: int
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, signature and tag, for every signature of every row's set."""
     size = np.bincount(row, minlength=n_rows)
     upto = max(2 * int(size.max(initial=1)), 16)
     upto = 1 << upto.bit_length()
     ends = np.array([b for _, b in bands(percent, upto)])
     band = np.searchsorted(ends, size)
-    out_row, out_sig = [], []
+    out_row, out_sig, out_tag = [], [], []
     for shift in (0, 1):
         group = band + shift
         used = np.unique(group[size > 0])
@@ -148,7 +157,10 @@ def signatures(row: np.ndarray, value: np.ndarray, n_rows: int, percent: int) ->
         single = k[of] > FULL_ENUMERATION
         empty = np.bincount(of[~filled], minlength=n_rows)
         take = np.flatnonzero(single & (filled | (empty > spare)[of]))
+        need = np.where(k > FULL_ENUMERATION, np.clip(spare + 1 - empty, 1, TAG - 1), 1)
+        tag = group * TAG + need
         out_row.append(of[take])
+        out_tag.append(tag[of[take]])
         out_sig.append(mix(sums[take] + base[of[take]] + mix(part[take].astype(np.uint64))))
         # all choices of PARTS - k parts
         for n in range(1, FULL_ENUMERATION + 1):
@@ -159,9 +171,10 @@ def signatures(row: np.ndarray, value: np.ndarray, n_rows: int, percent: int) ->
             block = mix(block + mix(np.arange(PARTS, dtype=np.uint64))[None, :])
             for number, chosen in enumerate(combinations(range(PARTS), PARTS - n)):
                 out_row.append(rows)
+                out_tag.append(tag[rows])
                 out_sig.append(mix(block[:, chosen].sum(axis=1, dtype=np.uint64) + base[rows]
                                    + mix(np.array([1000 + number], np.uint64))))
-    return np.concatenate(out_row), np.concatenate(out_sig)
+    return np.concatenate(out_row), np.concatenate(out_sig), np.concatenate(out_tag)
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -177,7 +190,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(signature, node): equal sets of a slice sign once."""
+    """(signature, node, tag): equal sets of a slice sign once."""
     for batch in batches:
         for a, z, raw, offsets in text_slices(batch.column(0), rows=4096):
             row, value = shingle_sets(raw, offsets, width)
@@ -186,11 +199,12 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
             one = np.zeros(z - a, bool)
             one[first] = True
             keep = one[row]
-            r, sig = signatures(row[keep], value[keep], z - a, percent)
+            r, sig, tag = signatures(row[keep], value[keep], z - a, percent)
             for at in range(0, len(r), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(sig[at:at + 200_000].view(np.int64)),
-                                                  pa.array(node[r[at:at + 200_000]].view(np.int64))],
-                                                 names=["signature", "node"])
+                some = slice(at, at + 200_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sig[some].view(np.int64)), pa.array(node[r[some]].view(np.int64)),
+                     pa.array(tag[some].astype(np.int32))], names=["signature", "node", "tag"])
 
 
 def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -269,6 +283,29 @@ def _verified(block: pa.Table, percent: int) -> pa.Table:
     return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
 
+def _ties(signed: DataFrame) -> DataFrame:
+    """(src, dst) from (signature, node, tag): pairs of nodes that may be linked, or stars that hold them."""
+    by = Window.partitionBy("signature")
+    again = F.lag("node").over(by.orderBy("node")) == F.col("node")  # equal sets of several slices
+    shared = stage(signed.withColumn("new", ~F.coalesce(again, F.lit(False)))
+                   .withColumn("n", F.sum(F.col("new").cast("int")).over(by)).where("new and n > 1").drop("new"), "shared")
+    sets = (shared.where(F.col("n") <= BUCKET).groupBy("signature")
+            .agg(F.sort_array(F.collect_list(F.struct("node", "tag"))).alias("m")))  # at most BUCKET
+    pairs = (sets.select("m", F.posexplode("m").alias("i", "a"))
+             .select("a", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("b"))
+             .groupBy(F.col("a.node").alias("src"), F.col("b.node").alias("dst"),
+                      F.floor(F.col("a.tag") / TAG).alias("group"))
+             .agg(F.count(F.lit(1)).alias("times"), F.max(F.greatest(F.col("a.tag") % TAG, F.col("b.tag") % TAG)).alias("need")))
+    crowd = shared.where(F.col("n") > BUCKET)
+    rest = crowd.groupBy("node", F.floor(F.col("tag") / TAG).alias("group")).agg(F.count(F.lit(1)).alias("uncounted"))
+    for end in ("src", "dst"):
+        pairs = pairs.join(rest.withColumnsRenamed({"node": end, "uncounted": f"{end}_more"}), [end, "group"], "left")
+    more = F.least(F.coalesce("src_more", F.lit(0)), F.coalesce("dst_more", F.lit(0)))
+    stars = (crowd.withColumn("first", F.min("node").over(by.orderBy("node"))).where("node != first")
+             .select(F.col("node").alias("src"), F.col("first").alias("dst")))
+    return pairs.where(F.col("times") + more >= F.col("need")).select("src", "dst").union(stars).distinct()
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                        percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_shingles, component_id, component, text_key) of every row: rows whose sets reach ``percent`` of
@@ -278,11 +315,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     sets = stage(texts.mapInArrow(lambda it: _sets(it, width), "doc_id long, text_key long, n long, node long"), "sets")
 
-    signed = texts.select("text").mapInArrow(lambda it: _signed(it, width, percent), "signature long, node long")
-    first = F.min("node").over(Window.partitionBy("signature").orderBy("node"))
-    ties = (signed.withColumn("first", first).where("node != first")
-            .select(F.col("node").alias("src"), F.col("first").alias("dst")).distinct())
-    ties = stage(ties, "ties")
+    signed = texts.select("text").mapInArrow(lambda it: _signed(it, width, percent), "signature long, node long, tag int")
+    ties = stage(_ties(signed), "ties")
     nodes = ties.select(F.col("src").alias("id")).union(ties.select(F.col("dst").alias("id"))).distinct()
     groups = connected_components(nodes, ties).select(F.col("id").alias("node"), F.col("component").alias("group"))
 
@@ -292,10 +326,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = stage(wanted.join(shares, "group").select("text_key", "node", "group", "n_chunks", "n"), "wanted")
     total = wanted.agg(F.sum(F.col("n") * F.col("n_chunks"))).first()[0] or 0
     blocks = max(shuffle_width(spark), total // chunk + 1)
-    fetched = (texts.select("text_key", "text").join(wanted.drop("n"), "text_key")
+    # one plan at every size: a few groups would else be broadcast and the texts stay where they are
+    fetched = (texts.select("text_key", "text").join(wanted.drop("n").hint("merge"), "text_key")
+               .dropDuplicates(["text_key"])  # of copies one; where the join has put them
                .select("node", "group", "n_chunks", "text").mapInArrow(
-                   lambda it: _shingles(it, width), "node long, group long, n_chunks long, shingles binary")
-               .dropDuplicates(["node"]))
+                   lambda it: _shingles(it, width), "node long, group long, n_chunks long, shingles binary"))
     own = F.pmod(F.xxhash64("node"), F.col("n_chunks"))
     dealt = (fetched.withColumn("chunk", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_chunks") - 1)))
