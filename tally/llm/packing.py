@@ -37,7 +37,7 @@ END_ID = 1
 #: Pieces numbered by one window, and ranks of one length joined to the runs by one key.
 BUCKET_ROWS = 50_000
 #: Distinct words whose ids a Python worker keeps (about 200 bytes each).
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
