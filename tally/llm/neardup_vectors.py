@@ -9,9 +9,15 @@ members) pruned robustly to ``DEGREE`` edges, reverse edges added, and members
 that the medoid cannot reach attached.  The adjacency lists of a node from all
 its blocks are united.  Every node then searches all blocks of its nearest
 cluster: greedily from the medoid with a beam, and from what it finds in range
-on to all in range, counting exact cosines in double precision.  A search
-gives the number of links and a spanning forest, never the pairs.  ``audit``
-measures recall against brute force.
+on to all in range (past a beam full of them by comparing the whole block),
+counting exact cosines in double precision.  Links between
+nodes of two nearest clusters are found over the border: a node can only be
+linked into clusters whose border (where both centroids are equally near) the
+threshold's angle reaches.  Clusters are taken together in regions of about
+``REGION`` nodes; a node asks the regions of such clusters, one region of each
+two the other, where it is compared with all nodes at home, and a link counts
+for both ends.  A search gives the number of links and a spanning forest, never the
+pairs.  ``audit`` measures recall against brute force.
 
 Nulls and edge cases: vectors that are null, empty, zero or hold a null or
 non-finite component, and rows without label, link with nothing; vectors of
@@ -38,9 +44,13 @@ SHARD = 2000
 SAMPLE = 40_000
 OVERLAP = 3
 DEGREE = 20
+#: Nodes of one side of a border search.
+REGION = 20_000
 BEAM = 32
 ALPHA = 1.2
 NEAREST, RANDOM = 48, 16
+#: What a node is in a cluster: at home in its nearest, a member of the next ones, or only asking over the border.
+NEAR, MEMBER, ASKS = 0, 1, 2
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,22 +67,36 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["vec_id", "label", "v"])
 
 
-def _members(batches: Iterator[pa.RecordBatch], centres: dict) -> Iterator[pa.RecordBatch]:
-    """(node, space, cluster, nearest, v): a row for each cluster that a node is a member of."""
+def _placed(batches: Iterator[pa.RecordBatch], centres: dict, threshold: float, per: int) -> Iterator[pa.RecordBatch]:
+    """(node, space, cluster, region, role, v, times): a row for each cluster that a node is a member of, and one for
+    each region (``per`` clusters) that it must ask; an asking row has the node's nearest cluster."""
+    reach = np.sqrt(1 - threshold ** 2) if threshold > 0 else np.inf
+    lengths = {s: (own * own).sum(axis=1) for s, own in centres.items()}
     for batch in batches:
-        nodes, blobs = batch.column(0).to_numpy(), batch.column(2).to_pylist()
+        nodes, blobs, times = batch.column(0).to_numpy(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
         rows: list[tuple] = []
         for k, space in enumerate(batch.column(1).to_pylist()):
             own = centres.get(space)
             if own is None:
-                rows.append((nodes[k], space, 0, True, blobs[k]))
+                rows.append((nodes[k], space, 0, 0, NEAR, blobs[k], times[k]))
                 continue
-            order = np.argsort(-(own @ np.frombuffer(blobs[k])), kind="stable")[:OVERLAP]
-            rows += [(nodes[k], space, int(c), i == 0, blobs[k]) for i, c in enumerate(order)]
-        cols = list(zip(*rows, strict=True)) or [[]] * 5
-        kinds = (pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.binary())
+            sims = own @ np.frombuffer(blobs[k])
+            order = np.argsort(-sims, kind="stable")[:OVERLAP]
+            rows += [(nodes[k], space, int(c), int(c) // per, MEMBER if i else NEAR, blobs[k], times[k])
+                     for i, c in enumerate(order)]
+            # the home of a linked node: the border to it is no farther than the threshold's angle reaches
+            first = int(order[0])
+            apart = np.sqrt(np.maximum(lengths[space] + lengths[space][first] - 2 * (own @ own[first]), 0))
+            near = (sims[first] - sims <= reach * apart + 1e-7) if threshold > 0 else np.ones(len(own), bool)
+            near[first] = False
+            mine = first // per
+            for r in np.unique(np.flatnonzero(near) // per).tolist():
+                if r == mine or (r > mine) ^ ((r + mine) % 2 == 1):  # one of two regions asks the other
+                    rows.append((nodes[k], space, first, r, ASKS, blobs[k], times[k]))
+        cols = list(zip(*rows, strict=True)) or [[]] * 7
+        kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                         names=["node", "space", "cluster", "nearest", "v"])
+                                         names=["node", "space", "cluster", "region", "role", "v", "times"])
 
 
 def medoid(x: np.ndarray) -> int:
@@ -179,7 +203,12 @@ def range_search(queries: np.ndarray, x: np.ndarray, out: list[np.ndarray], thre
         all_done = np.concatenate((done[active], ~fresh), axis=1)
         top = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
         ids[active], sims[active], done[active] = (np.take_along_axis(v, top, axis=1) for v in (all_ids, all_sims, all_done))
-    front = np.nonzero(hit)
+    crowded = np.flatnonzero(hit.sum(axis=1) >= beam)  # more than the beam in range: every row is compared
+    for a in range(0, len(crowded), 500):
+        hit[crowded[a:a + 500]] = queries[crowded[a:a + 500]] @ x.T >= threshold
+    open_ = hit.copy()
+    open_[crowded] = False
+    front = np.nonzero(open_)
     while len(front[0]):  # on from all in range, until nothing new is in range
         found_q, found_row = [], []
         for a in range(0, len(front[0]), 20_000):
@@ -202,15 +231,58 @@ def _built(block: pa.Table) -> pa.Table:
     return pa.table({"node": nodes, "near": pa.array([nodes[g] for g in graph], pa.list_(pa.int64()))})
 
 
+def _parts(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Component of each row and of each column of a bipartite graph, named by a row; -1 without a hit."""
+    row_of, col_of = np.full(hit.shape[0], -1), np.full(hit.shape[1], -1)
+    some = hit.any(axis=1)
+    for start in np.flatnonzero(some):
+        front = [start] if row_of[start] < 0 else []
+        while len(front):
+            row_of[front] = start
+            cols = np.flatnonzero(hit[front].any(axis=0) & (col_of < 0))
+            col_of[cols] = start
+            front = np.flatnonzero(hit[:, cols].any(axis=1) & (row_of < 0))
+    return row_of, col_of
+
+
+class Forest:
+    """Union-find over nodes, fed with hits of rows against columns."""
+
+    def __init__(self) -> None:
+        self.label: dict[int, int] = {}
+
+    def find(self, u: int) -> int:
+        while self.label.setdefault(u, u) != u:
+            self.label[u] = u = self.label[self.label[u]]
+        return u
+
+    def tie(self, hit: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> None:
+        row_of, col_of = _parts(hit)
+        for of, names in ((row_of, rows), (col_of, cols)):
+            for k in np.flatnonzero(of >= 0):
+                low, high = sorted((self.find(int(names[k])), self.find(int(rows[of[k]]))))
+                self.label[high] = low
+
+    def counted(self, nodes: list[np.ndarray], counts: list[np.ndarray]) -> pa.Table:
+        """(node, n, root) of all counted or tied nodes."""
+        tied = np.array(list(self.label), np.int64)
+        node, back = np.unique(np.concatenate([*nodes, tied]), return_inverse=True)
+        n = np.zeros(len(node), np.int64)
+        np.add.at(n, back, np.concatenate([*counts, np.zeros(len(tied), np.int64)]))
+        return pa.table({"node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64()),
+                         "root": pa.array([self.find(u) if u in self.label else u for u in node.tolist()], pa.int64())})
+
+
 def _searched(work: pa.Table, threshold: float) -> pa.Table:
-    """(node, n, root): links of the queries in the block, and a forest of them."""
+    """(node, n, root): links of the queries with nodes at home in the block, and a forest of all links found."""
     work = work.combine_chunks()
     is_query = np.array(work.column("query").to_pylist(), bool)
     x = matrix(work.column("v"))
     nodes = work.column("node").to_numpy()
     q_at, g_at = np.flatnonzero(is_query), np.flatnonzero(~is_query)
+    forest, counts = Forest(), []
     if not len(q_at) or not len(g_at):
-        return pa.table({c: pa.array([], pa.int64()) for c in ("node", "n", "root")})
+        return forest.counted([], [])
     members = nodes[g_at]
     order = np.argsort(members)
     lists = work.column("near").to_pylist()
@@ -220,32 +292,35 @@ def _searched(work: pa.Table, threshold: float) -> pa.Table:
         at = np.minimum(np.searchsorted(members[order], near), len(order) - 1)
         out.append(order[at[members[order][at] == near]])
     out = _attached(x[g_at], out)
-    times = work.column("times").to_numpy()[g_at]
-    counts, src, root = [], [], []
-    label = {}
-
-    def find(u: int) -> int:
-        while label.setdefault(u, u) != u:
-            label[u] = u = label[label[u]]
-        return u
-
+    # a node counts in its nearest cluster only; over the border _crossed counts it
+    times = np.where(work.column("role").to_numpy() == NEAR, work.column("times").to_numpy(), 0)[g_at]
     for a in range(0, len(q_at), 1000):
         some = q_at[a:a + 1000]
         hit = range_search(x[some], x[g_at], out, threshold)
         hit &= members[None, :] != nodes[some][:, None]
         counts.append(hit @ times)
-        for i in np.flatnonzero(hit.any(axis=1)):
-            mine = find(int(nodes[some[i]]))
-            for other in {find(int(v)) for v in members[hit[i]]}:
-                low, high = min(mine, other), max(mine, other)
-                label[high] = low
-                mine = low
-    counted = np.concatenate(counts)
-    own = nodes[q_at].tolist()
-    extra = [u for u in label if u not in set(own)]
-    return pa.table({"node": pa.array(own + extra, pa.int64()),
-                     "n": pa.array(np.concatenate((counted, np.zeros(len(extra)))).astype(np.int64)),
-                     "root": pa.array([find(u) if u in label else u for u in own + extra], pa.int64())})
+        forest.tie(hit, nodes[some], members)
+    return forest.counted([nodes[q_at]], counts)
+
+
+def _crossed(work: pa.Table, threshold: float) -> pa.Table:
+    """(node, n, root): links between asking nodes and nodes at home in other clusters, for both ends, and a forest."""
+    work = work.combine_chunks()
+    asks = work.column("role").to_numpy() == ASKS
+    x = matrix(work.column("v"))
+    nodes, times, cluster, mine = (work.column(c).to_numpy() for c in ("node", "times", "cluster", "mine"))
+    q_at, h_at = np.flatnonzero(asks), np.flatnonzero(~asks)
+    forest, ends, counts = Forest(), [], []
+    homes = x[h_at]
+    for a in range(0, len(q_at) if len(h_at) else 0, 500):
+        some = q_at[a:a + 500]
+        hit = x[some] @ homes.T >= threshold
+        # within a region the lower cluster's nodes ask
+        hit &= ~mine[some][:, None] | (cluster[some][:, None] < cluster[h_at][None, :])
+        ends += [nodes[some], nodes[h_at]]
+        counts += [hit @ times[h_at], times[some] @ hit]
+        forest.tie(hit, nodes[some], nodes[h_at])
+    return forest.counted(ends, counts)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -267,22 +342,40 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     for space, n in sorted({(r["space"], r["n"]) for r in sample}):
         x = np.array([np.frombuffer(r["v"]) for r in sample if r["space"] == space])
         centres[space] = spherical_means(x, min(-(-n * OVERLAP // shard), max(1, len(x) // 8)))
-    members = nodes.select("node", "space", "v").mapInArrow(
-        lambda it: _members(it, centres), "node long, space string, cluster int, nearest boolean, v binary")
-    members = members.withColumn("shard", F.xxhash64("space", "cluster")).drop("space", "cluster")
+    per = max(1, REGION * OVERLAP // shard)
+    placed = nodes.select("node", "space", "v", "times").mapInArrow(
+        lambda it: _placed(it, centres, threshold, per),
+        "node long, space string, cluster int, region int, role int, v binary, times long")
+    placed = stage(placed.withColumn("shard", F.xxhash64("space", "cluster"))
+                   .withColumn("region", F.xxhash64("space", "region", F.lit("region")))
+                   .withColumn("mine", F.col("region") == F.xxhash64("space", F.floor(F.col("cluster") / per).cast("int"),
+                                                                      F.lit("region"))), "placed")
+    cut = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    members = placed.where(F.col("role") != ASKS).select("shard", "node", "role", "v", "times")
     sizes = members.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / (2 * shard)).alias("blocks"))
-    members = stage(members.join(sizes, "shard").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))),
-                    "members")
+    members = stage(members.join(sizes, "shard").withColumn("block", cut("blocks")), "members")
     near = (members.groupBy("shard", "block").applyInArrow(_built, "node long, near array<long>")
             .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    graph = (members.join(near, "node").join(nodes.select("node", "times"), "node").withColumn("part", every)
-             .select("shard", F.col("block").alias("to"), "part", "node", "v", "near", "times", F.lit(False).alias("query")))
-    asked = (members.where("nearest").withColumn("to", every)
-             .select("shard", "to", F.col("block").alias("part"), "node", "v", F.lit(None).cast("array<long>").alias("near"),
-                     F.lit(0).cast("long").alias("times"), F.lit(True).alias("query")))
-    found = stage(graph.unionByName(asked).groupBy("shard", "to", "part").applyInArrow(
-        lambda t: _searched(t, threshold), "node long, n long, root long"), "found")
+    graph = (members.join(near, "node").withColumn("part", each("blocks"))
+             .select("shard", F.col("block").alias("to"), "part", "node", "role", "v", "near", "times", F.lit(False).alias("query")))
+    asked = (members.where(F.col("role") == NEAR).withColumn("to", each("blocks"))
+             .select("shard", "to", F.col("block").alias("part"), "node", "role", "v",
+                     F.lit(None).cast("array<long>").alias("near"), "times", F.lit(True).alias("query")))
+    inside = graph.unionByName(asked).groupBy("shard", "to", "part").applyInArrow(
+        lambda t: _searched(t, threshold), "node long, n long, root long")
+    ends_of = lambda role: F.ceil(F.count(F.when(F.col("role") == role, 1)) / max(REGION, shard))
+    regions = (placed.where(F.col("role") != MEMBER).groupBy("region")
+               .agg(ends_of(NEAR).alias("blocks"), ends_of(ASKS).alias("parts")).where("blocks > 0 and parts > 0"))
+    border = placed.where(F.col("role") != MEMBER).join(regions, "region")
+    asks = F.col("role") == ASKS
+    border = (border.withColumn("to", F.when(asks, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array(cut("blocks"))))
+              .withColumn("part", F.when(asks, F.array(cut("parts"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+              .withColumn("to", F.explode("to")).withColumn("part", F.explode("part"))
+              .select("region", "to", "part", "node", "role", "cluster", "mine", "v", "times"))
+    over = border.groupBy("region", "to", "part").applyInArrow(
+        lambda t: _crossed(t, threshold), "node long, n long, root long")
+    found = stage(inside.union(over), "found")
     links = found.where("node != root").select(F.col("node").alias("src"), F.col("root").alias("dst")).distinct()
     ends = links.select(F.col("src").alias("id")).union(links.select(F.col("dst").alias("id"))).distinct()
     named = connected_components(ends, links).select(F.col("id").alias("node"), "component")

@@ -121,6 +121,26 @@ def test_near_vectors_audit(spark):
     assert found["links"] > 0 and found["recall"] == 1.0
 
 
+def test_near_vectors_of_a_dense_group(spark):
+    """A group that its label's centroids cut up keeps all links, and so do its rim and the scattered rest."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    rest = unit(rng.normal(size=(6_000, 64)))
+    x = unit(np.concatenate((unit(rng.normal(size=(1, 64))) + rng.normal(size=(10_000, 64)) * 0.012, rest,
+                             rest[:1500] + rng.normal(size=(1500, 64)) * 0.02)))
+    true = np.concatenate([(x[a:a + 500] @ x.T >= 0.98).sum(axis=1) - 1 for a in range(0, len(x), 500)])
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float64()))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": vectors,
+                                         "label": np.zeros(len(x), np.int64)}))
+    got = {r["vec_id"]: r["n_links"] for r in near_duplicates(df).select("vec_id", "n_links").collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert true[:10_000].min() > 9_000 and (found <= true).all()
+    assert found.sum() >= 0.999 * true.sum() and (found == true).mean() > 0.99
+
+
 def test_empty_tables(spark):
     texts = spark.createDataFrame([], TEXTS)
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
