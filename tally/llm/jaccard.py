@@ -22,8 +22,9 @@ the smallest (a star, not all pairs), and lowers the bound of its sets' other
 pairs by one.  The components of the ties are the candidate groups.  The
 shingles of the texts in a group are then fetched and all pairs of a group are
 compared by exact intersection counts, in blocks: a group of more than ``CHUNK``
-shingles is split into chunks and each pair of chunks is a task's work.  A block
-gives a spanning forest of its links, never the pairs.
+shingles or ``SETS`` sets is split into chunks and each pair of chunks is a
+task's work, done in stripes of ``STRIPE`` sets.  A block gives a spanning forest
+of its links, never the pairs.
 
 Nulls and edge cases: null and empty texts have no set and link with nothing;
 a text of fewer words than ``width`` is one shingle; equal texts and repeated
@@ -36,7 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement, product
 from math import exp
 
 import numpy as np
@@ -58,6 +59,9 @@ BUCKET = 64
 TAG = 64
 #: Shingles of a group that one block holds from each side.
 CHUNK = 1_000_000
+#: Sets that one block holds from each side, and sets and shingles of a comparison.
+SETS = 20_000
+STRIPE, WINDOW = 2000, 2048
 #: A set's hashes keep 52 bits: the upper 12 number the texts of a slice.
 KEEP = np.uint64((1 << 52) - 1)
 
@@ -219,44 +223,73 @@ def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
                                              names=["node", "group", "n_chunks", "shingles"])
 
 
+def _links(left: tuple, right: tuple, percent: int) -> np.ndarray:
+    """Which sets of two stripes reach ``percent``; a stripe is (sizes, owner, column), sorted by column."""
+    (sizes, owner, column), (sizes_r, owner_r, column_r) = left, right
+    total = np.zeros((len(sizes), len(sizes_r)), np.float32)
+    both = np.intersect1d(column, column_r)
+    for at in range(0, len(both), WINDOW):
+        some = both[at:at + WINDOW]
+        parts = []
+        for n, own, col in ((len(sizes), owner, column), (len(sizes_r), owner_r, column_r)):
+            x, y = np.searchsorted(col, [some[0], some[-1] + 1])
+            place = np.searchsorted(some, col[x:y])
+            ok = some[place] == col[x:y]
+            part = np.zeros((n, len(some)), np.float32)
+            part[own[x:y][ok], place[ok]] = 1
+            parts.append(part)
+        total += parts[0] @ parts[1].T
+    union = sizes[:, None] + sizes_r[None, :] - total.astype(np.float64)
+    return 100 * total.astype(np.float64) >= percent * union
+
+
 def linked(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links among ``sets``; where ``side`` has two values, only across them."""
+    """Spanning forest of the links among ``sets``; where ``side`` has two values, only across them.  Stripes of sets
+    are compared pair by pair, so memory does not grow with the square of their number."""
     m = len(sets)
     sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(m), sizes)
     flat, back, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count > 1
     number = np.cumsum(shared) - 1
-    keep = shared[back]
-    owner, column = owner[keep], number[back[keep]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    total = np.zeros((m, m), np.float32)
-    width = max(256, min(4096, (16 << 20) // max(1, m)))
-    for at in range(0, int(number[-1]) + 1 if len(number) else 0, width):
-        x, y = np.searchsorted(column, [at, at + width])
-        rows, place = np.unique(owner[x:y], return_inverse=True)
-        if len(rows) < 2:
-            continue
-        part = np.zeros((len(rows), width), np.float32)
-        part[place, column[x:y] - at] = 1
-        total[np.ix_(rows, rows)] += part @ part.T
-    union = sizes[:, None] + sizes[None, :] - total
-    link = 100 * total.astype(np.float64) >= percent * union.astype(np.float64)
+    upto = np.concatenate(([0], np.cumsum(sizes)))
+    stripes: list[list] = [[], []]
+    for k in (0, 1):
+        rows = np.flatnonzero(side == bool(k))
+        for a in range(0, len(rows), STRIPE):
+            some = rows[a:a + STRIPE]
+            entry = np.concatenate([back[upto[r]:upto[r + 1]] for r in some])
+            owner = np.repeat(np.arange(len(some)), sizes[some])
+            keep = shared[entry]
+            owner, column = owner[keep], number[entry[keep]]
+            order = np.argsort(column, kind="stable")
+            stripes[k].append((some, (sizes[some], owner[order], column[order])))
     if side.any():
-        link &= side[:, None] != side[None, :]
-    np.fill_diagonal(link, False)
-    seen, edges = np.zeros(m, bool), []
-    for start in range(m):
-        if seen[start]:
+        pairs = product(*stripes)
+    else:
+        pairs = combinations_with_replacement(stripes[0], 2)
+    component, edges = np.arange(m), []
+    for (rows, left), (cols, right) in pairs:
+        held = np.unique(component[np.concatenate((rows, cols))])
+        if len(held) == 1:  # one class already
             continue
-        seen[start] = True
-        front = [start]
-        while front:
-            found = np.flatnonzero(link[front].any(axis=0) & ~seen)
-            seen[found] = True
-            edges += [(start, int(x)) for x in found]
-            front = found.tolist()
+        link = _links(left, right, percent)
+        open_ = np.ones(len(cols), bool)
+        done = np.zeros(len(rows), bool)
+        for start in np.flatnonzero(link.any(axis=1)):
+            if done[start]:
+                continue
+            reached, front = [int(rows[start])], np.array([start])
+            while len(front):
+                done[front] = True
+                found = np.flatnonzero(link[front].any(axis=0) & open_)
+                open_[found] = False
+                reached += cols[found].tolist()
+                front = np.flatnonzero(link[:, found].any(axis=1) & ~done)
+                reached += rows[front].tolist()
+            names, first = np.unique(component[reached], return_index=True)
+            if len(names) > 1:
+                edges += [(reached[0], reached[int(x)]) for n, x in zip(names, first, strict=True) if n != component[reached[0]]]
+                component[np.isin(component, names)] = names[0]
     return edges
 
 
@@ -322,7 +355,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     one = sets.where("node is not null").groupBy("node").agg(F.min("text_key").alias("text_key"), F.max("n").alias("n"))
     wanted = one.join(groups, "node")
-    shares = wanted.groupBy("group").agg(F.ceil(F.sum("n") / chunk).alias("n_chunks"))
+    shares = wanted.groupBy("group").agg(
+        F.greatest(F.ceil(F.sum("n") / chunk), F.ceil(F.count(F.lit(1)) / SETS)).alias("n_chunks"))
     wanted = stage(wanted.join(shares, "group").select("text_key", "node", "group", "n_chunks", "n"), "wanted")
     total = wanted.agg(F.sum(F.col("n") * F.col("n_chunks"))).first()[0] or 0
     blocks = max(shuffle_width(spark), total // chunk + 1)

@@ -78,6 +78,50 @@ def test_jaccard_on_documents(spark):
     assert brute.ordered(op2_ngram_jaccard_join(spark, SF_SMALL).collect()) == brute.jaccard(rows, 3, 90)
 
 
+def test_links_of_many_short_sets():
+    """Memory of a large group of short near copies follows its sets, not their square."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tally.llm.jaccard import linked
+    rng = np.random.default_rng(2)
+    base = np.arange(100, dtype=np.uint64)
+    sets = [np.sort(np.append(base[2:], rng.integers(1000, 1 << 50, 2).astype(np.uint64))) for _ in range(6000)]
+    sets.append(np.arange(500, 600, dtype=np.uint64))
+    for side in (np.zeros(6001, bool), np.arange(6001) % 2 == 1):
+        tracemalloc.start()
+        edges = linked(sets, side, 90)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 500 << 20
+        assert len(edges) == 5999 and {x for e in edges for x in e} == set(range(6000))
+
+
+@pytest.mark.parametrize("stripe", [2000, 7])
+def test_links_against_pairs(stripe, monkeypatch):
+    import numpy as np
+
+    from tally.llm import jaccard
+    monkeypatch.setattr(jaccard, "STRIPE", stripe, raising=False)
+    monkeypatch.setattr(jaccard, "WINDOW", 16, raising=False)
+    rng = np.random.default_rng(5)
+    base = [rng.choice(1 << 40, 40, replace=False).astype(np.uint64) for _ in range(6)]
+    sets = [np.sort(rng.choice(base[i % 6], int(rng.integers(34, 41)), replace=False)) for i in range(60)]
+    for side in (np.zeros(60, bool), rng.random(60) < 0.4):
+        names = list(range(60)), list(range(60))
+        pairs = [(i, j) for i in range(60) for j in range(i) if (not side.any() or side[i] != side[j])
+                 and 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= 85 * (len(sets[i]) + len(sets[j]) - both)]
+        edges = jaccard.linked(sets, side, 85)
+        assert len(pairs) > len(edges) > 0
+        for name, found in zip(names, (pairs, edges), strict=True):
+            for a, b in found:
+                old, new = name[a], name[b]
+                name[:] = [new if n == old else n for n in name]
+        assert len(set(names[0])) == 60 - len(edges)
+        assert all((names[0][i] == names[0][j]) == (names[1][i] == names[1][j]) for i in range(60) for j in range(i))
+
+
 def test_signatures_meet_for_every_linked_pair():
     """PartEnum loses no pair: sets at exactly the allowed difference share a signature."""
     import numpy as np
