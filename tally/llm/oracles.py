@@ -80,3 +80,43 @@ SELECT e.vec_id, (SELECT count(*) FROM edges WHERE x = e.vec_id) AS n_links,
        e.vec_id = (SELECT min(b) FROM reach WHERE a = e.vec_id) AS kept
 FROM embeddings e
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op12_phrase_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), total AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS (
+  SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+  FROM w, unnest(range(1, 6)) AS u(k), unnest(range(1, len(ws) - k + 2)) AS v(i) GROUP BY ALL HAVING count(*) >= 100
+), cand AS (
+  SELECT lang, phrase, k AS words, f AS a FROM f WHERE k >= 2
+), inside AS (
+  SELECT c.lang, array_to_string(string_split(c.phrase, ' ')[s:s + m - 1], ' ') AS phrase, max(c.a) AS longer
+  FROM cand c, unnest(range(2, c.words)) AS u(m), unnest(range(1, c.words - m + 2)) AS v(s) GROUP BY ALL
+), free AS (
+  SELECT c.* FROM cand c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase WHERE i.longer IS NULL OR 100 * i.longer < 100 * c.a
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, total.n, cut, l.f AS l, r.f AS r,
+         CAST((CAST(1000 AS HUGEINT) * c.a * total.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM free c, unnest(range(1, c.words)) AS u(cut), f l, f r, total
+  WHERE total.lang = c.lang AND l.lang = c.lang AND r.lang = c.lang
+    AND l.phrase = array_to_string(string_split(c.phrase, ' ')[1:cut], ' ')
+    AND r.phrase = array_to_string(string_split(c.phrase, ' ')[cut + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+SQL["op13_exact_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM d
+"""

@@ -116,3 +116,63 @@ def best_fit(lengths: list[int], cap: int) -> list[int]:
         else:
             bins.append(n)
     return sorted(bins)
+
+
+def _pieces(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [w for p in re.split(r"[.,;:!?\x0A-\x0D]", low) if (w := re.findall(r"[^\x20\x09]+", p))]
+
+
+def collocations(rows, least: int, longest: int, top: int) -> list:
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for w in _pieces(text):
+            n[lang] += len(w)
+            f.update((lang, *w[i:i + k]) for k in range(1, longest + 1) for i in range(len(w) - k + 1))
+    cand = {p: a for p, a in f.items() if len(p) > 2 and a >= least}
+    inside: dict = {}
+    for (lang, *w), a in cand.items():
+        for k in range(2, len(w)):
+            for i in range(len(w) - k + 1):
+                inside[(lang, *w[i:i + k])] = max(a, inside.get((lang, *w[i:i + k]), 0))
+    out = defaultdict(list)
+    for (lang, *w), a in cand.items():
+        if inside.get((lang, *w), 0) >= a:
+            continue
+        score, k = min((1000 * a * n[lang] // (f[(lang, *w[:k])] * f[(lang, *w[k:])]), k) for k in range(1, len(w)))
+        out[lang].append((-score, -a, " ".join(w).encode(), f[(lang, *w[:k])], f[(lang, *w[k:])]))
+    return ordered((lang, rank, p.decode(), -a, x, y, n[lang], -score)
+                   for lang, found in out.items() for rank, (score, a, p, x, y) in enumerate(sorted(found)[:top], 1))
+
+
+def equal_texts(rows) -> list:
+    groups = defaultdict(list)
+    norm = ["".join(c.lower() if "A" <= c <= "Z" else c for c in t or "") for _, t in rows]
+    for i, t in enumerate(norm):
+        groups[t].append(i)
+    out = []
+    for i, (d, _) in enumerate(rows):
+        ids = [rows[j][0] for j in groups[norm[i]]]
+        named = [x for x in ids if x is not None]
+        out.append((d, max(named) if named else None, len(ids), hashlib.sha256(norm[i].encode()).hexdigest()))
+    return ordered(out)
+
+
+def integer_rows(rows) -> list:
+    """(id, Python integers) of the usable vectors."""
+    return [(d, [int(np.floor(1024 * float(c))) + 100_000 for c in v]) for d, v in rows
+            if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+
+
+def whitened(rows, components: int = 8):
+    """Ids, exact deviations, whitened rows, explained shares: two plain passes over the rows."""
+    fit = integer_rows(rows)
+    n, dim = len(fit), len(fit[0][1])
+    sums = [sum(x[d] for _, x in fit) for d in range(dim)]
+    exact = [[n * x[d] - sums[d] for d in range(dim)] for _, x in fit]
+    z = np.array([[float(v) / n for v in r] for r in exact])
+    e, u = np.linalg.eigh(z.T @ z / n)
+    e, u = e[::-1], u[:, ::-1]
+    k = min(components, dim)
+    return ([d for d, _ in fit], [sum(v * v for v in r) for r in exact], z @ u[:, :k] / np.sqrt(np.where(e[:k] > 0, e[:k], 1)), e[:k] / e.sum())
