@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tally.session import scratch_path
@@ -20,3 +23,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While it holds, Arrow batches have at most ``rows`` rows, for plans that are run inside it.
+
+    A batch's buffers lie outside the heap, on both sides of the pipe and at up to twice their size while they grow; ten
+    thousand long texts are too many.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
