@@ -36,7 +36,6 @@ columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations, combinations_with_replacement, product
 from math import exp
 
@@ -94,20 +93,31 @@ def set_digests(row: np.ndarray, value: np.ndarray, n_rows: int) -> np.ndarray:
     return mix(sums ^ mix(np.bincount(row, minlength=n_rows).astype(np.uint64)))
 
 
-@lru_cache(maxsize=None)
-def bands(percent: int, upto: int) -> list[tuple[int, int]]:
-    """Size bands (smallest, largest): neighbours hold every size linked to a size of the band."""
+def bands(percent: int, upto: int, _kept: dict = {}) -> list[tuple[int, int]]:
+    """Size bands (smallest, largest): neighbours hold every size linked to a size of the band.
+
+    Results are kept in a default argument: it travels with a function that is pickled by value, as a cache wrapper's
+    function does not.
+    """
+    if (percent, upto) in _kept:
+        return _kept[percent, upto]
     out, low = [], 1
     while low <= upto:
         high = max(low, low * 100 // percent)
         out.append((low, high))
         low = high + 1
+    _kept[percent, upto] = out
     return out
 
 
-@lru_cache(maxsize=None)
-def plan(percent: int, group: int, upto: int) -> tuple[int, int, int]:
+def plan(percent: int, group: int, upto: int, _kept: dict = {}) -> tuple[int, int, int]:
     """(differences, parts, spare) for sets of bands ``group - 1`` and ``group``."""
+    if (percent, group, upto) not in _kept:
+        _kept[percent, group, upto] = _plan(percent, group, upto)
+    return _kept[percent, group, upto]
+
+
+def _plan(percent: int, group: int, upto: int) -> tuple[int, int, int]:
     sizes = bands(percent, upto)
     high = sizes[group][1]
     low = sizes[max(0, group - 1)][0]
