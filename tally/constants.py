@@ -43,6 +43,11 @@ FAULT_LEG3_BAD_CURRENCY = 103
 FAULT_LEG2_ZERO = 107
 FAULT_LEG3_BAD_TYPE = 109
 FAULT_MISSING_HEADER = 113
+# replayed postings: legs posted before, and the pairs of (caller, key) that requests share or find claimed
+FAULT_ALREADY_POSTED = 127
+CLAIMED_EARLIER = 131
+REQUEST_CALLERS = 3              # caller C<custkey % 3>
+REQUEST_KEY_SPAN = 7             # key k<orderkey / 7>
 # snapshot faults
 SNAPSHOT_DELETED = 211
 SNAPSHOT_CHANGED = 223

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tally import constants as K
 from tally.functions.columns import MONEY_SUM, domain_ok, sum_where
+from tally.functions.skew import join_back
 from tally.sources.storage import write_by_month
 
 VIOLATION_COLS = ["rule", "entity", "entity_key", "detail"]
@@ -233,29 +234,41 @@ def posting_unit() -> Column:
     return F.coalesce(F.col("transaction_id"), F.concat(F.lit("entry:"), F.coalesce("entry_id", F.lit(""))))
 
 
-def posting_verdicts(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
+def posting_verdicts(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, posted=None,
+                     requests: DataFrame | None = None, claims=None) -> DataFrame:
     """INT-1 in one pass: one row per staged transaction with every rule's verdict and its leg count.
 
     The legs are joined once to the (wallet, currency) pairs and once to the
     header ids, flagged per leg, and aggregated per (transaction, currency)
     and per (transaction, entry), whatever the number of rules.  A leg without
     a transaction id belongs to no atomic unit: it is a unit of its own, named
-    by its entry id, and breaks ``not_null``.
+    by its entry id, and breaks ``not_null``.  Platform wallets are hot: their
+    pairs go to salted keys.
+
+    ``posted``: the KeyedTable of posted entries; a leg whose entry id it has
+    breaks ``already_posted``.  ``requests`` (transaction_id, caller_id, key,
+    created_at) and ``claims``, the KeyedTable of earlier claims, add
+    ``key_claimed`` (see ``claim_verdicts``).
     """
     staged = staged.withColumn("unit", posting_unit())
-    pairs = wallets.groupBy("wallet_id", "currency").agg(F.lit(True).alias("_wallet"))
+    pairs = wallets.select("wallet_id", "currency").distinct().withColumn("_wallet", F.lit(True))
     heads = transactions.groupBy("transaction_id").agg(F.lit(True).alias("_header"))
     not_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in NOT_NULL_RULES["entries"]])
-    legs = (staged.join(pairs, ["wallet_id", "currency"], "left")
-            .join(heads, "transaction_id", "left")
-            .select("unit", "entry_id", "currency", "type", "amount",
+    legs = (join_back(staged, pairs, ["wallet_id", "currency"], "left", spread=["entry_id", "transaction_id"])
+            .join(heads, "transaction_id", "left"))
+    leg_rules = GATE_RULES[:5]
+    if posted is not None:
+        leg_rules += ("already_posted",)
+        there = posted.holds(staged.select("entry_id")).withColumn("already_posted", F.lit(True))
+        legs = legs.join(there, "entry_id", "left")
+    legs = (legs.select("unit", "entry_id", "currency", "type", "amount",
                     (~domain_ok("type", K.ENTRY_TYPES)).alias("bad_type"),
                     not_null.alias("not_null"),
                     F.coalesce(F.col("amount") <= 0, F.lit(False)).alias("amount_not_positive"),
                     (F.col("wallet_id").isNotNull() & F.col("currency").isNotNull()
                      & F.col("_wallet").isNull()).alias("currency_mismatch"),
-                    F.col("_header").isNull().alias("missing_header")))
-    leg_rules = GATE_RULES[:5]
+                    F.col("_header").isNull().alias("missing_header"),
+                    *([F.coalesce("already_posted", F.lit(False)).alias("already_posted")] if posted is not None else [])))
     per_ccy = (legs.groupBy("unit", "currency")
                .agg(sum_where(F.col("type") == "DEBIT").alias("debits"),
                     sum_where(F.col("type") == "CREDIT").alias("credits"),
@@ -267,39 +280,84 @@ def posting_verdicts(staged: DataFrame, transactions: DataFrame, wallets: DataFr
                     *[F.bool_or(r).alias(r) for r in leg_rules]))
     dups = (legs.groupBy("unit", "entry_id").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("unit").agg(F.bool_or(F.col("n") > 1).alias("duplicate_entry")))
-    names = sorted(GATE_RULES)
+    names = sorted({*GATE_RULES, *leg_rules})
     reasons = F.filter(F.array(*[F.when(F.col(r), F.lit(r)) for r in names]), lambda x: x.isNotNull())
-    return (per_txn.join(dups, "unit")
+    units = per_txn.join(dups, "unit")
+    if requests is not None:
+        clean = reduce(lambda a, b: a & b, [~F.coalesce(F.col(r), F.lit(False)) for r in names])
+        told = claim_verdicts(requests, units.where(clean).select(F.col("unit").alias("transaction_id")), claims)
+        units = units.join(told.select(F.col("transaction_id").alias("unit"), "key_claimed"), "unit", "left")
+        reasons = F.array_sort(F.concat(reasons, F.when(F.col("key_claimed"), F.array(F.lit("key_claimed"))).otherwise(F.array())))
+    return (units
             .select(F.col("unit").alias("transaction_id"), "legs", reasons.alias("reasons")))
 
 
-def posting_quarantine(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
+def claim_verdicts(requests: DataFrame, clean: DataFrame, claims=None) -> DataFrame:
+    """INT-1 idempotency: (transaction_id, key_claimed) of every request's transaction.
+
+    A (caller, key) pair belongs to the transaction that claimed it first: one
+    in ``claims`` (a KeyedTable), or else the earliest of the ``clean``
+    transactions of this batch, by request time and id -- a transaction that
+    falls to another rule claims nothing, as its claim would be rolled back with
+    it.  Every other transaction with that pair breaks the rule.  A request
+    without a caller or a key claims nothing.
+    """
+    pair = ["caller_id", "key"]
+    asked = requests.where("caller_id is not null and key is not null and transaction_id is not null")
+    first = (asked.join(clean, "transaction_id", "left_semi").groupBy(*pair)
+             .agg(F.min(F.struct("created_at", "transaction_id"))["transaction_id"].alias("_first")))
+    out = join_back(asked, first, pair, "left", spread=["transaction_id"])
+    taken = F.lit(False)
+    if claims is not None:
+        out = join_back(out, claims.holds(asked.select(*pair)).withColumn("_taken", F.lit(True)), pair, "left",
+                        spread=["transaction_id"])
+        taken = F.coalesce("_taken", F.lit(False))
+    lost = taken | F.coalesce(F.col("_first") != F.col("transaction_id"), F.lit(False))
+    return out.groupBy("transaction_id").agg(F.bool_or(lost).alias("key_claimed"))
+
+
+def posting_quarantine(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, **more) -> DataFrame:
     """SNK-5: one row per rejected transaction with all its reasons and its leg count."""
-    return (posting_verdicts(staged, transactions, wallets).filter(F.size("reasons") > 0)
+    return (posting_verdicts(staged, transactions, wallets, **more).filter(F.size("reasons") > 0)
             .select("transaction_id", F.concat_ws(",", "reasons").alias("reasons"), "legs"))
 
 
-def posting_accepted(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
+def posting_accepted(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, **more) -> DataFrame:
     """INT-1: legs of transactions with no violation -- one bad leg removes all legs of its transaction.
 
     What is not accepted is in ``posting_rejected_legs``; together they are the staged legs.
     """
-    bad = posting_verdicts(staged, transactions, wallets).filter(F.size("reasons") > 0)
+    bad = posting_verdicts(staged, transactions, wallets, **more).filter(F.size("reasons") > 0)
     return (staged.withColumn("unit", posting_unit())
             .join(bad.select(F.col("transaction_id").alias("unit")), "unit", "left_anti").select(*staged.columns))
 
 
-def posting_rejected_legs(staged: DataFrame, transactions: DataFrame, wallets: DataFrame) -> DataFrame:
+def posting_rejected_legs(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, **more) -> DataFrame:
     """SNK-5: the rejected legs themselves, each with its transaction's reasons."""
-    bad = posting_quarantine(staged, transactions, wallets)
+    bad = posting_quarantine(staged, transactions, wallets, **more)
     return (staged.withColumn("unit", posting_unit())
             .join(bad.select(F.col("transaction_id").alias("unit"), "reasons"), "unit")
             .select(*staged.columns, "reasons"))
 
 
-def quarantine(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, path: str) -> None:
+def quarantine(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, path: str, **more) -> None:
     """SNK-5: write the rejected legs with their reasons, by posting month."""
-    write_by_month(posting_rejected_legs(staged, transactions, wallets), path, dynamic=True)
+    write_by_month(posting_rejected_legs(staged, transactions, wallets, **more), path, dynamic=True)
+
+
+def post_batch(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, requests: DataFrame, posted, claims, batch: str) -> bool:
+    """INT-1 / SNK-4: the whole gate, then the accepted legs and their claims appended as ``batch``.
+
+    Running it again -- the same batch, or the same rows under another id --
+    appends nothing.  The legs are committed before the claims; a run that died
+    between them is finished by its rerun, which finds the legs' batch there.
+    """
+    fresh = posted.append_absent(
+        posting_accepted(staged, transactions, wallets, posted=posted, requests=requests, claims=claims), batch, ["created_at"])
+    mine = posted.read().where(F.col("batch") == f"b-{batch}").select("transaction_id")
+    won = requests.join(mine, "transaction_id", "left_semi").withColumn("posting_month", F.date_format("created_at", "yyyy-MM"))
+    claims.append_absent(won, batch, ["created_at", "transaction_id"])
+    return fresh
 
 
 def violations_all(L) -> DataFrame:

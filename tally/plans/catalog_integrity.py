@@ -5,6 +5,8 @@ from __future__ import annotations
 from tally import constants as K
 from tally.operators import integrity as I
 from tally.plans.registry import query
+from tally.session import scratch_path
+from tally.sources.keyed import KeyedTable
 
 
 def _inlist(vals):
@@ -276,6 +278,53 @@ def _posting_accepted(L):
     return I.posting_accepted(L.entries_staged, L.transactions, L.wallet_dim)
 
 
+GATE_SQL = f"""
+    WITH broken AS (
+      SELECT transaction_id, reason FROM ({REASONS_SQL})
+      UNION SELECT transaction_id, 'already_posted' FROM entries_staged
+      WHERE transaction_id IS NOT NULL AND entry_id IN (SELECT entry_id FROM posted_entries)),
+    first_claim AS (
+      SELECT caller_id, key, arg_min(transaction_id, (created_at, transaction_id)) AS winner
+      FROM posting_requests r
+      WHERE r.transaction_id IN (SELECT transaction_id FROM entries_staged)
+        AND r.transaction_id NOT IN (SELECT transaction_id FROM broken)
+      GROUP BY caller_id, key),
+    reasons AS (
+      SELECT transaction_id, reason FROM broken
+      UNION SELECT r.transaction_id, 'key_claimed' FROM posting_requests r
+      LEFT JOIN first_claim f ON f.caller_id = r.caller_id AND f.key = r.key
+      WHERE f.winner <> r.transaction_id OR (r.caller_id, r.key) IN (SELECT (caller_id, key) FROM posted_claims))"""
+
+
+def _gate(L) -> dict:
+    """The posted ledger and its claims, as an earlier batch left them."""
+    path = scratch_path(L.spark, "gate")
+    posted = KeyedTable(L.spark, f"{path}/entries", L.posted_entries.schema, ["entry_id"])
+    posted.append_absent(L.posted_entries, "0", ["created_at"])
+    claims = KeyedTable(L.spark, f"{path}/claims", L.posted_claims.schema, ["caller_id", "key"])
+    claims.append_absent(L.posted_claims, "0", ["created_at", "transaction_id"])
+    return {"posted": posted, "claims": claims, "requests": L.posting_requests}
+
+
+@query("posting_gate", GATE_SQL + """
+    SELECT transaction_id, entry_id, wallet_id, type, amount::DOUBLE AS amount, currency, created_at, posting_month
+    FROM entries_staged s
+    WHERE s.transaction_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM reasons r WHERE r.transaction_id = s.transaction_id)""")
+def _posting_gate(L):
+    """INT-1 with the idempotency and posted-entry rules: accepted legs of a batch that replays part of the ledger."""
+    return I.posting_accepted(L.entries_staged, L.transactions, L.wallet_dim, **_gate(L))
+
+
+@query("posting_gate_rejects", GATE_SQL + """
+    SELECT r.transaction_id, r.reasons, l.legs FROM
+      (SELECT transaction_id, string_agg(reason, ',' ORDER BY reason) AS reasons FROM reasons GROUP BY transaction_id) r
+    JOIN (SELECT transaction_id, COUNT(*) AS legs FROM entries_staged GROUP BY transaction_id) l
+      ON l.transaction_id = r.transaction_id""")
+def _posting_gate_rejects(L):
+    """INT-1 / SNK-5: rejected transactions of that batch with all their reasons."""
+    return I.posting_quarantine(L.entries_staged, L.transactions, L.wallet_dim, **_gate(L))
+
+
 def _violations_sql():
     zs = (f"SELECT 'zero_sum' AS rule, 'transactions' AS entity, transaction_id || '|' || currency AS entity_key, "
           f"CAST(debits AS VARCHAR) || '/' || CAST(credits AS VARCHAR) AS detail FROM ({ZS}) "

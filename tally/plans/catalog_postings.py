@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tally.operators import postings as P
 from tally.plans.registry import query
+from tally.session import scratch_path
+from tally.sources.keyed import KeyedTable
 
 SWEEP_AS_OF = dt.datetime(2024, 1, 15)
 
@@ -107,6 +109,20 @@ def _insert_absent(L):
     return P.insert_absent(new, cur, ["caller_id", "key"], ["created_at", "event_id"])
 
 
+@query("append_replay", """
+    SELECT caller_id, key, request_id, transaction_id, created_at, expires_at, event_id
+    FROM (SELECT *, row_number() OVER (PARTITION BY caller_id, key ORDER BY created_at, event_id) AS rn
+          FROM idempotency_requests) WHERE rn = 1""")
+def _append_replay(L):
+    """SNK-4: claims appended in two batches, each of them sent again: under its own id and under another."""
+    r = L.idempotency_requests.withColumn("month", F.date_format("created_at", "yyyy-MM"))
+    t = KeyedTable(L.spark, scratch_path(L.spark, "claims"), r.schema, ["caller_id", "key"], month_col="month")
+    early = F.col("created_at") < F.lit(SWEEP_AS_OF)
+    for batch, rows in (("1", r.filter(early)), ("2", r.filter(~early)), ("2", r.filter(~early)), ("2-again", r)):
+        t.append_absent(rows, batch, ["created_at", "event_id"])
+    return t.read().drop("month", "batch")
+
+
 @query("fx_enriched", """
     SELECT t.transaction_id, t.status, strftime(r.rate_date, '%Y-%m-%d') AS rate_date,
            r.base_currency_id AS base_code, b.name AS base_name, r.currency_id AS quote_code, q.name AS quote_name,

@@ -151,6 +151,14 @@ VIEWS: dict[str, str] = {
                     ELSE currency END AS currency,
                created_at, posting_month
         FROM entries_with_keys""",
+    "posted_entries": f"""
+        SELECT entry_id FROM entries_with_keys WHERE o_orderkey % {K.FAULT_ALREADY_POSTED} = 0""",
+    "posting_requests": f"""
+        SELECT transaction_id, 'C' || (CAST(substr(payer, 2) AS BIGINT) % {K.REQUEST_CALLERS}) AS caller_id,
+               'k' || (o_orderkey // {K.REQUEST_KEY_SPAN}) AS key, created_at, o_orderkey
+        FROM order_flow""",
+    "posted_claims": f"""
+        SELECT caller_id, key FROM posting_requests WHERE o_orderkey % {K.CLAIMED_EARLIER} = 0""",
     "entries_snapshot_new": f"""
         SELECT entry_id, transaction_id, wallet_id, type,
                CAST(CASE WHEN o_orderkey % {K.SNAPSHOT_CHANGED} = 0 THEN amount + 1 ELSE amount END

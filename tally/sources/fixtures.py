@@ -339,6 +339,25 @@ class Ledger:
         return e.select("entry_id", txn.alias("transaction_id"), "wallet_id", typ.alias("type"),
                         amount.alias("amount"), currency.alias("currency"), "created_at", "posting_month")
 
+    @cached_property
+    def posted_entries(self) -> DataFrame:
+        """Legs that an earlier batch posted: staged again, they are replays."""
+        return self.entries_with_keys.filter(F.col("o_orderkey") % K.FAULT_ALREADY_POSTED == 0).drop("leg", "o_orderkey")
+
+    @cached_property
+    def posting_requests(self) -> DataFrame:
+        """The idempotent request behind every header; some share a (caller, key) pair."""
+        caller = F.substring("payer", 2, 40).cast("bigint") % K.REQUEST_CALLERS
+        return self.order_flow.select(
+            "transaction_id", F.concat(F.lit("C"), caller).alias("caller_id"),
+            F.concat(F.lit("k"), F.floor(F.col("o_orderkey") / K.REQUEST_KEY_SPAN)).alias("key"), "created_at", "posting_month")
+
+    @cached_property
+    def posted_claims(self) -> DataFrame:
+        """Pairs that an earlier batch claimed."""
+        old = F.substring("transaction_id", 2, 40).cast("bigint") % K.CLAIMED_EARLIER == 0
+        return self.posting_requests.filter(old).withColumn("transaction_id", F.concat("transaction_id", F.lit("-old")))
+
     @cached_property
     def entries_snapshot_new(self) -> DataFrame:
         k = F.col("o_orderkey")
