@@ -8,10 +8,13 @@ so a lost executor recomputes one round, not the whole history.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tally.functions.columns import MONEY
+from tally.functions.skew import join_back
 from tally.session import shared_dir
 
 
@@ -22,6 +25,38 @@ def _cut(df: DataFrame) -> DataFrame:
 
 # ---- cycles (GR-2) -----------------------------------------------------------------
 
+def ledger_edges(entries: DataFrame, transactions: DataFrame, wallets: DataFrame, accounts: DataFrame) -> DataFrame:
+    """GR-1: one payer -> payee edge per transaction, out of its legs.
+
+    Legs take their account through the wallet (platform wallets are hot: their
+    rows are salted), and one aggregation per transaction pairs them: the
+    largest customer debit pays; the largest customer credit of another account
+    is paid, in whatever currency it arrives behind the FX wallets; the amount
+    is what left the payer in its own currency without the revenue legs.
+    Transactions without both ends (merchant payments) and reversed ones give
+    no edge.
+    """
+    owner = (wallets.select("wallet_id", "account_id").join(accounts.select("account_id", F.col("type").alias("account_type")), "account_id"))
+    legs = join_back(entries.select("transaction_id", "entry_id", "wallet_id", "type", "amount", "currency", "created_at"), owner,
+                     ["wallet_id"], spread=["entry_id"])
+    customer = F.col("account_type") == "CUSTOMER"
+    largest = F.struct(F.col("amount"), F.col("account_id"), F.col("currency"))
+    per = legs.groupBy("transaction_id").agg(
+        F.max(F.when(customer & (F.col("type") == "DEBIT"), largest)).alias("paid"),
+        F.max(F.when(customer & (F.col("type") == "CREDIT"), largest)).alias("got"),
+        F.collect_list(F.when((F.col("account_type") == "PLATFORM_REVENUE") & (F.col("type") == "CREDIT"),
+                              F.struct("currency", "amount"))).alias("fees"),
+        F.min("created_at").alias("transferred_at"))
+    own_fees = F.aggregate(F.filter("fees", lambda f: f["currency"] == F.col("paid.currency")), F.lit(0).cast("decimal(38,4)"),
+                           lambda s, f: (s + f["amount"]).cast("decimal(38,4)"))
+    live = transactions.filter(F.col("status") != "REVERSED").select("transaction_id")
+    return (per.filter(F.col("paid").isNotNull() & F.col("got").isNotNull() & (F.col("paid.account_id") != F.col("got.account_id")))
+            .join(live, "transaction_id", "left_semi")
+            .select(F.col("transaction_id").alias("txn_id"), F.col("paid.account_id").alias("src"), F.col("got.account_id").alias("dst"),
+                    "transferred_at", (F.col("paid.amount") - own_fees).cast(MONEY).alias("amount"),
+                    F.col("paid.currency").alias("currency")))
+
+
 def trim_to_cycle_candidates(edges: DataFrame, rounds: int = 3) -> DataFrame:
     """Drop edges that cannot lie on a cycle: the source needs an incoming and the target an
     outgoing edge.  A few rounds shrink chains; the result never loses a cycle."""
@@ -33,46 +68,109 @@ def trim_to_cycle_candidates(edges: DataFrame, rounds: int = 3) -> DataFrame:
     return e
 
 
+def _half_paths(e: DataFrame, hops: int, ratio: Decimal | None) -> dict[int, DataFrame]:
+    """Walks of 1 to ``hops`` edges, each edge once, every hop at least ``ratio`` x the one before; stored per length."""
+    step = e.select(F.col("src").alias("end"), F.col("txn_id").alias("nx_txn"), F.col("dst").alias("nx_dst"),
+                    F.col("amount").alias("nx_amount"))
+    paths = {1: e.select(F.col("src").alias("start"), F.col("dst").alias("end"), F.array("txn_id").alias("edge_ids"),
+                         F.array("src", "dst").alias("nodes"), F.col("amount").alias("first_amount"),
+                         F.col("amount").alias("last_amount"), F.col("amount").cast("decimal(38,4)").alias("volume"))}
+    for hop in range(2, hops + 1):
+        cond = ~F.array_contains("edge_ids", F.col("nx_txn"))
+        if ratio is not None:
+            cond = cond & (F.col("nx_amount") >= F.lit(ratio) * F.col("last_amount"))
+        paths[hop] = _cut(paths[hop - 1].join(step, "end").filter(cond)
+                          .select("start", F.col("nx_dst").alias("end"),
+                                  F.array_append("edge_ids", F.col("nx_txn")).alias("edge_ids"),
+                                  F.array_append("nodes", F.col("nx_dst")).alias("nodes"), "first_amount",
+                                  F.col("nx_amount").alias("last_amount"),
+                                  (F.col("volume") + F.col("nx_amount")).cast("decimal(38,4)").alias("volume")))
+    return paths
+
+
 def find_cycles(edges: DataFrame, since=None, min_hops: int = 2, max_hops: int = 6,
-                ratio: Decimal | None = Decimal("0.80")) -> DataFrame:
+                ratio: Decimal | None = Decimal("0.80"), strong: bool = False) -> DataFrame:
     """Closed walks seed -> ... -> seed of ``min_hops..max_hops`` edges, each edge used once per walk
     (nodes may repeat), every hop at least ``ratio`` x the previous hop's amount.
 
-    Each rotation is its own row (the seed is the start node).  Paths grow one
-    hop per round by an equi-join on the frontier node; the ratio and edge
-    distinctness are checked inside the join, so dead paths stop at once.
+    Each rotation is its own row (the seed is the start node).  The search
+    meets in the middle: only walks of up to half the hops are grown and
+    stored; a cycle of h hops is a walk of ceil(h / 2) edges and one of the rest
+    that leads back, found by one equi-join on both ends, with the edges of the
+    two disjoint and the ratio held where they meet.  Open walks of more than
+    half the hops never exist, and the closing joins are not written.
+    ``strong``: search only inside strongly connected components (worth its
+    rounds where most of what trimming leaves lies between components).
     """
     e = edges
     if since is not None:
         e = e.filter(F.col("transferred_at") >= F.lit(since))
-    e = trim_to_cycle_candidates(e.select("txn_id", "src", "dst", "amount"))
-    e = _cut(e)
-    paths = e.select(F.col("src").alias("seed"), F.col("dst").alias("cur"), F.array("txn_id").alias("edge_ids"),
-                     F.array("src", "dst").alias("nodes"), F.col("amount").alias("last_amount"),
-                     F.col("amount").cast("decimal(38,4)").alias("volume"), F.lit(1).alias("hops"))
+    e = e.select("txn_id", "src", "dst", "amount")
+    e = strong_core(e) if strong else _cut(trim_to_cycle_candidates(e))
+    paths = _half_paths(e, (max_hops + 1) // 2, ratio)
     found = []
-    for hop in range(2, max_hops + 1):
-        nx = e.select(F.col("src").alias("cur"), F.col("txn_id").alias("nx_txn"), F.col("dst").alias("nx_dst"),
-                      F.col("amount").alias("nx_amount"))
-        cond = ~F.array_contains("edge_ids", F.col("nx_txn"))
+    for hops in range(max(min_hops, 2), max_hops + 1):
+        there, back = paths[(hops + 1) // 2], paths[hops // 2]
+        b = back.select(F.col("start").alias("end"), F.col("end").alias("start"), F.col("edge_ids").alias("b_edges"),
+                        F.col("nodes").alias("b_nodes"), F.col("first_amount").alias("b_first"), F.col("volume").alias("b_volume"))
+        cond = ~F.arrays_overlap("edge_ids", "b_edges")
         if ratio is not None:
-            cond = cond & (F.col("nx_amount") >= F.lit(ratio) * F.col("last_amount"))
-        paths = (paths.join(nx, "cur").filter(cond)
-                 .select("seed", F.col("nx_dst").alias("cur"),
-                         F.array_append("edge_ids", F.col("nx_txn")).alias("edge_ids"),
-                         F.array_append("nodes", F.col("nx_dst")).alias("nodes"),
-                         F.col("nx_amount").alias("last_amount"),
-                         (F.col("volume") + F.col("nx_amount")).cast("decimal(38,4)").alias("volume"),
-                         F.lit(hop).alias("hops")))
-        paths = _cut(paths)
-        if hop >= min_hops:
-            found.append(paths.filter(F.col("cur") == F.col("seed")))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.select(F.col("seed").alias("ring_seed"), F.concat_ws(">", "nodes").alias("accounts_in_ring"),
-                      F.concat_ws(",", "edge_ids").alias("edge_list"), F.col("volume").alias("cycle_volume"),
-                      F.col("hops").cast("bigint").alias("hops"))
+            cond = cond & (F.col("b_first") >= F.lit(ratio) * F.col("last_amount"))
+        found.append(there.join(b, ["start", "end"]).filter(cond).select(
+            F.col("start").alias("ring_seed"),
+            F.concat_ws(">", F.concat("nodes", F.slice("b_nodes", 2, hops))).alias("accounts_in_ring"),
+            F.concat_ws(",", F.concat("edge_ids", "b_edges")).alias("edge_list"),
+            (F.col("volume") + F.col("b_volume")).cast("decimal(38,4)").alias("cycle_volume"),
+            F.lit(hops).cast("bigint").alias("hops")))
+    if min_hops <= 1:
+        loops = paths[1].filter(F.col("start") == F.col("end"))
+        found.append(loops.select(F.col("start").alias("ring_seed"), F.concat_ws(">", "nodes").alias("accounts_in_ring"),
+                                  F.concat_ws(",", "edge_ids").alias("edge_list"), F.col("volume").alias("cycle_volume"),
+                                  F.lit(1).cast("bigint").alias("hops")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def strong_core(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """The edges inside strongly connected components (self loops included).
+
+    Forward reach: every node takes the smallest name among the nodes that
+    reach it, by rounds of one join and one aggregate over the different (src,
+    dst) pairs; the nodes of a component end with one name, so a pair whose
+    ends differ is on no cycle and goes.  Backward reach does the same against
+    the arrows.  Both repeat until no pair falls.  Where a reach is not settled
+    after ``max_rounds`` rounds its names are not used: fewer edges go then,
+    and none that is on a cycle.
+    """
+    pairs = _cut(trim_to_cycle_candidates(edges.select("src", "dst").distinct()))
+    left = pairs.count()
+    while left:
+        before = left
+        for a, b in (("src", "dst"), ("dst", "src")):
+            names = _least_reaching(pairs, a, b, max_rounds)
+            if names is not None:
+                pairs = _cut(pairs.join(names.select(F.col("node").alias("src"), F.col("name").alias("_s")), "src")
+                             .join(names.select(F.col("node").alias("dst"), F.col("name").alias("_d")), "dst")
+                             .filter(F.col("_s") == F.col("_d")).select("src", "dst"))
+        left = pairs.count()
+        if left == before:
+            break
+    return _cut(edges.join(pairs, ["src", "dst"], "left_semi").select(*edges.columns))
+
+
+def _least_reaching(pairs: DataFrame, a: str, b: str, max_rounds: int) -> DataFrame | None:
+    """(node, name): the smallest node that reaches each along a -> b; None if it did not settle."""
+    nodes = pairs.select(F.col("src").alias("node")).union(pairs.select(F.col("dst").alias("node"))).distinct()
+    names = _cut(nodes.withColumn("name", F.col("node")))
+    for _ in range(max_rounds):
+        told = (pairs.join(names.select(F.col("node").alias(a), "name"), a)
+                .groupBy(F.col(b).alias("node")).agg(F.min("name").alias("_told")))
+        new = _cut(names.join(told, "node", "left")
+                   .select("node", F.least("name", "_told").alias("name"), (F.col("_told") < F.col("name")).alias("moved")))
+        settled = new.filter("moved").isEmpty()
+        names = new.select("node", "name")
+        if settled:
+            return names
+    return None
 
 
 def top_rings(cycles: DataFrame, n: int = 50) -> DataFrame:
@@ -161,7 +259,7 @@ def key_of(col: str, prefix: str = "C") -> F.Column:
 def star_edges(members: DataFrame, group_col: str) -> DataFrame:
     """Bipartite account -> group as star edges to the group's smallest member (not all pairs)."""
     m = members.groupBy(group_col).agg(F.min("id").alias("root"))
-    return members.join(m, group_col).select(F.col("id").alias("src"), F.col("root").alias("dst"))
+    return join_back(members, m, [group_col], spread=["id"]).select(F.col("id").alias("src"), F.col("root").alias("dst"))
 
 
 # ---- degrees and lookups (GR-5, GR-6) ---------------------------------------------

@@ -385,10 +385,9 @@ class Ledger:
 
     @cached_property
     def transfer_edges(self) -> DataFrame:
-        return (self.movements.filter(F.col("payee").startswith("C") & (F.col("status") != "REVERSED"))
-                .select(F.col("transaction_id").alias("txn_id"), F.col("payer").alias("src"),
-                        F.col("payee").alias("dst"), F.col("created_at").alias("transferred_at"),
-                        F.col("a").alias("amount"), F.col("p").alias("currency")))
+        """Account transfers collapsed from the ledger's own legs."""
+        from tally.operators.graph import ledger_edges
+        return self._store("transfer_edges", lambda: ledger_edges(self.entries, self.transactions, self.wallet_dim, self.accounts))
 
     @cached_property
     def referral_edges(self) -> DataFrame:
