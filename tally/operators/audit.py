@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tally import constants as K
 from tally.functions.columns import ms_interval
+from tally.functions.skew import join_back
 from tally.functions.windows import bucketed_lag, bucketed_row_number
 
 
@@ -24,7 +25,7 @@ def first_claims(events: DataFrame) -> DataFrame:
 def activity_events(events: DataFrame) -> DataFrame:
     """Each driver event -> its layer-3 documents (received/access, then outcome)."""
     first = first_claims(events)
-    e = events.join(first, ["user_id", "props"], "left")
+    e = join_back(events, first, ["user_id", "props"], "left", spread=["event_id"])
     et = F.col("event_type")
     is_req = et.isin("purchase", "click")
     is_first = (F.col("_first.ts") == F.col("ts")) & (F.col("_first.event_id") == F.col("event_id"))
@@ -144,8 +145,8 @@ def audit_correlation(activity: DataFrame, transactions: DataFrame, audit_logs:
     l2 = audit_logs.select("request_id", F.col("action").alias("audit_action"))
     attempts = (activity.filter(F.col("event_type") == "REQUEST_RECEIVED")
                 .groupBy("caller_id", "idempotency_key").agg(F.count(F.lit(1)).alias("attempts")))
-    return (out.join(hdr, "operation_id", "left").join(l2, "request_id", "left")
-            .join(attempts, ["caller_id", "idempotency_key"], "left")
+    counted = join_back(out, attempts, ["caller_id", "idempotency_key"], "left", spread=["event_id"])
+    return (counted.join(hdr, "operation_id", "left").join(l2, "request_id", "left")
             .select("event_id", "request_id", "operation_id", "outcome", "ledger_status", "audit_action",
                     F.when(F.col("idempotency_key").isNotNull(), F.col("attempts")).alias("attempts")))
 

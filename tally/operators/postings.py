@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.functions.columns import MONEY
+from tally.functions.skew import join_back
 from tally.sources.fixtures import Ledger
 
 
@@ -53,7 +54,8 @@ def idempotency_resolve(requests: DataFrame) -> DataFrame:
     win = first_per_key(requests, ["caller_id", "key"], ["created_at", "event_id"], ["transaction_id"]) \
         .select("caller_id", "key", F.col("event_id").alias("winner_event"),
                 F.col("transaction_id").alias("resolved_transaction_id"))
-    return (requests.join(win, ["caller_id", "key"])
+    # the winner goes back to every attempt on its key, of which there may be very many
+    return (join_back(requests, win, ["caller_id", "key"], spread=["request_id"])
             .select("request_id", "caller_id", "key", "transaction_id", "resolved_transaction_id",
                     (F.col("event_id") == F.col("winner_event")).alias("is_first")))
 

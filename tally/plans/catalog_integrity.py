@@ -350,26 +350,21 @@ def _violations_all(L):
     return I.violations_all(L)
 
 
-@query("immutability_audit", """
-    SELECT COALESCE(o.entry_id, n.entry_id) AS entry_id,
-           CASE WHEN n.entry_id IS NULL THEN 'DELETED' WHEN o.entry_id IS NULL THEN 'ADDED' ELSE 'UPDATED' END
-             AS change,
-           CASE WHEN o.entry_id IS NOT NULL AND n.entry_id IS NOT NULL THEN concat_ws(',',
-             CASE WHEN o.transaction_id IS DISTINCT FROM n.transaction_id THEN 'transaction_id' END,
-             CASE WHEN o.wallet_id IS DISTINCT FROM n.wallet_id THEN 'wallet_id' END,
-             CASE WHEN o.type IS DISTINCT FROM n.type THEN 'type' END,
-             CASE WHEN o.amount IS DISTINCT FROM n.amount THEN 'amount' END,
-             CASE WHEN o.currency IS DISTINCT FROM n.currency THEN 'currency' END,
-             CASE WHEN o.created_at IS DISTINCT FROM n.created_at THEN 'created_at' END,
-             CASE WHEN o.posting_month IS DISTINCT FROM n.posting_month THEN 'posting_month' END) END
+_SNAPSHOT_COLS = ("transaction_id", "wallet_id", "type", "amount", "currency", "created_at", "posting_month")
+_CHANGED = {c: f"any_value({c}) FILTER (WHERE side = 'o') IS DISTINCT FROM any_value({c}) FILTER (WHERE side = 'n')"
+            for c in _SNAPSHOT_COLS}
+
+
+@query("immutability_audit", f"""
+    SELECT entry_id,
+           CASE WHEN bool_and(side = 'o') THEN 'DELETED' WHEN bool_and(side = 'n') THEN 'ADDED' ELSE 'UPDATED' END AS change,
+           CASE WHEN count(*) = 2 THEN concat_ws(',', {", ".join(f"CASE WHEN {x} THEN '{c}' END" for c, x in _CHANGED.items())}) END
              AS changed_columns,
-           o.amount::DOUBLE AS old_amount, n.amount::DOUBLE AS new_amount
-    FROM entries o FULL OUTER JOIN entries_snapshot_new n ON o.entry_id = n.entry_id
-    WHERE n.entry_id IS NULL OR o.entry_id IS NULL
-       OR o.transaction_id IS DISTINCT FROM n.transaction_id OR o.wallet_id IS DISTINCT FROM n.wallet_id
-       OR o.type IS DISTINCT FROM n.type OR o.amount IS DISTINCT FROM n.amount
-       OR o.currency IS DISTINCT FROM n.currency OR o.created_at IS DISTINCT FROM n.created_at
-       OR o.posting_month IS DISTINCT FROM n.posting_month""")
+           CAST(any_value(amount) FILTER (WHERE side = 'o') AS DOUBLE) AS old_amount,
+           CAST(any_value(amount) FILTER (WHERE side = 'n') AS DOUBLE) AS new_amount
+    FROM (SELECT 'o' AS side, entry_id, {", ".join(_SNAPSHOT_COLS)} FROM entries
+          UNION ALL SELECT 'n', entry_id, {", ".join(_SNAPSHOT_COLS)} FROM entries_snapshot_new)
+    GROUP BY entry_id HAVING count(*) = 1 OR {" OR ".join(_CHANGED.values())}""")
 def _immutability_audit(L):
     """INT-7 / JOIN-13: rows deleted or changed between two snapshots."""
     return I.immutability_audit(L.entries, L.entries_snapshot_new)
