@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tally import constants as K
 from tally.operators import integrity as I
+from tally.operators.snapshots import snapshot_audit
 from tally.plans.registry import query
 from tally.session import scratch_path
 from tally.sources.keyed import KeyedTable
@@ -368,3 +369,22 @@ _CHANGED = {c: f"any_value({c}) FILTER (WHERE side = 'o') IS DISTINCT FROM any_v
 def _immutability_audit(L):
     """INT-7 / JOIN-13: rows deleted or changed between two snapshots."""
     return I.immutability_audit(L.entries, L.entries_snapshot_new)
+
+
+_ONE_MONTH = f"posting_month = '{K.REPORT_MONTH}'"
+
+
+@query("snapshot_audit", f"""
+    SELECT entry_id, CASE WHEN bool_and(side = 'o') THEN 'DELETED' WHEN bool_and(side = 'n') THEN 'ADDED' ELSE 'UPDATED' END AS change,
+           CASE WHEN count(*) = 2 THEN concat_ws(',', {", ".join(f"CASE WHEN {x} THEN '{c}' END" for c, x in _CHANGED.items())}) END
+             AS changed_columns,
+           CAST(any_value(amount) FILTER (WHERE side = 'o') AS DOUBLE) AS old_amount,
+           CAST(any_value(amount) FILTER (WHERE side = 'n') AS DOUBLE) AS new_amount
+    FROM (SELECT 'o' AS side, entry_id, {", ".join(_SNAPSHOT_COLS)} FROM entries
+          UNION ALL SELECT 'n', entry_id, {", ".join(_SNAPSHOT_COLS)} FROM entries_snapshot_new WHERE {_ONE_MONTH}
+          UNION ALL SELECT 'n', entry_id, {", ".join(_SNAPSHOT_COLS)} FROM entries WHERE NOT ({_ONE_MONTH}))
+    GROUP BY entry_id HAVING count(*) = 1 OR {" OR ".join(_CHANGED.values())}""")
+def _snapshot_audit(L):
+    """INT-7 / JOIN-13: a snapshot tampered with in one month, found by a tree of digests."""
+    new = L.entries_snapshot_new.where(_ONE_MONTH).unionByName(L.entries.where(f"NOT ({_ONE_MONTH})"))
+    return snapshot_audit(L.entries, new)
