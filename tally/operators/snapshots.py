@@ -61,3 +61,27 @@ def snapshot_audit(old: DataFrame, new: DataFrame, key: str = "entry_id", month_
             own = own | F.col(month_col).isNull()
         return (df.where(own).join(named, F.col(month_col).eqNullSafe(F.col("_month")) & (key_range(key, ranges) == F.col("_range")), "left_semi"))
     return immutability_audit(part(old), part(new), key)
+
+
+def multiset_difference(left: DataFrame, right: DataFrame, ranges: int = RANGES) -> tuple[int, int, int]:
+    """SET-1: rows that only ``left`` has, rows that only ``right`` has (with multiplicity), and the rows of ``left``.
+
+    Both sides are read once into the fingerprints of ``ranges`` ranges of row hashes -- number and two sums, the right
+    side's subtracted -- in one pass.  Only where a fingerprint is not zero are the rows of that range compared.
+    """
+    cols = sorted(left.columns)
+    values = [x for c in cols for x in (F.col(c), F.col(c).isNull())]
+    own = F.pmod(F.xxhash64(F.lit(0), *values), F.lit(ranges))
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(own.alias("range"), F.lit(sign).alias("sign"),
+                         *[(F.xxhash64(F.lit(s), *values).cast("decimal(38,0)") * sign).cast("decimal(38,0)").alias(f"h{s}") for s in (1, 2)])
+    found = (side(left, 1).unionByName(side(right, -1)).groupBy("range")
+             .agg(F.sum("sign").alias("rows"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"),
+                  F.count_if(F.col("sign") > 0).alias("n")).collect())
+    n = sum(r["n"] for r in found)
+    apart = [r["range"] for r in found if r["rows"] or r["h1"] or r["h2"]]
+    if not apart:
+        return 0, 0, n
+    a, b = left.select(*cols).where(own.isin(apart)), right.select(*cols).where(own.isin(apart))
+    return a.exceptAll(b).count(), b.exceptAll(a).count(), n

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tally.operators.integrity import immutability_audit
-from tally.operators.snapshots import changed_leaves, snapshot_audit
+from tally.operators.snapshots import changed_leaves, multiset_difference, snapshot_audit
 from tally.session import scratch_path
 from tally.sources.fixtures import Ledger
 from tally.sources.storage import write_by_month
@@ -43,3 +43,12 @@ def test_only_changed_months_are_opened_again(spark):
     assert found.count() == L.entries.where("posting_month = '1998-06'").count() > 0
     scans = [ln for ln in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in ln]
     assert scans and all("1998-06" in s.split("PartitionFilters:")[1] for s in scans)
+
+
+def test_multiset_difference(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "a string, b int")
+    rows = [("x", 1), ("x", 1), ("y", None), (None, 2)] + [(f"r{i}", i) for i in range(300)]
+    left = frame(rows)
+    assert multiset_difference(left, left.repartition(3).select("b", "a")) == (0, 0, 304)
+    assert multiset_difference(left, frame(rows[1:] + [("new", 5), ("y", 0)])) == (1, 2, 304)      # one of two equal rows is gone
+    assert multiset_difference(left.where("b > 999"), left) == (0, 304, 0)
