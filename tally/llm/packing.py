@@ -36,33 +36,58 @@ MAX_LEN = 4096
 END_ID = 1
 #: Pieces numbered by one window, and ranks of one length joined to the runs by one key.
 BUCKET_ROWS = 50_000
-#: Distinct words whose ids a Python worker keeps (about 200 bytes each).
-KEPT_WORDS = 200_000
+#: Distinct words of a generation; a Python worker keeps the ids of two (about 200 bytes a word).
+KEPT_WORDS = 400_000
+
+# The normaliser and splitter that ``_text_ids`` knows by its own rules, as tokenizer files state them.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": SPLIT_PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _word_ids(tokenizer_path: str):
-    """bytes of a white-space-free word -> its ids as little-endian unsigned 32-bit; kept by the worker.
+def _knows_rules(spec: dict) -> bool:
+    """Whether a tokenizer file has the rules under which a text's ids are its words' ids."""
+    return (spec.get("normalizer") == NORMALIZER and spec.get("pre_tokenizer") == PRE_TOKENIZER
+            and (spec.get("model") or {}).get("type") == "BPE" and not spec["model"].get("dropout")
+            and not any(t.get("lstrip") or t.get("rstrip") or not t["content"].startswith("<|") or " " in t["content"]
+                        for t in spec.get("added_tokens") or []))
+
 
-    The tokenizer drops white space and no id spans it, so a text's ids are its
-    words' ids.  Plain Latin words take the normaliser's and splitter's rules in
-    Python and only the tokenizer's model; all others take the whole tokenizer.
+def _text_ids(tokenizer_path: str):
+    """bytes of a text -> its ids as little-endian unsigned 32-bit; kept by the worker.
+
+    Under the rules above the tokenizer drops white space and no id spans it, so a text's ids are its words' ids.
+    Plain Latin words take the normaliser's and splitter's rules in Python and only the tokenizer's model, other
+    words the whole tokenizer.  A file with other rules gets whole texts.
     """
     import sys
 
-    kept = sys.__dict__.setdefault("_tally_word_ids", {})
+    kept = sys.__dict__.setdefault("_tally_text_ids", {})
     if tokenizer_path in kept:
         return kept[tokenizer_path]
+    import json
     import re
 
     import regex
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path)
+    with open(tokenizer_path, encoding="utf-8") as file:
+        by_words = _knows_rules(json.load(file))
+    if not by_words:
+        def whole(text: bytes) -> bytes:
+            return np.array(tok.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+        kept[tokenizer_path] = whole
+        return whole
     model = tok.model
     plain = re.compile(r"[!-~À-ÖØ-öø-ſ]+")
-    split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+    split = regex.compile(SPLIT_PATTERN).findall
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     byte_chars = {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(others)}}
@@ -71,7 +96,13 @@ def _word_ids(tokenizer_path: str):
         return part if part.isascii() else part.encode().decode("latin-1").translate(byte_chars)
 
     class Words(dict):
+        old: dict = {}
+
         def __missing__(self, word: bytes) -> bytes:
+            out = self.old.get(word)
+            if out is not None:
+                self[word] = out
+                return out
             text = word.decode("utf-8", "replace")
             if not plain.fullmatch(text) or "<|" in text:
                 ids = tok.encode(text, add_special_tokens=False).ids
@@ -89,24 +120,30 @@ def _word_ids(tokenizer_path: str):
             self[word] = out = np.array(ids, dtype="<u4").tobytes()
             return out
 
-    kept[tokenizer_path] = words = Words()
-    return words
+    words = Words()
+
+    def ids_of(text: bytes) -> bytes:
+        if len(words) > KEPT_WORDS:  # words not met since the last turn go
+            words.old = dict(words)
+            words.clear()
+        return b"".join(map(words.__getitem__, text.split()))
+
+    kept[tokenizer_path] = ids_of
+    return ids_of
 
 
 def _tokenized(batches: Iterator[pa.RecordBatch], tokenizer_path: str, max_len: int, end_id: int,
                with_ids: bool) -> Iterator[pa.RecordBatch]:
-    word_ids = _word_ids(tokenizer_path)
+    text_ids = _text_ids(tokenizer_path)
     end = np.array([end_id], dtype="<u4").tobytes()
     step = 4 * max_len
     for batch in batches:
         ids = batch.column(0).to_pylist()
         for a, z, raw, offsets in text_slices(batch.column(1)):
-            if len(word_ids) > KEPT_WORDS:
-                word_ids.clear()
             rows: list[tuple] = []
             data = raw.tobytes()
             for k in range(z - a):
-                own = b"".join(map(word_ids.__getitem__, data[offsets[k]:offsets[k + 1]].split())) + end
+                own = text_ids(data[offsets[k]:offsets[k + 1]]) + end
                 for p, at in enumerate(range(0, len(own), step)):
                     piece = own[at:at + step]
                     rows.append((ids[a + k], p, at // 4, len(piece) // 4, zlib.crc32(piece), piece if with_ids else None))

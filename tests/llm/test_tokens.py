@@ -39,6 +39,35 @@ def _ids(text):
     return tok.encode(text or "", add_special_tokens=False).ids + [1]
 
 
+def test_other_tokenizer_takes_whole_texts(spark):
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as file:
+        assert not packing._knows_rules(json.load(file))
+    tok = Tokenizer.from_file(path)
+    docs = spark.createDataFrame(list(enumerate(WORDS)), "doc_id long, text string")
+    got = {(r["doc_id"], r["piece"]): bytes(r["ids"]) for r in packing.tokenize_pieces(docs, path, max_len=50).collect()}
+    for d, t in enumerate(WORDS):
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [1]
+        assert b"".join(got[d, p] for p in range(-(-len(ids) // 50))) == np.array(ids, "<u4").tobytes()
+
+
+def test_kept_words_turn_over(monkeypatch):
+    import sys
+
+    import public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    sys.__dict__.pop("_tally_text_ids", None)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 3)
+    text_ids = packing._text_ids(path)
+    for t in ["one two three four five", "two six", "Two, seven one", "eight nine two ten", "one"] * 3:
+        assert text_ids(t.encode()) == np.array(_ids(t)[:-1], "<u4").tobytes()
+    sys.__dict__.pop("_tally_text_ids", None)
+
+
 def test_pack(spark):
     import public_tokenizers
     rnd = random.Random(2)
