@@ -15,11 +15,15 @@ at most ``k`` shingles (``k = (1 - J) / (1 + J) * 2 * largest size``), and:
 
 So linked sets always share a signature, and mostly many: of ``k + 1 + spare``
 parts at least ``spare + 1`` are untouched, and of those no more are empty than
-in either set.  A signature of up to ``BUCKET`` sets gives its pairs, and a pair
-stays if it shares as many signatures as that bound asks; sets that share one
-passage share one or two and go.  A signature of more sets ties each of them to
-the smallest (a star, not all pairs), and lowers the bound of its sets' other
-pairs by one.  The components of the ties are the candidate groups.  The
+in either set.  First each set of a signature is paired with the signature's
+smallest set only; pairs that share as many signatures as the bound asks make
+families, so a group of near copies costs a row per set and signature and not its
+square.  Then a signature of up to ``BUCKET`` families gives their pairs, and a
+pair stays if it shares as many signatures as the least demanding members ask;
+sets that share one passage share one or two and go.  A signature of more
+families ties each of them to the smallest (a star, not all pairs), and lowers
+the bound of its families' other pairs by one.  The components of the ties are
+the candidate groups.  The
 shingles of the texts in a group are then fetched and all pairs of a group are
 compared by exact intersection counts, in blocks: a group of more than ``CHUNK``
 shingles or ``SETS`` sets is split into chunks and each pair of chunks is a
@@ -41,7 +45,7 @@ from math import exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.staging import shuffle_width, stage, table
@@ -327,26 +331,44 @@ def _verified(block: pa.Table, percent: int) -> pa.Table:
 
 
 def _ties(signed: DataFrame) -> DataFrame:
-    """(src, dst) from (signature, node, tag): pairs of nodes that may be linked, or stars that hold them."""
-    by = Window.partitionBy("signature")
-    again = F.lag("node").over(by.orderBy("node")) == F.col("node")  # equal sets of several slices
-    shared = stage(signed.withColumn("new", ~F.coalesce(again, F.lit(False)))
-                   .withColumn("n", F.sum(F.col("new").cast("int")).over(by)).where("new and n > 1").drop("new"), "shared")
-    sets = (shared.where(F.col("n") <= BUCKET).groupBy("signature")
-            .agg(F.sort_array(F.collect_list(F.struct("node", "tag"))).alias("m")))  # at most BUCKET
+    """(src, dst) from (signature, node, tag): ties whose components hold every two nodes that may be linked.
+
+    What a signature gathers is only ever combined map-side, or joined from a stored table straight into another one,
+    where AQE splits a signature of very many rows.
+    """
+    repeated = stage(signed.groupBy("signature").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+                     .where("first != last").drop("last"), "repeated")
+    met = stage(signed.join(repeated.hint("merge"), "signature"), "met")
+    shared = stage(met.groupBy("signature", "node").agg(F.min("tag").alias("tag"), F.min("first").alias("first")), "shared")
+
+    # near copies: a node that shares enough signatures with their smallest node is of its family
+    near = stage(shared.where("node != first").groupBy("node", "first", F.floor(F.col("tag") / TAG).alias("group"))
+                 .agg(F.count(F.lit(1)).alias("times"), F.min(F.col("tag") % TAG).alias("need")).where("times >= need")
+                 .select(F.col("node").alias("src"), F.col("first").alias("dst")).distinct(), "near")
+    members = near.select(F.col("src").alias("id")).union(near.select(F.col("dst").alias("id"))).distinct()
+    families = connected_components(members, near).select(F.col("id").alias("node"), F.col("component").alias("family"))
+    cells = stage(shared.join(families, "node", "left").groupBy("signature", F.coalesce("family", "node").alias("family"))
+                  .agg(F.min("tag").alias("tag")), "cells")
+
+    # pairs of families, whose least demanding members stand for the rest
+    several = stage(cells.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), F.min("family").alias("first"))
+                    .where("n > 1"), "several")
+    cells = stage(cells.join(several.hint("merge"), "signature"), "families")
+    sets = (cells.where(F.col("n") <= BUCKET).groupBy("signature")
+            .agg(F.sort_array(F.collect_list(F.struct("family", "tag"))).alias("m")))  # at most BUCKET
     pairs = (sets.select("m", F.posexplode("m").alias("i", "a"))
              .select("a", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("b"))
-             .groupBy(F.col("a.node").alias("src"), F.col("b.node").alias("dst"),
+             .groupBy(F.col("a.family").alias("src"), F.col("b.family").alias("dst"),
                       F.floor(F.col("a.tag") / TAG).alias("group"))
-             .agg(F.count(F.lit(1)).alias("times"), F.max(F.greatest(F.col("a.tag") % TAG, F.col("b.tag") % TAG)).alias("need")))
-    crowd = shared.where(F.col("n") > BUCKET)
-    rest = crowd.groupBy("node", F.floor(F.col("tag") / TAG).alias("group")).agg(F.count(F.lit(1)).alias("uncounted"))
+             .agg(F.count(F.lit(1)).alias("times"), F.min(F.greatest(F.col("a.tag") % TAG, F.col("b.tag") % TAG)).alias("need")))
+    crowd = cells.where(F.col("n") > BUCKET)
+    rest = crowd.groupBy("family", F.floor(F.col("tag") / TAG).alias("group")).agg(F.count(F.lit(1)).alias("uncounted"))
     for end in ("src", "dst"):
-        pairs = pairs.join(rest.withColumnsRenamed({"node": end, "uncounted": f"{end}_more"}), [end, "group"], "left")
+        pairs = pairs.join(rest.withColumnsRenamed({"family": end, "uncounted": f"{end}_more"}), [end, "group"], "left")
     more = F.least(F.coalesce("src_more", F.lit(0)), F.coalesce("dst_more", F.lit(0)))
-    stars = (crowd.withColumn("first", F.min("node").over(by.orderBy("node"))).where("node != first")
-             .select(F.col("node").alias("src"), F.col("first").alias("dst")))
-    return pairs.where(F.col("times") + more >= F.col("need")).select("src", "dst").union(stars).distinct()
+    stars = crowd.where("family != first").select(F.col("family").alias("src"), F.col("first").alias("dst"))
+    return (pairs.where(F.col("times") + more >= F.col("need")).select("src", "dst").union(stars).distinct()
+            .union(near))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,

@@ -1,5 +1,7 @@
 """Exact operators against brute force: suffixes, windows, Jaccard, embeddings."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,27 @@ def test_jaccard(spark, width, percent, chunk):
     assert brute.ordered(found.select("doc_id", "n_shingles", "component_id").collect()) == brute.jaccard(rows, width, percent)
 
 
+def test_ties_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    """Near copies are tied to their smallest, not pair by pair, also where a passage ties families to each other."""
+    from tally.llm import jaccard
+    rnd = random.Random(5)
+    rows, passage = [], [f"p{k}" for k in range(12)]
+    for family in range(3):
+        base = [f"f{family}w{k}" for k in range(160)] + passage
+        for copy in range(60):
+            own = list(base)
+            own[rnd.randrange(160)] = f"x{family}_{copy}"
+            rows.append((len(rows), " ".join(own)))
+    found = jaccard_components(_texts(spark, rows))
+    assert brute.ordered(found.select("doc_id", "n_shingles", "component_id").collect()) == brute.jaccard(rows, 3, 90)
+    signed = _texts(spark, rows).select("text").mapInArrow(
+        lambda it: jaccard._signed(it, 3, 90), "signature long, node long, tag int")
+    assert jaccard._ties(signed).count() < 8 * len(rows)
+    monkeypatch.setattr(jaccard, "BUCKET", 1)  # every signature of several families is a crowd
+    found = jaccard_components(_texts(spark, rows))
+    assert brute.ordered(found.select("doc_id", "n_shingles", "component_id").collect()) == brute.jaccard(rows, 3, 90)
+
+
 def test_jaccard_on_documents(spark):
     rows = [tuple(r) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
     assert brute.ordered(op2_ngram_jaccard_join(spark, SF_SMALL).collect()) == brute.jaccard(rows, 3, 90)
