@@ -43,12 +43,12 @@ THRESHOLD = 0.98
 SHARD = 2000
 SAMPLE = 40_000
 OVERLAP = 3
-DEGREE = 20
+DEGREE = 24
 #: Nodes of one side of a border search.
 REGION = 20_000
 BEAM = 32
 ALPHA = 1.2
-NEAREST, RANDOM = 48, 16
+NEAREST, RANDOM = 64, 32
 #: What a node is in a cluster: at home in its nearest, a member of the next ones, or only asking over the border.
 NEAR, MEMBER, ASKS = 0, 1, 2
 
