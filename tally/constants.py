@@ -87,6 +87,9 @@ CLUSTER_SAMPLE = 10
 IDEMPOTENCY_TTL_HOURS = 24
 LATENCY_SLO_MS = 150
 SETTLE_SLO_MINUTES = 15
+#: Windows of the commit latency alert and its p99 limit.
+LATENCY_WINDOW_MINUTES = 5
+COMMIT_P99_LIMIT_MS = 150.0
 PENDING_ALERT_MINUTES = 15
 
 # ---------------------------------------------------------------------------

@@ -55,19 +55,44 @@ def latency_percentiles(activity: DataFrame) -> DataFrame:
                  F.round(F.percentile("latency_ms", 0.99), 3).alias("p99_ms")))
 
 
-def reversal_step_change(transactions: DataFrame, z_threshold: float = 3.0) -> DataFrame:
-    """WIN-4: daily reversal rate vs the trailing 7-day baseline (window over one row per day)."""
-    daily = reversal_rate(transactions)
+def step_change(daily: DataFrame, rate: str, z_threshold: float = 3.0) -> DataFrame:
+    """WIN-4: a daily rate vs its trailing 7-day baseline (window over one row per day)."""
     w = Window.orderBy("day").rowsBetween(-7, -1)
-    base_avg, base_std = F.avg("reversal_rate").over(w), F.stddev("reversal_rate").over(w)
-    z = (F.col("reversal_rate") - F.col("baseline_avg")) / F.col("baseline_std")
-    return (daily.select("day", "reversal_rate", base_avg.alias("baseline_avg"), base_std.alias("baseline_std"))
+    base_avg, base_std = F.avg(rate).over(w), F.stddev(rate).over(w)
+    z = (F.col(rate) - F.col("baseline_avg")) / F.col("baseline_std")
+    return (daily.select("day", rate, base_avg.alias("baseline_avg"), base_std.alias("baseline_std"))
             .withColumn("z", F.when(F.col("baseline_std") > 0, F.round(z, 4)))
             .withColumn("step_change", F.coalesce(F.abs(F.col("z")) > z_threshold, F.lit(False)))
             .withColumn("baseline_avg", F.round("baseline_avg", 6))
             .withColumn("baseline_std", F.round("baseline_std", 6)))
 
 
+def reversal_step_change(transactions: DataFrame, z_threshold: float = 3.0) -> DataFrame:
+    """WIN-4: step change of the daily reversal rate."""
+    return step_change(reversal_rate(transactions), "reversal_rate", z_threshold)
+
+
+def rollback_step_change(activity: DataFrame, z_threshold: float = 3.0) -> DataFrame:
+    """WIN-4: step change of the daily rollback ratio."""
+    return step_change(rollback_ratio(activity), "rollback_ratio", z_threshold)
+
+
+def latency_histogram(activity: DataFrame, minutes: int = K.LATENCY_WINDOW_MINUTES) -> DataFrame:
+    """Commit latencies as (window_start, latency_ms, n): latencies are whole milliseconds, so a window's histogram
+    is exact and bounded, combines map-side, and histograms of any windows merge by summing ``n``."""
+    commits = activity.filter((F.col("event_type") == "OPERATION_OUTCOME") & F.col("latency_ms").isNotNull())
+    return (commits.groupBy(F.window("ts", f"{minutes} minutes").getField("start").alias("window_start"), "latency_ms")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def latency_windows(histogram: DataFrame, limit_ms: float = K.COMMIT_P99_LIMIT_MS) -> DataFrame:
+    """OBS-6: commit p99 of every window from its histogram, and whether it is above the limit."""
+    return (histogram.groupBy("window_start")
+            .agg(F.sum("n").alias("commits"), F.percentile("latency_ms", 0.99, F.col("n")).alias("p99_ms"))
+            .select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "commits",
+                    F.round("p99_ms", 3).alias("p99_ms"), (F.col("p99_ms") > limit_ms).alias("breached")))
+
+
 def integrity_panel(entries: DataFrame, wallets: DataFrame) -> DataFrame:
     """OBS-1: drift rows, non-zero currencies and unbalanced transactions as (metric, value)."""
     drift = I.balance_drift(wallets, entries).agg(F.count(F.lit(1)).alias("v")) \
@@ -119,6 +144,8 @@ ALERT_RULES = [
     ("commit_latency_p99_ms", ">", 150.0, "PAGE"),
     ("pending_backlog", ">", 1000.0, "TICKET"),
     ("reversal_step_changes", ">", 0.0, "TICKET"),
+    ("rollback_step_changes", ">", 0.0, "TICKET"),
+    ("commit_latency_breached_windows", ">", 0.0, "PAGE"),
 ]
 
 
@@ -143,6 +170,9 @@ def metrics_long(entries: DataFrame, wallets: DataFrame, transactions: DataFrame
         one(pend, "pending_backlog", F.count(F.lit(1))),
         one(reversal_step_change(transactions), "reversal_step_changes",
             F.sum(F.col("step_change").cast("int"))),
+        one(rollback_step_change(activity), "rollback_step_changes", F.sum(F.col("step_change").cast("int"))),
+        one(latency_windows(latency_histogram(activity)), "commit_latency_breached_windows",
+            F.sum(F.col("breached").cast("int"))),
     ]
     return reduce(DataFrame.unionByName, parts)
 

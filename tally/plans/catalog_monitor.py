@@ -33,11 +33,14 @@ def _reversal_rate(L):
     return O.reversal_rate(L.transactions)
 
 
-@query("rollback_ratio", """
+ROLLBACK_SQL = """
     SELECT strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS outcomes,
            CAST(SUM(CASE WHEN outcome = 'ROLLED_BACK' THEN 1 ELSE 0 END) AS BIGINT) AS rolled_back,
            round(SUM(CASE WHEN outcome = 'ROLLED_BACK' THEN 1 ELSE 0 END) / COUNT(*), 6) AS rollback_ratio
-    FROM activity_audit WHERE event_type = 'OPERATION_OUTCOME' GROUP BY 1""")
+    FROM activity_audit WHERE event_type = 'OPERATION_OUTCOME' GROUP BY 1"""
+
+
+@query("rollback_ratio", ROLLBACK_SQL)
 def _rollback_ratio(L):
     """AGG-9: daily rollback ratio of operation outcomes."""
     return O.rollback_ratio(L.activity_audit)
@@ -52,17 +55,39 @@ def _latency_percentiles(L):
     return O.latency_percentiles(L.activity_audit)
 
 
-@query("reversal_step_change", f"""
-    SELECT day, reversal_rate, round(a, 6) AS baseline_avg, round(s, 6) AS baseline_std,
-           CASE WHEN s > 0 THEN round((reversal_rate - a) / s, 4) END AS z,
-           COALESCE(abs(CASE WHEN s > 0 THEN round((reversal_rate - a) / s, 4) END) > 3, false) AS step_change
-    FROM (SELECT day, reversal_rate, avg(reversal_rate) OVER w AS a, stddev_samp(reversal_rate) OVER w AS s
-          FROM ({RATE_SQL}) WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))""")
+def _step_sql(rate_sql: str, rate: str) -> str:
+    return f"""
+    SELECT day, {rate}, round(a, 6) AS baseline_avg, round(s, 6) AS baseline_std,
+           CASE WHEN s > 0 THEN round(({rate} - a) / s, 4) END AS z,
+           COALESCE(abs(CASE WHEN s > 0 THEN round(({rate} - a) / s, 4) END) > 3, false) AS step_change
+    FROM (SELECT day, {rate}, avg({rate}) OVER w AS a, stddev_samp({rate}) OVER w AS s
+          FROM ({rate_sql}) WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))"""
+
+
+@query("reversal_step_change", _step_sql(RATE_SQL, "reversal_rate"))
 def _reversal_step_change(L):
     """WIN-4: step change of the daily reversal rate vs a trailing 7-day baseline."""
     return O.reversal_step_change(L.transactions)
 
 
+@query("rollback_step_change", _step_sql(ROLLBACK_SQL, "rollback_ratio"))
+def _rollback_step_change(L):
+    """WIN-4: step change of the daily rollback ratio vs a trailing 7-day baseline."""
+    return O.rollback_step_change(L.activity_audit)
+
+
+WINDOWS_SQL = """
+    SELECT strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H:%M') AS window_start, COUNT(*) AS commits,
+           round(quantile_cont(latency_ms, 0.99), 3) AS p99_ms, quantile_cont(latency_ms, 0.99) > 150 AS breached
+    FROM activity_audit WHERE event_type = 'OPERATION_OUTCOME' AND latency_ms IS NOT NULL GROUP BY 1"""
+
+
+@query("latency_windows", WINDOWS_SQL)
+def _latency_windows(L):
+    """OBS-6: commit p99 per 5-minute window from mergeable histograms."""
+    return O.latency_windows(O.latency_histogram(L.activity_audit))
+
+
 DRIFT_SQL = """
     SELECT w.wallet_id FROM wallets w LEFT JOIN entries e ON e.wallet_id = w.wallet_id
     GROUP BY w.wallet_id, w.balance
@@ -136,10 +161,11 @@ def _alert_sql():
       UNION ALL SELECT 'commit_latency_p99_ms', quantile_cont(latency_ms, 0.99) FROM activity_audit
         WHERE event_type = 'OPERATION_OUTCOME'
       UNION ALL SELECT 'pending_backlog', COUNT(*) FROM transactions WHERE status = 'PENDING'
-      UNION ALL SELECT 'reversal_step_changes', SUM(CASE WHEN step_change THEN 1 ELSE 0 END) FROM (
-        SELECT COALESCE(abs(CASE WHEN s > 0 THEN round((reversal_rate - a) / s, 4) END) > 3, false) AS step_change
-        FROM (SELECT reversal_rate, avg(reversal_rate) OVER w AS a, stddev_samp(reversal_rate) OVER w AS s
-              FROM ({RATE_SQL}) WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)))"""
+      UNION ALL SELECT 'reversal_step_changes', SUM(CASE WHEN step_change THEN 1 ELSE 0 END)
+      FROM ({_step_sql(RATE_SQL, "reversal_rate")})
+      UNION ALL SELECT 'rollback_step_changes', SUM(CASE WHEN step_change THEN 1 ELSE 0 END)
+      FROM ({_step_sql(ROLLBACK_SQL, "rollback_ratio")})
+      UNION ALL SELECT 'commit_latency_breached_windows', SUM(CASE WHEN breached THEN 1 ELSE 0 END) FROM ({WINDOWS_SQL})"""
     return f"""
     SELECT m.metric, round(m.value, 3) AS value, CAST(r.threshold AS DOUBLE) AS threshold,
            CASE WHEN (r.comparator = '>' AND m.value > r.threshold) OR (r.comparator <> '>' AND m.value < r.threshold)
