@@ -89,31 +89,29 @@ def month_scan(entries: DataFrame, month: str) -> DataFrame:
 
 
 def multi_grain_summary(entries: DataFrame) -> DataFrame:
-    """AGG-12: entry count and volume at year / month / day / hour grain in one pass (GROUPING SETS)."""
-    e = entries.select(F.year("created_at").alias("year"),
-                       F.date_format("created_at", "yyyy-MM").alias("month"),
-                       F.date_format("created_at", "yyyy-MM-dd").alias("day"),
-                       F.hour("created_at").alias("hour"), "currency", "amount")
-    e.createOrReplaceTempView("_mg_entries")
-    return e.sparkSession.sql("""
-        SELECT year, month, day, hour, currency,
-               CAST(grouping(month) * 4 + grouping(day) * 2 + grouping(hour) AS BIGINT) AS grain,
-               COUNT(*) AS entry_count, CAST(SUM(amount) AS DECIMAL(38,4)) AS volume
-        FROM _mg_entries
-        GROUP BY GROUPING SETS ((year, currency), (year, month, currency),
-                                (year, month, day, currency), (year, month, day, hour, currency))""")
+    """AGG-12: entry count and volume at year / month / day / hour grain: hours once, then grouping sets over the
+    hours, so the expansion of the sets follows the number of hours and not of entries."""
+    grains = ["year", "month", "day", "hour"]
+    hours = (entries.groupBy(F.year("created_at").alias("year"), F.date_format("created_at", "yyyy-MM").alias("month"),
+                             F.date_format("created_at", "yyyy-MM-dd").alias("day"), F.hour("created_at").alias("hour"),
+                             "currency")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast(MONEY_SUM).alias("v")))
+    sets = [[F.col(c) for c in (*grains[:k], "currency")] for k in range(1, 5)]
+    grain = (F.grouping("month") * 4 + F.grouping("day") * 2 + F.grouping("hour")).cast("bigint")
+    return (hours.groupingSets(sets, *[F.col(c) for c in (*grains, "currency")])
+            .agg(grain.alias("grain"), F.sum("n").alias("entry_count"), F.sum("v").cast(MONEY_SUM).alias("volume")))
 
 
 def wallet_statement(entries: DataFrame) -> DataFrame:
     """WIN-1: every entry of every wallet with the running balance (CREDIT +, DEBIT -).
 
-    Ordered by (created_at, entry_id); bucketed by posting month so a hot
-    wallet is spread over many tasks (see functions.windows).
+    Ordered by (created_at, entry_id); bucketed by day so a hot wallet is
+    spread over many tasks (see functions.windows).
     """
     d = entries.select("wallet_id", "entry_id", "created_at", "type", "amount", "currency",
                        signed_amount().alias("signed"))
     return (bucketed_running_sum(d, ["wallet_id"], ["created_at", "entry_id"], "signed",
-                                 F.date_format("created_at", "yyyy-MM"), "running_balance")
+                                 F.to_date("created_at"), "running_balance")
             .withColumn("running_balance", F.col("running_balance").cast(MONEY_SUM))
             .drop("signed"))
 
