@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tally import constants as K
 from tally.functions.columns import MONEY_SUM, domain_ok, sum_where
 from tally.functions.skew import join_back
+from tally.operators.rules import Balanced, Cached, Check, Reference, Rule, Unique, violations
 from tally.sources.storage import write_by_month
 
 VIOLATION_COLS = ["rule", "entity", "entity_key", "detail"]
@@ -35,7 +36,27 @@ NOT_NULL_RULES = {
     "transactions": ("transaction_id", "type", "status", "created_at"),
 }
 KEYS = {"accounts": "account_id", "wallets": "wallet_id", "transactions": "transaction_id",
-        "entries": "entry_id", "audit_logs": "audit_log_id", "settlement_batches": "settlement_batch_id"}
+        "entries": "entry_id", "audit_logs": "audit_log_id", "settlement_batches": "settlement_batch_id",
+        "exchange_rates": "exchange_rate_id"}
+# (table, its key, column, parent, parent column)
+FOREIGN_KEYS = [
+    ("wallets", "wallet_id", "account_id", "accounts", "account_id"),
+    ("transactions", "transaction_id", "exchange_rate_id", "exchange_rates", "exchange_rate_id"),
+    ("entries", "entry_id", "transaction_id", "transactions", "transaction_id"),
+    ("idempotency_keys", "request_id", "transaction_id", "transactions", "transaction_id"),
+    ("audit_logs", "audit_log_id", "transaction_id", "transactions", "transaction_id"),
+    ("exchange_rates", "exchange_rate_id", "base_currency_id", "currencies", "currency_id"),
+    ("exchange_rates", "exchange_rate_id", "currency_id", "currencies", "currency_id"),
+]
+UNIQUE_KEYS = [
+    ("currencies", "code", ("code",)),
+    ("exchange_rates", "date_pair", ("rate_date", "base_currency_id", "currency_id")),
+    ("wallets", "wallet_id_currency", ("wallet_id", "currency")),
+    ("wallets", "pkey", ("wallet_id",)),
+    ("entries", "pkey", ("entry_id", "created_at")),
+    ("idempotency_keys", "caller_key", ("caller_id", "key")),
+    ("transactions", "pkey", ("transaction_id",)),
+]
 
 
 def _violation(df: DataFrame, rule: str, entity: str, key, detail) -> DataFrame:
@@ -360,27 +381,35 @@ def post_batch(staged: DataFrame, transactions: DataFrame, wallets: DataFrame, r
     return fresh
 
 
+def rule_set() -> list[Rule]:
+    """Every rule of the ledger, as ``rules.violations`` compiles them."""
+    def check(rule, entity, bad, detail, table=None):
+        return Check(rule, table or entity, entity, KEYS[entity], bad, detail)
+
+    def inside(column, allowed):
+        return f"{column} not in ({', '.join(repr(v) for v in allowed)})"
+
+    out: list[Rule] = [check(f"domain:{c}", t, inside(c, allowed), c) for t, c, allowed in DOMAIN_RULES]
+    for t, cols in NOT_NULL_RULES.items():
+        first_null = ", ".join(f"case when {c} is null then '{c}' end" for c in cols)
+        out.append(check("not_null", t, " or ".join(f"{c} is null" for c in cols), f"coalesce({first_null})"))
+    out += [check("amount_positive", "entries", "amount <= 0", "amount"),
+            check("rate_positive", "exchange_rates", "rate <= 0", "rate"),
+            check("rate_distinct_pair", "exchange_rates", "base_currency_id = currency_id", "currency_id"),
+            Balanced("zero_sum", "transactions", "entries", ("transaction_id", "currency")),
+            Reference("currency_fk", "entries", "entries", "entry_id", ("wallet_id", "currency"), "wallets", ("wallet_id", "currency")),
+            Cached("balance_drift", "wallets", "wallets", "wallet_id", "balance", "posted")]
+    out += [Reference("fk", f"{t}.{c}", t, key, (c,), parent, (pc,)) for t, key, c, parent, pc in FOREIGN_KEYS]
+    return out + [Unique(f"{t}.{name}", t, cols) for t, name, cols in UNIQUE_KEYS]
+
+
 def violations_all(L) -> DataFrame:
-    """INT-9 / SET-2: every rule's violations, one row per (rule, key)."""
-    zs = zero_sum_violations(L.entries_staged)
-    parts = [
-        domain_violations({"accounts": L.accounts, "wallets": L.wallet_dim, "transactions": L.transactions,
-                           "entries": L.entries_staged, "audit_logs": L.audit_logs,
-                           "settlement_batches": L.settlement_batches}),
-        amount_violations(L.entries_staged),
-        rate_violations(L.exchange_rates),
-        _violation(zs, "zero_sum", "transactions", F.concat_ws("|", "transaction_id", "currency"),
-                   F.concat_ws("/", F.col("debits").cast("string"), F.col("credits").cast("string"))),
-        _violation(currency_mismatch(L.entries_staged, L.wallet_dim), "currency_fk", "entries", "entry_id",
-                   F.concat_ws("|", "wallet_id", "currency")),
-        fk_orphans(L).select(F.lit("fk").alias("rule"), F.col("fk").alias("entity"),
-                             F.col("child_key").alias("entity_key"), F.col("parent_key").alias("detail")),
-        duplicate_keys(L).select(F.lit("unique").alias("rule"), F.col("constraint_name").alias("entity"),
-                                 F.col("key").alias("entity_key"), F.col("n").cast("string").alias("detail")),
-        _violation(balance_drift(L.wallets, L.entries), "balance_drift", "wallets", "wallet_id",
-                   F.col("discrepancy")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """INT-9 / SET-2: every rule's violations, one row per (rule, key); each table is read once, all rules share one
+    aggregate, and rows are read again only where a group shows that they refer to a missing key."""
+    return violations({"accounts": L.accounts, "wallets": L.wallets, "transactions": L.transactions,
+                       "entries": L.entries_staged, "posted": L.entries, "audit_logs": L.audit_logs,
+                       "settlement_batches": L.settlement_batches, "exchange_rates": L.exchange_rates,
+                       "currencies": L.currencies, "idempotency_keys": L.idempotency_requests}, rule_set())
 
 
 # ---- snapshots -----------------------------------------------------------------
