@@ -1,11 +1,16 @@
 """Quality classifier: perplexity under a Kneser-Ney model of trusted text.
 
 The model of each language is an interpolated modified Kneser-Ney model of
-character 4-grams over 63 character classes (letters kept apart, capitals one
-class, digits one class).  Tasks count the n-grams of all trusted rows, Spark
-sums the counts, and the lower orders (distinct left neighbours), discounts
-and back-off weights are grouped and joined from them by (language, n-gram):
-no table is collected or broadcast.
+character 4-grams over all of Unicode: every code point is a symbol of its own,
+none is folded into another, so the count tables grow with what the trusted
+text holds.  Tasks count the n-grams of all trusted rows, Spark sums the
+counts, and the lower orders (distinct left neighbours), discounts and back-off
+weights are grouped and joined from them by (language, n-gram): no table is
+collected or broadcast.
+
+An n-gram of whole symbols has 84 bits: ``high`` is its first symbol, ``gram``
+the other three.  The same model over a folded alphabet of 61 classes
+(``FOLDED``) has its n-gram in ``gram`` alone.
 
 Scoring joins the other way round.  Texts are dealt to batches of about
 ``BATCH_BYTES``; each batch asks for its distinct (language, n-gram) pairs, the
@@ -29,7 +34,8 @@ result.  Only the named columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +48,16 @@ from tally.llm.textcols import codepoints, letters, text_slices
 ORDER = 4
 BITS = 6
 CLASSES = 61
+
+
+class Alphabet(NamedTuple):
+    """Bits of a symbol in an n-gram, and the number of symbols (0 is none of them: it stands before a text)."""
+    bits: int
+    size: int
+
+
+FOLDED = Alphabet(BITS, CLASSES)
+WHOLE = Alphabet(21, 0x110000)
 PRIOR = 200
 QUANTILE = 0.995
 BATCH_BYTES = 16 << 20
@@ -85,47 +101,105 @@ def _codes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return text, code
 
 
+def _symbol_grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, Callable]:
+    """Text and local code of the n-gram of every character, and what turns codes into (high, gram), as two rows.
+
+    Symbols are code points + 1.  A code packs the numbers of the slice's different symbols, or, where four of those do
+    not fit 64 bits, the numbers of its different pairs.
+    """
+    points, upto = codepoints(raw, offsets)
+    seen = np.zeros(WHOLE.size, bool)
+    seen[points] = True
+    kinds = np.flatnonzero(seen)
+    number = np.zeros(WHOLE.size, np.uint64)
+    number[kinds] = np.arange(1, len(kinds) + 1)
+    sign, bits = number[points], max(1, len(kinds).bit_length())
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(upto))
+    at = np.arange(len(sign)) - upto[text]
+    back = [sign]
+    for k in range(1, ORDER):
+        before = np.zeros(len(sign), np.uint64)
+        before[k:] = sign[:-k] if k < len(sign) else 0
+        before[at < k] = 0
+        back.append(before)
+    symbols = np.concatenate(([0], kinds + 1)).astype(np.uint64)
+    wide = np.uint64(WHOLE.bits)
+
+    def joined(last: list[np.ndarray]) -> np.ndarray:
+        c1, c2, c3, c4 = (symbols[c.astype(np.int64)] for c in last)
+        return np.stack((c4, c3 << wide << wide | c2 << wide | c1))
+    if bits * ORDER <= 64:
+        of, one = [np.uint64(bits * k) for k in range(ORDER)], np.uint64((1 << bits) - 1)
+        code = back[0] | back[1] << of[1] | back[2] << of[2] | back[3] << of[3]
+        return text, code, lambda codes: joined([codes >> k & one for k in of])
+    half, one = np.uint64(32), np.uint64((1 << WHOLE.bits) - 1)
+    ends, end = np.unique(back[0] | back[1] << wide, return_inverse=True)
+    heads, head = np.unique(back[2] | back[3] << wide, return_inverse=True)
+
+    def split(codes):
+        e, h = ends[(codes & np.uint64((1 << 32) - 1)).astype(np.int64)], heads[(codes >> half).astype(np.int64)]
+        return joined([e & one, e >> wide, h & one, h >> wide])
+    return text, end.astype(np.uint64) | head.astype(np.uint64) << half, split
+
+
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, lang, gram, n) of a task's rows (with part, lang and text)."""
+    """(part, lang, high, gram, n) of a task's rows (with part, lang and text)."""
     sums: dict[tuple, list] = {}
     for batch in batches:
         parts, langs = batch.column("part").to_numpy(zero_copy_only=False), batch.column("lang").to_pylist()
         for a, z, raw, offsets in text_slices(batch.column("text")):
-            text, code = _codes(raw, offsets)
+            text, code, whole = _symbol_grams(raw, offsets)
             keys = list(zip(parts[a:z].tolist(), langs[a:z], strict=True))
             number = {k: i for i, k in enumerate(dict.fromkeys(keys))}
             own = np.array([number[k] for k in keys])[text]
             for key, i in number.items():
-                found = np.unique(code[own == i], return_counts=True)
+                found, n = np.unique(code[own == i], return_counts=True)
                 held = sums.setdefault(key, [])
-                held.append(found)
+                held.append((whole(found), n))
                 if len(held) > 8:
                     sums[key] = [_merged(held)]
     for (part, lang), held in sums.items():
         gram, n = _merged(held)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(gram), part, np.int64)), pa.array([lang] * len(gram), pa.string()),
-             pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], names=["part", "lang", "gram", "n"])
+            [pa.array(np.full(len(n), part, np.int64)), pa.array([lang] * len(n), pa.string()),
+             pa.array(gram[0].astype(np.int32)), pa.array(gram[1].astype(np.int64)), pa.array(n.astype(np.int64))],
+            names=["part", "lang", "high", "gram", "n"])
 
 
 def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    gram, back = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
-    return gram, np.bincount(back, np.concatenate([n for _, n in found]), minlength=len(gram)).astype(np.int64)
+    gram, n = np.concatenate([g for g, _ in found], axis=1), np.concatenate([n for _, n in found])
+    order = np.lexsort(gram)
+    gram, n = gram[:, order], n[order]
+    first = np.flatnonzero(np.append(True, (gram[:, 1:] != gram[:, :-1]).any(axis=0))[:len(n)])
+    return gram[:, first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _last(order: int, a: Alphabet) -> Column:
+    """The last ``order`` symbols (fewer than ORDER)."""
+    return F.col("gram").bitwiseAND(F.lit((1 << (a.bits * order)) - 1))
 
 
-def _last(gram: Column, order: int) -> Column:
-    return gram.bitwiseAND(F.lit((1 << (BITS * order)) - 1))
+def _before(order: int, a: Alphabet) -> Column:
+    """All symbols of an n-gram of ``order`` but its last."""
+    shorter = F.shiftright("gram", a.bits)
+    return shorter.bitwiseOR(F.shiftleft(F.col("high").cast("long"), (ORDER - 2) * a.bits)) if _split(order, a) else shorter
 
 
-def _shorter(gram: Column) -> Column:
-    return F.shiftright(gram, BITS)
+def _split(order: int, a: Alphabet) -> bool:
+    """Whether n-grams of ``order`` have their first symbol apart."""
+    return order == ORDER and a.bits * ORDER > 63
 
 
-def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """From (lang, gram, n) of the highest order: for each order 1..ORDER the table (lang, gram, share) of discounted
-    shares and the table (lang, before, weight) of back-off weights per context."""
+def _key(order: int, a: Alphabet) -> list[str]:
+    return ["lang", "high", "gram"] if _split(order, a) else ["lang", "gram"]
+
+
+def kneser_ney(counts: DataFrame, alphabet: Alphabet = FOLDED) -> list[tuple[DataFrame, DataFrame]]:
+    """From (lang, high and gram, n) of the highest order: for each order 1..ORDER the table (lang, gram, share) of
+    discounted shares and the table (lang, before, weight) of back-off weights per context."""
     tables, grams = [], counts
     for order in range(ORDER, 0, -1):
+        key = _key(order, alphabet)
         n = [F.sum((F.col("n") == k).cast("double")) for k in (1, 2, 3, 4)]
         ones, twos, threes, fours = (F.greatest(F.col(f"n{k}"), F.lit(1.0)) for k in (1, 2, 3, 4))
         y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
@@ -136,30 +210,45 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
                          bounded(3 - 4 * y * fours / threes, 2.85).alias("d3")))
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         cut = (grams.join(rates, "lang").withColumn("off", off)
-               .select("lang", "gram", "n", "off", _shorter(F.col("gram")).alias("before")))
+               .select(*key, "n", "off", _before(order, alphabet).alias("before")))
         before = (cut.groupBy("lang", "before").agg(F.sum("n").alias("total"), F.sum("off").alias("left"))
                   .select("lang", "before", "total", (F.col("left") / F.col("total")).alias("weight")))
         shares = (cut.join(before, ["lang", "before"])
-                  .select("lang", "gram", ((F.col("n") - F.col("off")) / F.col("total")).alias("share")))
+                  .select(*key, ((F.col("n") - F.col("off")) / F.col("total")).alias("share")))
         # stored, so that neither plans nor work pile up over the orders
         tables.append((stage(shares, f"shares-{order}"), stage(before.select("lang", "before", "weight"), f"weights-{order}")))
         if order > 1:
-            grams = stage(grams.groupBy("lang", _last(F.col("gram"), order - 1).alias("gram"))
+            grams = stage(grams.groupBy("lang", _last(order - 1, alphabet).alias("gram"))
                           .agg(F.count(F.lit(1)).alias("n")), f"grams-{order - 1}")
     return tables[::-1]
 
 
-def log_probabilities(asked: DataFrame, counts: DataFrame) -> DataFrame:
-    """(lang, gram, logp) of the distinct pairs of ``asked``."""
-    out = asked.select("lang", "gram").distinct().withColumn("p", F.lit(1.0 / CLASSES))
-    for order, (shares, weights) in enumerate(kneser_ney(counts), 1):
-        own = _last(F.col("gram"), order)
-        out = (out.withColumn("own", own).withColumn("before", _shorter(own))
-               .join(shares.withColumnRenamed("gram", "own"), ["lang", "own"], "left")
+def log_probabilities(asked: DataFrame, counts: DataFrame, alphabet: Alphabet = FOLDED) -> DataFrame:
+    """(lang, high and gram, logp) of the distinct n-grams of ``asked``."""
+    key = _key(ORDER, alphabet)
+    out = asked.select(*key).distinct().withColumn("p", F.lit(1.0 / alphabet.size))
+    for order, (shares, weights) in enumerate(kneser_ney(counts, alphabet), 1):
+        if order == ORDER:
+            out, own = out.withColumn("before", _before(order, alphabet)), key
+        else:
+            out = out.withColumn("own", _last(order, alphabet)).withColumn("before", F.shiftright("own", alphabet.bits))
+            shares, own = shares.withColumnRenamed("gram", "own"), ["lang", "own"]
+        out = (out.join(shares, own, "left")
                .join(weights, ["lang", "before"], "left")
                .withColumn("p", F.coalesce(F.coalesce("share", F.lit(0.0)) + F.col("weight") * F.col("p"), F.col("p")))
-               .select("lang", "gram", "p"))
-    return out.select("lang", "gram", F.log("p").alias("logp"))
+               .select(*key, "p"))
+    return out.select(*key, F.log("p").alias("logp"))
+
+
+def _looked_up(asked: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each (high, gram) of ``asked``; all are among ``known``."""
+    highs, grams = np.unique(known[0]), np.unique(known[1])
+
+    def number(of):
+        return np.searchsorted(grams, of[1]) * len(highs) + np.searchsorted(highs, of[0])
+    ids = number(known)
+    order = np.argsort(ids)
+    return values[order][np.searchsorted(ids[order], number(asked))]
 
 
 def _scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
@@ -168,20 +257,20 @@ def _scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
     langs = np.array([x or "" for x in texts.column("lang").to_pylist()], dtype=object)
     ids, keys, column = texts.column("doc_id"), texts.column("text_key"), texts.column("text")
     asked = np.array(answers.column("lang").to_pylist(), dtype=object)
-    gram = answers.column("gram").to_numpy()
+    gram = np.stack([answers.column(c).to_numpy().astype(np.uint64) for c in ("high", "gram")])
     logp = answers.column("logp").to_numpy()
     out = []
     for lang in dict.fromkeys(langs.tolist()):
-        lookup = np.zeros(1 << (BITS * ORDER), np.float32)
         own = asked == lang
-        lookup[gram[own]] = logp[own]
+        known, value = gram[:, own], logp[own]
         rows = np.flatnonzero(langs == lang)
         some = column.take(pa.array(rows))
         n, sums = np.zeros(len(rows), np.int64), np.zeros(len(rows))
         for a, z, raw, offsets in text_slices(some):
-            text, code = _codes(raw, offsets)
+            text, code, whole = _symbol_grams(raw, offsets)
+            kinds, at = np.unique(code, return_inverse=True)
             n[a:z] = np.bincount(text, minlength=z - a)
-            sums[a:z] = -np.bincount(text, lookup[code].astype(np.float64), minlength=z - a)
+            sums[a:z] = -np.bincount(text, _looked_up(whole(kinds), known, value)[at], minlength=z - a)
         out.append(pa.table({"doc_id": ids.take(pa.array(rows)), "text_key": keys.take(pa.array(rows)), "lang": pa.array([lang] * len(rows), pa.string()),
                              "n_chars": pa.array(n), "nll": pa.array(sums)}))
     return pa.concat_tables(out).combine_chunks()
@@ -198,13 +287,13 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
-    schema = "part long, lang string, gram long, n long"
+    schema = "part long, lang string, high int, gram long, n long"
     known = rows.join(ids, "doc_id", "left_semi")
     by_fold = stage(known.select(learn.cast("long").alias("part"), "lang", "text").mapInArrow(_gram_counts, schema)
-                    .groupBy("part", "lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")
+                    .groupBy("part", "lang", "high", "gram").agg(F.sum("n").alias("n")), "gram-counts")
     # the threshold fold is left out, unless a language has nothing else
     use = by_fold.groupBy("lang").agg(F.max("part").alias("part"))
-    counts = stage(by_fold.join(use, ["lang", "part"]).select("lang", "gram", "n"), "counts")
+    counts = stage(by_fold.join(use, ["lang", "part"]).select("lang", "high", "gram", "n"), "counts")
 
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // BATCH_BYTES))
@@ -212,8 +301,9 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
                                            F.lit(parts))).repartition(parts, "part")
     # all columns of ``dealt``: asking and scoring then read one shuffle of the texts; a part is one task's, so its
     # pairs are distinct
-    asked = dealt.mapInArrow(_gram_counts, schema).select("part", "lang", "gram")
-    answers = asked.join(log_probabilities(asked, counts), ["lang", "gram"]).select("part", "lang", "gram", "logp")
+    asked = dealt.mapInArrow(_gram_counts, schema).select("part", "lang", "high", "gram")
+    answers = (asked.join(log_probabilities(asked, counts, WHOLE), _key(ORDER, WHOLE))
+               .select("part", "lang", "high", "gram", "logp"))
     with text_batches(docs.sparkSession):
         scored = stage(dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
             _scored, "doc_id long, text_key long, lang string, n_chars long, nll double")
@@ -224,7 +314,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
     judges = judges.join(judges.groupBy("lang").agg(F.min("part").alias("part")), ["lang", "part"])
     mean = judges.groupBy("lang").agg((F.sum("nll") / F.greatest(F.sum("n_chars"), F.lit(1))).alias("mean"))
     smooth = lambda df: df.join(mean, "lang", "left").withColumn("perplexity", F.exp(
-        (F.col("nll") + PRIOR * F.coalesce("mean", F.log(F.lit(CLASSES)))) / (F.col("n_chars") + PRIOR)))
+        (F.col("nll") + PRIOR * F.coalesce("mean", F.log(F.lit(WHOLE.size)))) / (F.col("n_chars") + PRIOR)))
     limits = smooth(judges).groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     return (smooth(scored).join(limits, "lang", "left")
             .select("doc_id", "lang", "n_chars", "perplexity", "threshold", "trusted",
