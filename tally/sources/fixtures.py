@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,7 @@ from tally import constants as K
 from tally.functions.columns import MONEY, MONEY_SUM, RATE, money, posting_month
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-STORE_VERSION = 4          # bump when a stored derivation changes
+STORE_VERSION = 5          # bump when a stored derivation changes
 STORED_COLUMNS = {"entries_with_keys": ["entry_id", "transaction_id", "wallet_id", "type", "amount", "currency",
                                         "created_at", "posting_month", "leg", "o_orderkey"],
                   "order_flow": ["transaction_id", "o_orderkey", "o_orderdate", "o_orderpriority", "n_lines", "payer",
@@ -28,6 +30,22 @@ STORED_COLUMNS = {"entries_with_keys": ["entry_id", "transaction_id", "wallet_id
                                  "is_movement", "created_at", "posting_month"]}
 
 
+#: Bytes of stored orders whose legs one task makes, sorts by month and writes.
+STORE_SPLIT = 16 << 20
+
+
+@contextmanager
+def small_splits(spark: SparkSession, size: int) -> Iterator[None]:
+    """While it holds, plans that are run read files in splits of at most ``size`` bytes."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(size, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _lit_array(values):
     return F.array(*[F.lit(v) for v in values])
 
@@ -188,9 +206,12 @@ class Ledger:
         digest = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
         return f"{shared_dir(self.spark)}/tally/ledger/{digest}"
 
-    def _store(self, name: str, build, partition_by: str | None = None) -> DataFrame:
+    def _store(self, name: str, build, partition_by: str | None = None, dealt: bool = False) -> DataFrame:
         """The view ``build()`` written once under the fingerprint (staged, then renamed into place).
 
+        ``dealt``: its rows already lie together by the partition column, so they are written where they are, from
+        file splits of at most ``STORE_SPLIT`` (a task sorts what it writes).
+
         ``build`` is only called when the stored copy is missing; otherwise the
         copy is read from its own footers, so no derivation plan is analysed.
         """
@@ -210,7 +231,11 @@ class Ledger:
             tmp = f"{self.store_root}/{tmp_name}"
             if partition_by:
                 from tally.sources.storage import write_by_month
-                write_by_month(df, tmp, month_col=partition_by, key_col="entry_id")
+                if dealt:
+                    with small_splits(self.spark, STORE_SPLIT):
+                        df.write.mode("overwrite").partitionBy(partition_by).parquet(tmp)
+                else:
+                    write_by_month(df, tmp, month_col=partition_by, key_col="entry_id")
             else:
                 df.write.mode("overwrite").parquet(tmp)
             if fs.exists(target) or not fs.rename(Path(tmp), target):   # another writer won the race
@@ -227,9 +252,10 @@ class Ledger:
     @cached_property
     def order_flow(self) -> DataFrame:
         """One row per order: header fields plus the money movement it implies (stored once)."""
-        return self._store("order_flow", self._order_flow_plan, partition_by="posting_month")
+        return self._store("order_flow", lambda: self._order_flow_plan(by_month=True), partition_by="posting_month", dealt=True)
 
-    def _order_flow_plan(self) -> DataFrame:
+    def _order_flow_plan(self, by_month: bool = False) -> DataFrame:
+        """``by_month``: rows of a month together; they are dealt out before they are widened by what follows from them."""
         o = self.raw("orders")
         urgent = F.col("o_orderpriority") == K.URGENT_PRIORITY
         payee_key = F.when(urgent, (F.col("o_custkey") * K.PAYEE_MULTIPLIER + F.col("o_orderkey") + 1)
@@ -243,6 +269,10 @@ class Ledger:
                       F.when(urgent, "C").otherwise("S").alias("payee_kind"), payee_key.alias("payee_key"))
               .join(payer, F.col("o_custkey") == F.col("payer_key"), "left")
               .join(payee, ["payee_kind", "payee_key"], "left"))
+        df = df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "a", "n_lines",
+                       "payee_kind", "payee_key", "p", "q", posting_month("o_orderdate").alias("posting_month"))
+        if by_month:
+            df = df.hint("rebalance", "posting_month")
         is_fx = F.col("q").isNotNull() & (F.col("p") != F.col("q"))
         rate = F.when(is_fx, rate_expr(F.col("p"), F.col("q")))
         return df.select(
@@ -262,7 +292,7 @@ class Ledger:
             F.when(is_fx, F.round(F.col("a") * rate, 4).cast(MONEY)).otherwise(F.col("a")).alias("b"),
             (F.col("a").isNotNull()
              & ~((F.col("payee_kind") == "C") & (F.col("payee_key") == F.col("o_custkey")))).alias("is_movement"),
-            F.col("o_orderdate").alias("created_at"), posting_month("o_orderdate").alias("posting_month"))
+            F.col("o_orderdate").alias("created_at"), "posting_month")
 
     @cached_property
     def headers(self) -> DataFrame:
@@ -316,8 +346,8 @@ class Ledger:
 
     @cached_property
     def entries_with_keys(self) -> DataFrame:
-        """The ledger legs, stored month-partitioned."""
-        return self._store("entries_with_keys", lambda: self.legs_of(self.movements), partition_by="posting_month")
+        """The ledger legs, stored month-partitioned: made and written where the orders of the month lie."""
+        return self._store("entries_with_keys", lambda: self.legs_of(self.movements), partition_by="posting_month", dealt=True)
 
     @cached_property
     def entries(self) -> DataFrame:
