@@ -234,14 +234,23 @@ def mixed_currency_wallets(entries: DataFrame) -> DataFrame:
             .filter(F.col("currencies") > 1))
 
 
+def _used_wallets(entries: DataFrame) -> DataFrame:
+    """One row per wallet that has entries, combined per task: a platform wallet has a share of all entries.
+
+    Joined as rows with a mark: a semi or anti join would be done once for each part of the union that wallets are.
+    """
+    return entries.select("wallet_id").distinct().withColumn("_used", F.lit(True))
+
+
 def wallets_with_entries(wallets: DataFrame, entries: DataFrame) -> DataFrame:
     """JOIN-6 EXISTS."""
-    return wallets.join(entries.select("wallet_id"), "wallet_id", "left_semi").select("wallet_id", "currency", "kind")
+    return wallets.join(_used_wallets(entries), "wallet_id").select("wallet_id", "currency", "kind")
 
 
 def wallets_without_entries(wallets: DataFrame, entries: DataFrame) -> DataFrame:
     """JOIN-6 NOT EXISTS."""
-    return wallets.join(entries.select("wallet_id"), "wallet_id", "left_anti").select("wallet_id", "currency", "kind")
+    return (wallets.join(_used_wallets(entries), "wallet_id", "left").where("_used is null")
+            .select("wallet_id", "currency", "kind"))
 
 
 # ---- posting gate ------------------------------------------------------------
