@@ -46,13 +46,17 @@ def _read_or_empty(L: Ledger, path: str, like: DataFrame) -> DataFrame:
 
 LANDED_FILES = 6
 FILES_PER_BATCH = 2
+#: Legs of a landed file; more legs land in more files and as many batches.
+FILE_LEGS = 500_000
 
 
-def _land_shuffled(L: Ledger, legs: DataFrame, name: str) -> str:
-    """Legs in ``LANDED_FILES`` files by hash of the entry: legs of a transaction and of a day arrive apart."""
+def _land_shuffled(L: Ledger, legs: DataFrame, name: str) -> tuple[str, int]:
+    """Legs in files by hash of the entry: legs of a transaction and of a day arrive apart.  The folder, and the files
+    of it that make a batch."""
     path = S.new_run(L.spark, name)
-    legs.repartition(LANDED_FILES, "entry_id").write.mode("overwrite").parquet(path)
-    return path
+    times = max(1, -(-legs.count() // (LANDED_FILES * FILE_LEGS)))
+    legs.repartition(LANDED_FILES * times, "entry_id").write.mode("overwrite").parquet(path)
+    return path, FILES_PER_BATCH * times
 
 
 def _ledger_stream(L: Ledger, path: str, max_files: int | None = None) -> DataFrame:
@@ -249,9 +253,9 @@ def _stream_stuck_pending(L):
            <= (SELECT max(created_at) FROM entries_staged) - INTERVAL 1 DAY""")
 def _stream_zero_sum(L):
     """STR-7: deferred per-(transaction, currency) zero-sum over the staged posting stream, in shuffled micro-batches."""
-    path = _land_shuffled(L, L.entries_staged, "landing-staged")
+    path, files = _land_shuffled(L, L.entries_staged, "landing-staged")
     run = S.new_run(L.spark, "stream_zero_sum")
-    S.run_foreach_batch(_ledger_stream(L, path, FILES_PER_BATCH), S.zero_sum_batches(run), f"{run}/checkpoint")
+    S.run_foreach_batch(_ledger_stream(L, path, files), S.zero_sum_batches(run), f"{run}/checkpoint")
     return S.zero_sum_verdicts(L.spark, run)
 
 
@@ -262,9 +266,9 @@ def _stream_zero_sum(L):
     FROM entries GROUP BY wallet_id, currency""")
 def _stream_balance(L):
     """STR-8: running wallet balances from per-batch deltas written by batch id (replay-safe)."""
-    path = _land_shuffled(L, L.entries, "landing-entries")
+    path, files = _land_shuffled(L, L.entries, "landing-entries")
     run = S.new_run(L.spark, "stream_balance")
-    S.run_foreach_batch(_ledger_stream(L, path, FILES_PER_BATCH), S.balance_batches(run), f"{run}/checkpoint")
+    S.run_foreach_batch(_ledger_stream(L, path, files), S.balance_batches(run), f"{run}/checkpoint")
     return S.balances(L.spark, run)
 
 
