@@ -49,6 +49,7 @@ class ClaimBuckets(StatefulProcessor):
         keys = pdf["idempotency_key"].to_numpy()
         at = pdf["at_us"].to_numpy()
         own = pdf["transaction_id"].to_numpy()
+        known = self.claims.exists()          # one call: a bucket without claims is not asked key by key
         order = np.lexsort((pdf["event_id"].to_numpy(), at, keys, callers))
         n = len(order)
         verdict = np.empty(n, dtype=object)
@@ -68,7 +69,7 @@ class ClaimBuckets(StatefulProcessor):
             if k != current:
                 flush()
                 current, changed = k, False
-                held = self.claims.getValue(k)
+                held = self.claims.getValue(k) if known else None
                 until, txn = held if held is not None else (None, None)
             t = int(at[i])
             if until is None or t >= until:
@@ -88,15 +89,19 @@ class ClaimBuckets(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         cut_us = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
-        dead, next_until = [], None
+        dead, live = [], []
         for k, v in self.claims.iterator():
-            if v[0] <= cut_us:
-                dead.append(k)
-            elif next_until is None or v[0] < next_until:
-                next_until = v[0]
-        for k in dead:
-            self.claims.removeKey(k)
-        if next_until is not None:
+            (dead if v[0] <= cut_us else live).append((k, v))
+        # every key is a call to the state store: the fewer of those to remove and those to keep
+        if len(live) < len(dead):
+            self.claims.clear()
+            for k, v in live:
+                self.claims.updateValue(k, v)
+        else:
+            for k, _ in dead:
+                self.claims.removeKey(k)
+        if live:
+            next_until = min(v[0] for _, v in live)
             self._arm((next_until // 1000 // self.sweep_ms + 1) * self.sweep_ms)
         return iter([])
 
