@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions.columns import MONEY
-from tally.functions.skew import join_back
+from tally.functions.skew import hot_keys_of, join_back, join_beside, together
 from tally.session import shared_dir
 
 
@@ -28,8 +28,8 @@ def _cut(df: DataFrame) -> DataFrame:
 def ledger_edges(entries: DataFrame, transactions: DataFrame, wallets: DataFrame, accounts: DataFrame) -> DataFrame:
     """GR-1: one payer -> payee edge per transaction, out of its legs.
 
-    Legs take their account through the wallet (platform wallets are hot: their
-    rows are salted), and one aggregation per transaction pairs them: the
+    Legs take their account through the wallet (those of hot platform wallets
+    where they lie), and what each adds is shuffled once to its transaction: the
     largest customer debit pays; the largest customer credit of another account
     is paid, in whatever currency it arrives behind the FX wallets; the amount
     is what left the payer in its own currency without the revenue legs.
@@ -37,23 +37,34 @@ def ledger_edges(entries: DataFrame, transactions: DataFrame, wallets: DataFrame
     no edge.
     """
     owner = (wallets.select("wallet_id", "account_id").join(accounts.select("account_id", F.col("type").alias("account_type")), "account_id"))
-    legs = join_back(entries.select("transaction_id", "entry_id", "wallet_id", "type", "amount", "currency", "created_at"), owner,
-                     ["wallet_id"], spread=["entry_id"])
+    named = entries.where("transaction_id is not null").select("transaction_id", "wallet_id", "type", "amount", "currency", "created_at")
+    legs = join_beside(named, owner, ["wallet_id"])
     customer = F.col("account_type") == "CUSTOMER"
-    largest = F.struct(F.col("amount"), F.col("account_id"), F.col("currency"))
-    per = legs.groupBy("transaction_id").agg(
-        F.max(F.when(customer & (F.col("type") == "DEBIT"), largest)).alias("paid"),
-        F.max(F.when(customer & (F.col("type") == "CREDIT"), largest)).alias("got"),
-        F.collect_list(F.when((F.col("account_type") == "PLATFORM_REVENUE") & (F.col("type") == "CREDIT"),
-                              F.struct("currency", "amount"))).alias("fees"),
+    role = (F.when(customer & (F.col("type") == "DEBIT"), "paid").when(customer & (F.col("type") == "CREDIT"), "got")
+            .when((F.col("account_type") == "PLATFORM_REVENUE") & (F.col("type") == "CREDIT"), "fee"))
+    legs = (legs.select("transaction_id", "created_at", "currency", "amount", "account_id", role.alias("role"))
+            .select("transaction_id", "created_at", "role", *[F.when(F.col("role").isNotNull(), F.col(c)).alias(c) for c in ("currency", "amount")],
+                    F.when(F.col("role") != "fee", F.col("account_id")).alias("account_id")))
+    hot, n = hot_keys_of(named, ["transaction_id"])
+    if not hot:                                         # else its legs are combined per task first
+        legs = together(legs, "transaction_id", n)
+    largest, fee = F.struct("amount", "account_id"), F.col("role") == "fee"
+    per_ccy = legs.groupBy("transaction_id", "currency").agg(
+        *[F.max(F.when(F.col("role") == r, largest)).alias(r) for r in ("paid", "got")],
+        # a fee of no amount makes the sum unknown
+        F.when(~F.coalesce(F.bool_or(fee & F.col("amount").isNull()), F.lit(False)),
+               F.coalesce(F.sum(F.when(fee, F.col("amount"))), F.lit(0)).cast("decimal(38,4)")).alias("fees"),
         F.min("created_at").alias("transferred_at"))
-    own_fees = F.aggregate(F.filter("fees", lambda f: f["currency"] == F.col("paid.currency")), F.lit(0).cast("decimal(38,4)"),
-                           lambda s, f: (s + f["amount"]).cast("decimal(38,4)"))
+    own_fees = F.when(F.col("currency").isNull(), F.lit(0).cast("decimal(38,4)")).otherwise(F.col("fees"))
+    per = per_ccy.groupBy("transaction_id").agg(
+        F.max(F.when(F.col("paid").isNotNull(), F.struct("paid.amount", "paid.account_id", "currency", own_fees.alias("fees")))).alias("paid"),
+        F.max(F.when(F.col("got").isNotNull(), F.struct("got.amount", "got.account_id", "currency"))).alias("got"),
+        F.min("transferred_at").alias("transferred_at"))
     live = transactions.filter(F.col("status") != "REVERSED").select("transaction_id")
     return (per.filter(F.col("paid").isNotNull() & F.col("got").isNotNull() & (F.col("paid.account_id") != F.col("got.account_id")))
             .join(live, "transaction_id", "left_semi")
             .select(F.col("transaction_id").alias("txn_id"), F.col("paid.account_id").alias("src"), F.col("got.account_id").alias("dst"),
-                    "transferred_at", (F.col("paid.amount") - own_fees).cast(MONEY).alias("amount"),
+                    "transferred_at", (F.col("paid.amount") - F.col("paid.fees")).cast(MONEY).alias("amount"),
                     F.col("paid.currency").alias("currency")))
 
 

@@ -1,9 +1,9 @@
-"""join_back: the plain join's rows, spread evenly."""
+"""join_back and join_beside: the plain join's rows, spread evenly."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from tally.functions.skew import hot_keys, join_back
+from tally.functions.skew import hot_keys, join_back, join_beside, together
 
 
 def _rows(spark, n=60_000):
@@ -17,9 +17,11 @@ def _rows(spark, n=60_000):
 def test_same_rows_as_a_plain_join(spark, how):
     rows = _rows(spark)
     summary = rows.groupBy("key", "kind").agg(F.count(F.lit(1)).alias("n")).where("key is null or key < 100")
-    got, want = join_back(rows, summary, ["key", "kind"], how), rows.join(summary, ["key", "kind"], how)
-    assert got.columns == want.columns and got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
+    want = rows.join(summary, ["key", "kind"], how)
+    for join in (join_back, join_beside):
+        got = join(rows, summary, ["key", "kind"], how)
+        assert got.columns == want.columns and got.count() == want.count()
+        assert got.exceptAll(want).count() == 0
 
 
 def test_no_task_holds_a_hot_key(spark):
@@ -43,3 +45,11 @@ def test_hot_keys_are_few(spark):
     assert hot_keys(spark.range(0).select(F.col("id").alias("key")), ["key"]) == []
     with pytest.raises(ValueError):
         join_back(spark.range(1), spark.range(1), ["id"], "full_outer")
+    with pytest.raises(ValueError):
+        join_beside(spark.range(1), spark.range(1), ["id"], "full_outer")
+
+
+def test_partitions_grow_with_the_rows(spark):
+    rows = spark.range(10).select(F.col("id").alias("key"))
+    assert together(rows, "key", 10).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert together(rows, "key", 10_000_000).rdd.getNumPartitions() == 20
