@@ -92,6 +92,12 @@ class KeyedTable:
             return keys.where(F.lit(False))
         return keys.join(self.read(parts).select(*self.keys), self.keys, "left_semi")
 
+    def held(self, rows: DataFrame) -> DataFrame:
+        """The rows whose key the table has."""
+        rows = rows.where(self._whole())
+        parts = self.parts_holding(rows)
+        return rows.join(self.read(parts).select(*self.keys), self.keys, "left_semi") if parts else rows.where(F.lit(False))
+
     # ---- writing ---------------------------------------------------------------
     def absent(self, rows: DataFrame, order: list[str]) -> DataFrame:
         """The rows to append: of each new key its first row by ``order``; rows with a null key all stay."""

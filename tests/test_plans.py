@@ -74,3 +74,20 @@ def test_routing_reads_the_stored_rollup(spark):
     from tally.plans import registry
     p = plan(registry.run("settlement_routed", spark, SF_SMALL))
     assert "routed-rollup" in p
+
+
+def _shuffles(df):
+    """The exchanges by hash of a plan before it runs."""
+    return [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in ln]
+
+
+def test_gate_and_edges_shuffle_the_legs_once_to_their_transaction(spark):
+    from tally.operators import integrity as I
+    from tally.operators.graph import ledger_edges
+    L = Ledger(spark, SF_SMALL)
+    accepted = _shuffles(I.posting_accepted(L.entries_staged, L.transactions, L.wallet_dim))
+    assert len([ln for ln in accepted if "unit" in ln]) <= 3 and len(accepted) <= 8, accepted    # legs, headers, strays; wallets
+    edges = ledger_edges(L.entries, L.transactions, L.wallet_dim, L.accounts)
+    # no lists, which are sorted and spilled before they are shuffled
+    assert "collect_list" not in edges._jdf.queryExecution().executedPlan().toString()
+    assert len([ln for ln in _shuffles(edges) if "transaction_id" in ln]) == 2, _shuffles(edges)     # legs and headers

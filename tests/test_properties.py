@@ -78,6 +78,33 @@ def test_gate_loses_no_leg(spark, rows, nameless):
     assert all("not_null" in r.reasons for r in lost.collect())
 
 
+def test_gate_judges_hot_units_like_others(spark):
+    """Each rule broken in a transaction of its own: the same reasons by windows and by aggregates, and beside a hot one."""
+    ok = [("{t}-1", "{t}", "w0", "DEBIT", D(3), "USD"), ("{t}-2", "{t}", "w1", "CREDIT", D(3), "USD")]
+
+    def txn(t, *legs):
+        return [(e and e.format(t=t), t, *r) for e, _, *r in legs]
+    rows = (txn("fine", *ok) + txn("type", *ok, ("{t}-3", "", "w0", "REFUND", D(1), "USD")) + txn("zero", *ok, ("{t}-3", "", "w0", "DEBIT", D(0), "USD"))
+            + txn("stray", *ok[:1], ("{t}-2", "", "w9", "CREDIT", D(3), "USD")) + txn("odd", *ok, ("{t}-3", "", "w0", "DEBIT", D(1), "VND"))
+            + txn("twice", ok[0], ok[0], ok[1], ("{t}-3", "", "w1", "CREDIT", D(3), "USD")) + txn("none", *ok, (None, "", None, "DEBIT", D(1), None))
+            + [(None, None, "w0", "DEBIT", D(1), "USD")] * 2)
+    headless = txn("headless", *ok)
+    e, _, w = _frames(spark, rows + headless)
+    _, t, _ = _frames(spark, [r for r in rows if r[1]])
+    want = {"type": ["bad_type"], "zero": ["amount_not_positive"], "stray": ["currency_mismatch"], "odd": ["unbalanced"],
+            "twice": ["duplicate_entry"], "none": ["not_null", "unbalanced"], "headless": ["missing_header"], "fine": [],
+            "entry:": ["duplicate_entry", "missing_header", "not_null", "unbalanced"]}
+    many = spark.range(400).select(F.concat(F.lit("h-"), "id").alias("entry_id"), F.lit("fine").alias("transaction_id"), F.lit("w0").alias("wallet_id"),
+                                   F.when(F.col("id") % 2 == 0, "DEBIT").otherwise("CREDIT").alias("type"), F.lit(1).cast("decimal(19,4)").alias("amount"),
+                                   F.lit("USD").alias("currency"), F.lit(TS).alias("created_at"), F.lit("2026-01").alias("posting_month"))
+    cold = many.withColumn("transaction_id", F.concat(F.lit("c"), F.substring("entry_id", 3, 9)))
+    for more in (None, many, cold):             # all are hot, one is, none is
+        staged = e if more is None else e.unionByName(more)
+        got = {r.transaction_id: list(r.reasons) for r in I.posting_verdicts(staged, t, w).where("not transaction_id rlike '^c[0-9]'").collect()}
+        assert got == want
+        assert I.posting_accepted(staged, t, w).count() == (402 if more is many else 2)
+
+
 def test_quarantine_keeps_the_legs(spark):
     from tally.session import scratch_path
     L = Ledger(spark, SF_SMALL)
