@@ -16,8 +16,9 @@ Scoring joins the other way round.  Texts are dealt to batches of about
 ``BATCH_BYTES``; each batch asks for its distinct (language, n-gram) pairs, the
 pairs of all batches get their probability from the sharded count tables once,
 and the answers go back to the batch, where each text adds up its own.  The
-texts are shuffled once, and what is joined follows the distinct n-grams of
-batches, not the corpus' characters.
+texts are shuffled once, those that a task deals to one batch compressed
+together (row by row they take half as much again on disk), and what is joined
+follows the distinct n-grams of batches, not the corpus' characters.
 
 A text's perplexity per character is smoothed towards its language's mean by
 ``PRIOR`` characters, as short texts vary.  The threshold of a language is the
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.staging import stage, table, text_batches
-from tally.llm.textcols import codepoints, letters, text_slices
+from tally.llm.textcols import SMALL_SLICE, codepoints, letters, text_slices
 
 ORDER = 4
 BITS = 6
@@ -61,6 +62,9 @@ WHOLE = Alphabet(21, 0x110000)
 PRIOR = 200
 QUANTILE = 0.995
 BATCH_BYTES = 16 << 20
+#: Bytes of rows that a task holds before it deals them to their batches, and of blocks that it hands on at once.
+DEAL_BYTES = 32 << 20
+SEND_BYTES = 1 << 20
 #: Trusted ids sent to every task up to this number (16 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -142,12 +146,56 @@ def _symbol_grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return text, end.astype(np.uint64) | head.astype(np.uint64) << half, split
 
 
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, block): a task's rows of each part, compressed together without ``part``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= DEAL_BYTES:
+            yield from _blocks(held)
+            held, size = [], 0
+    if held:
+        yield from _blocks(held)
+
+
+def _blocks(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = pa.Table.from_batches(held)
+    part = rows.column("part").to_numpy()
+    order = np.argsort(part, kind="stable")
+    parts, first = np.unique(part[order], return_index=True)
+    rows, names, blocks = rows.drop_columns("part"), [], []
+    for n, x, y in zip(parts.tolist(), first, np.append(first[1:], len(order)), strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+            out.write_table(rows.take(pa.array(order[x:y])).combine_chunks())
+        names.append(n)
+        blocks.append(sink.getvalue().to_pybytes())
+        if n == parts[-1] or sum(map(len, blocks)) >= SEND_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blocks, pa.binary())], names=["part", "block"])
+            names, blocks = [], []
+
+
+def _opened(block: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(block.as_buffer()).read_all()
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_gram_counts`` of dealt rows."""
+    def rows():
+        for batch in batches:
+            for part, block in zip(batch.column("part").to_pylist(), batch.column("block"), strict=True):
+                for some in _opened(block).to_batches():
+                    yield some.append_column("part", pa.array(np.full(len(some), part, np.int64)))
+    return _gram_counts(rows())
+
+
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(part, lang, high, gram, n) of a task's rows (with part, lang and text)."""
     sums: dict[tuple, list] = {}
     for batch in batches:
         parts, langs = batch.column("part").to_numpy(zero_copy_only=False), batch.column("lang").to_pylist()
-        for a, z, raw, offsets in text_slices(batch.column("text")):
+        for a, z, raw, offsets in text_slices(batch.column("text"), SMALL_SLICE):
             text, code, whole = _symbol_grams(raw, offsets)
             keys = list(zip(parts[a:z].tolist(), langs[a:z], strict=True))
             number = {k: i for i, k in enumerate(dict.fromkeys(keys))}
@@ -156,7 +204,8 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found, n = np.unique(code[own == i], return_counts=True)
                 held = sums.setdefault(key, [])
                 held.append((whole(found), n))
-                if len(held) > 8:
+                # what is held stays within twice the different n-grams, and few n-grams are merged often
+                if len(held) > 8 and sum(len(x) for _, x in held[1:]) > len(held[0][1]):
                     sums[key] = [_merged(held)]
     for (part, lang), held in sums.items():
         gram, n = _merged(held)
@@ -251,9 +300,10 @@ def _looked_up(asked: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.n
     return values[order][np.searchsorted(ids[order], number(asked))]
 
 
-def _scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
+def _scored(dealt: pa.Table, answers: pa.Table) -> pa.Table:
     """Characters and summed negative log probability of each text of a batch."""
-    texts, answers = texts.combine_chunks(), answers.combine_chunks()
+    texts = pa.concat_tables([_opened(b) for chunk in dealt.column("block").chunks for b in chunk]).combine_chunks()
+    answers = answers.combine_chunks()
     langs = np.array([x or "" for x in texts.column("lang").to_pylist()], dtype=object)
     ids, keys, column = texts.column("doc_id"), texts.column("text_key"), texts.column("text")
     asked = np.array(answers.column("lang").to_pylist(), dtype=object)
@@ -266,7 +316,7 @@ def _scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
         rows = np.flatnonzero(langs == lang)
         some = column.take(pa.array(rows))
         n, sums = np.zeros(len(rows), np.int64), np.zeros(len(rows))
-        for a, z, raw, offsets in text_slices(some):
+        for a, z, raw, offsets in text_slices(some, SMALL_SLICE):
             text, code, whole = _symbol_grams(raw, offsets)
             kinds, at = np.unique(code, return_inverse=True)
             n[a:z] = np.bincount(text, minlength=z - a)
@@ -297,14 +347,14 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
 
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // BATCH_BYTES))
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"),
-                                           F.lit(parts))).repartition(parts, "part")
-    # all columns of ``dealt``: asking and scoring then read one shuffle of the texts; a part is one task's, so its
-    # pairs are distinct
-    asked = dealt.mapInArrow(_gram_counts, schema).select("part", "lang", "high", "gram")
-    answers = (asked.join(log_probabilities(asked, counts, WHOLE), _key(ORDER, WHOLE))
-               .select("part", "lang", "high", "gram", "logp"))
+    dealing = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))
     with text_batches(docs.sparkSession):
+        dealt = dealing.mapInArrow(_dealt, "part long, block binary").repartition(parts, "part")
+        # all columns of ``dealt``: asking and scoring then read one shuffle of the texts; a part is one task's, so its
+        # pairs are distinct
+        asked = dealt.mapInArrow(_asked, schema).select("part", "lang", "high", "gram")
+        answers = (asked.join(log_probabilities(asked, counts, WHOLE), _key(ORDER, WHOLE))
+                   .select("part", "lang", "high", "gram", "logp"))
         scored = stage(dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
             _scored, "doc_id long, text_key long, lang string, n_chars long, nll double")
             .join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left")
