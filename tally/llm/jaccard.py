@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.staging import shuffle_width, stage, table, text_batches
-from tally.llm.textcols import LOWER, mix, text_slices, window_hashes, word_hashes, words
+from tally.llm.textcols import LOWER, SMALL_SLICE, mix, text_slices, window_hashes, word_hashes, words
 from tally.operators.graph import connected_components
 
 WIDTH = 3
@@ -198,7 +198,7 @@ def signatures(row: np.ndarray, value: np.ndarray, n_rows: int, percent: int
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, text_key, n, node) of every row; node is null without a set."""
     for batch in batches:
-        for a, z, raw, offsets in text_slices(batch.column(2), rows=4096):
+        for a, z, raw, offsets in text_slices(batch.column(2), SMALL_SLICE, rows=4096):
             row, value = shingle_sets(raw, offsets, width)
             n = np.bincount(row, minlength=z - a)
             node = set_digests(row, value, z - a).view(np.int64)
@@ -208,18 +208,21 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(signature, node, tag): equal sets of a slice sign once."""
+    """(signature, node, tag): equal sets of a task sign once."""
+    known: set[int] = set()
     for batch in batches:
-        for a, z, raw, offsets in text_slices(batch.column(0), rows=4096):
+        for a, z, raw, offsets in text_slices(batch.column(0), SMALL_SLICE, rows=4096):
             row, value = shingle_sets(raw, offsets, width)
             node = set_digests(row, value, z - a)
-            _, first = np.unique(node, return_index=True)
             one = np.zeros(z - a, bool)
-            one[first] = True
+            for k, x in enumerate(node.tolist()):
+                if x not in known:
+                    known.add(x)
+                    one[k] = True
             keep = one[row]
             r, sig, tag = signatures(row[keep], value[keep], z - a, percent)
-            for at in range(0, len(r), 200_000):
-                some = slice(at, at + 200_000)
+            for at in range(0, len(r), 50_000):
+                some = slice(at, at + 50_000)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sig[some].view(np.int64)), pa.array(node[r[some]].view(np.int64)),
                      pa.array(tag[some].astype(np.int32))], names=["signature", "node", "tag"])
@@ -228,7 +231,7 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
 def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """(node, group, n_chunks, shingles) of the wanted texts."""
     for batch in batches:
-        for a, z, raw, offsets in text_slices(batch.column(3), rows=4096):
+        for a, z, raw, offsets in text_slices(batch.column(3), SMALL_SLICE, rows=4096):
             row, value = shingle_sets(raw, offsets, width)
             cuts = np.searchsorted(row, np.arange(z - a + 1))
             blobs = [value[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.llm.staging import table
-from tally.llm.textcols import codepoints, letters, mix, text_slices
+from tally.llm.textcols import SMALL_SLICE, codepoints, letters, mix, text_slices
 
 FEATURE_BITS = 16
 ORDERS = (1, 2, 3)
@@ -68,7 +68,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     """(feature, number of texts with it) of a task's texts, and their number as feature -1."""
     total, n = np.zeros(1 << FEATURE_BITS, np.int64), 0
     for batch in batches:
-        for a, z, raw, offsets in text_slices(batch.column(0)):
+        for a, z, raw, offsets in text_slices(batch.column(0), SMALL_SLICE):
             found = list(_grams(raw, offsets))
             cuts = [np.searchsorted(t, np.arange(z - a + 1)) for t, _ in found]
             for k in range(z - a):
@@ -85,7 +85,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, key, features, counts) of each text as int32 arrays."""
     for batch in batches:
-        for a, z, raw, offsets in text_slices(batch.column(2)):
+        for a, z, raw, offsets in text_slices(batch.column(2), SMALL_SLICE):
             found = list(_grams(raw, offsets))
             cuts = [np.searchsorted(t, np.arange(z - a + 1)) for t, _ in found]
             features, counts = [], []
@@ -183,7 +183,7 @@ def mix_key(key: int) -> int:
 def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     n_lang = len(model.languages)
     for batch in batches:
-        for a, z, raw, offsets in text_slices(batch.column(1)):
+        for a, z, raw, offsets in text_slices(batch.column(1), SMALL_SLICE):
             sums, size = np.zeros((z - a, n_lang)), np.zeros(z - a)
             for text, feature in _grams(raw, offsets):
                 size += np.bincount(text, minlength=z - a)
