@@ -10,14 +10,22 @@ its sums are.  Only groups that break a rule are kept (checkpointed).
 What cannot be told per group is told by reading again, and only where the
 groups say that it is needed: the rows that refer to a missing key, and the
 cached sums of a key that several rows own.
+
+Most groups are a single token, so what a task holds follows the rows it reads:
+the files are read in small splits, and the groups are summed up in partitions
+that grow in number with the legs.  Tasks of a whole block of files outgrow
+their memory and spill their tokens several times over.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.functions.columns import MONEY, MONEY_SUM
@@ -26,6 +34,15 @@ VIOLATION = "rule string, entity string, entity_key string, detail string"
 GROUP = ["space", "k1", "k2", "k3", "at"]
 #: Broken keys that are sent to every task when rows are read again; more of them are joined by a shuffle.
 BROADCAST_KEYS = 200_000
+#: Bits by whose hash a row may refer to one of many broken keys (in bitmaps of 4 KB, 16 MB in all).
+MAYBE_BITS = 1 << 27
+BITMAP_BITS = 1 << 15
+#: Bytes of stored rows whose tokens one task combines, what opening a file counts as, and bytes that one task sums up.
+SPLIT_BYTES = 4 << 20
+OPEN_BYTES = 512 << 10
+SUM_BYTES = 16 << 20
+#: Legs whose groups (about three a leg are left of its tokens) meet in one partition.
+SUM_LEGS = 300_000
 #: Equal violations that one generator call writes.
 REPEATS = 10_000
 
@@ -174,7 +191,34 @@ def broken_groups(tables: dict[str, DataFrame], compiled: Compiled) -> DataFrame
               | (F.col("space").isin(kinds["key"]) & ((F.col("own") > 1) | ((F.col("own") == 0) & (F.col("refs") > 0))))
               | (F.col("space").isin(kinds["sums"]) & (F.col("debits") != F.col("credits")))
               | (F.col("space").isin(kinds["cached"]) & ((F.col("own") > 1) | ((F.col("own") == 1) & (_drift() != 0)))))
-    return groups.where(broken).checkpoint(eager=True)
+    # legs are counted from the footers of their files
+    legs = max((tables[t].count() for t in {t for r in compiled.rules for t in _leg_tables(r)}), default=0)
+    spark = groups.sparkSession
+    with small_tasks(spark, math.ceil(legs / SUM_LEGS)):
+        return groups.where(broken).checkpoint(eager=True)
+
+
+def _leg_tables(rule: Rule) -> list[str]:
+    return [rule.table] if isinstance(rule, Balanced) else [rule.legs] if isinstance(rule, Cached) else []
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """While it holds, plans that are run read files in small splits and shuffle into at least ``tasks`` partitions,
+    which are merged up to ``SUM_BYTES`` only."""
+    def bytes_of(value):
+        return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(value)
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(n) for n in names]
+    now = [min(most, bytes_of(b)) for most, b in zip((SPLIT_BYTES, OPEN_BYTES, SUM_BYTES), before, strict=False)]
+    for n, value in zip(names, [*now, max(tasks, int(before[-1]))], strict=True):
+        spark.conf.set(n, str(value))
+    try:
+        yield
+    finally:
+        for n, value in zip(names, before, strict=True):
+            spark.conf.set(n, value)
 
 
 def _drift() -> Column:
@@ -191,10 +235,23 @@ def _joined_key() -> Column:
 
 
 def _again(rows: DataFrame, broken: DataFrame, n: int, how: str) -> DataFrame:
-    """Rows whose key (GROUP but the space) is broken; few broken keys travel, many are joined by a shuffle."""
-    keys = GROUP[1:]
-    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(broken[c]) for c in keys])
-    return rows.join(F.broadcast(broken) if n <= BROADCAST_KEYS else broken, same, how)
+    """Rows whose key (GROUP but the space) is broken; few broken keys travel, for many their bitmaps do, and the rows
+    these let through are joined by a shuffle."""
+    few = n <= BROADCAST_KEYS
+    rows = rows if few else _maybe(rows, broken)
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(broken[c]) for c in GROUP[1:]])
+    return rows.join(F.broadcast(broken) if few else broken, same, how)
+
+
+def _maybe(rows: DataFrame, broken: DataFrame) -> DataFrame:
+    """All rows whose key is broken, and of the others about one in ``MAYBE_BITS`` / broken keys."""
+    bit = F.pmod(F.xxhash64(*GROUP[1:]), F.lit(MAYBE_BITS))
+    bucket, at = F.floor(bit / BITMAP_BITS).alias("_bucket"), bit % BITMAP_BITS
+    maps = broken.select(bucket, at.alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    byte = F.conv(F.hex(F.substring("_map", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # MAYBE_BITS / BITMAP_BITS rows at most
+    return (rows.select("*", bucket, at.alias("_bit")).join(F.broadcast(maps), "_bucket")
+            .where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*[rows[c] for c in rows.columns]))
 
 
 def violations(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:

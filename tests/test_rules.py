@@ -64,6 +64,32 @@ def test_many_broken_keys_and_repeats_give_the_same(tables, monkeypatch):
     assert _rows(R.violations(tables, RULES)) == EXPECTED
 
 
+def test_bitmaps_let_through_what_is_broken_and_little_else(spark):
+    rows = spark.range(3000).selectExpr("concat('e', id) as _child", "concat('k', id) as k1", "if(id % 2 = 0, 'EUR', null) as k2",
+                                        "cast(null as string) as k3", "if(id % 3 = 0, timestamp'1998-01-01', null) as at")
+    broken = rows.where("_child like 'e1%'").drop("_child")
+    found = {r[0] for r in R._maybe(rows, broken).select("_child").collect()}
+    wanted = {f"e{i}" for i in range(3000) if str(i)[0] == "1"}
+    assert wanted <= found and len(found) < len(wanted) + 10
+    assert {r[0] for r in R._again(rows, broken, R.BROADCAST_KEYS + 1, "left_semi").select("_child").collect()} == wanted
+
+
+def test_tasks_stay_small_as_legs_grow(spark, tables, monkeypatch):
+    """Files are read in splits, and groups meet in as many partitions as the legs ask for."""
+    DataFrame = type(tables["entries"])
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"]
+    before, seen, kept = [spark.conf.get(n) for n in names], [], DataFrame.checkpoint
+
+    def checkpoint(df, **how):
+        seen.append([int(spark.conf.get(n)) for n in names])
+        return kept(df, **how)
+    monkeypatch.setattr(DataFrame, "checkpoint", checkpoint)
+    monkeypatch.setattr(R, "SUM_LEGS", 0.1)
+    assert _rows(R.violations(tables, RULES)) == EXPECTED
+    assert seen == [[R.SPLIT_BYTES, R.SUM_BYTES, 80]]
+    assert [spark.conf.get(n) for n in names] == before
+
+
 def test_extra_columns_do_not_clash(spark, tables):
     more = {n: df.selectExpr("*", *[f"'x' as {c}" for c in ("space", "k1", "own", "t", "_child", "_cached") if c not in df.columns])
             for n, df in tables.items()}
