@@ -360,28 +360,27 @@ def rollup_batches(base: str, grace_days: int = K.LATE_GRACE_DAYS) -> Callable[[
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            _overwrite(batch.withColumn("batch_id", F.lit(batch_id)), f"{base}/ledger", ["posting_month", "batch_id"])
-            frontier = None
-            if path_exists(spark, f"{base}/frontier"):  # before the first batch there is none
-                frontier = (spark.read.parquet(f"{base}/frontier").filter(F.col("batch_id") < batch_id)
-                            .agg(F.max("max_created_at")).first()[0])
-            if frontier is not None:
-                closes = F.add_months(F.to_date(F.concat(F.col("posting_month"), F.lit("-01"))), 1)
-                late = batch.filter(F.date_add(closes, grace_days).cast("timestamp") <= F.lit(frontier))
-                _overwrite(late.withColumn("batch_id", F.lit(batch_id)), f"{base}/late", ["batch_id"])
-            months = [r[0] for r in batch.select("posting_month").distinct().collect()]
-            ledger = spark.read.parquet(f"{base}/ledger").filter(F.col("posting_month").isin(months))
-            rollup = (ledger.filter(F.col("status") == "SETTLED")
-                      .groupBy(F.col("posting_month").alias("month"), "wallet_id", "currency")
-                      .agg(F.sum("amount").cast(MONEY_SUM).alias("settled_total"),
-                           F.count(F.lit(1)).alias("entry_count")))
-            _overwrite(rollup, f"{base}/rollup", ["month"])
-            mark = batch.agg(F.max("created_at").alias("max_created_at")).withColumn("batch_id", F.lit(batch_id))
-            _overwrite(mark, f"{base}/frontier", ["batch_id"])
-        finally:
-            batch.unpersist()
+        _overwrite(batch.withColumn("batch_id", F.lit(batch_id)), f"{base}/ledger", ["posting_month", "batch_id"])
+        # the batch as it was landed, by month: nothing of it is kept in memory, and closed months are whole folders
+        schema = batch.withColumn("batch_id", F.lit(batch_id)).schema
+        ledger = spark.read.schema(schema).parquet(f"{base}/ledger")
+        landed = ledger.filter(F.col("batch_id") == batch_id)
+        frontier = None
+        if path_exists(spark, f"{base}/frontier"):  # before the first batch there is none
+            frontier = (spark.read.parquet(f"{base}/frontier").filter(F.col("batch_id") < batch_id)
+                        .agg(F.max("max_created_at")).first()[0])
+        months = [r[0] for r in landed.select("posting_month").distinct().collect()]      # the names of its folders
+        if frontier is not None:
+            closes = F.add_months(F.to_date(F.concat(F.col("posting_month"), F.lit("-01"))), 1)
+            late = landed.filter(F.date_add(closes, grace_days).cast("timestamp") <= F.lit(frontier))
+            _overwrite(late.select(*batch.columns, "batch_id"), f"{base}/late", ["batch_id"])
+        rollup = (ledger.filter(F.col("posting_month").isin(months) & (F.col("status") == "SETTLED"))
+                  .groupBy(F.col("posting_month").alias("month"), "wallet_id", "currency")
+                  .agg(F.sum("amount").cast(MONEY_SUM).alias("settled_total"),
+                       F.count(F.lit(1)).alias("entry_count")))
+        _overwrite(rollup, f"{base}/rollup", ["month"])
+        mark = landed.agg(F.max("created_at").alias("max_created_at")).withColumn("batch_id", F.lit(batch_id))
+        _overwrite(mark, f"{base}/frontier", ["batch_id"])
     return fn
 
 

@@ -48,6 +48,23 @@ def test_rollup_batch_replay_and_late_side_output(spark):
     assert roll.agg(F.sum("settled_total")).first()[0] == settled.agg(F.sum("amount")).first()[0]
 
 
+def test_batch_is_read_once_and_not_kept(spark, monkeypatch):
+    """Late legs, months and the frontier come from the folders that the batch was landed in."""
+    legs = Ledger.legs_of(Ledger(spark, SF_SMALL).movements, ("status",)).withColumn("arrival", F.lit(0)).drop("leg")
+    base, read, write = scratch_path(spark, "read-once"), {}, S._overwrite
+
+    def overwrite(df, path, by):
+        read[path.rsplit("/", 1)[1]] = df.inputFiles()
+        write(df, path, by)
+    monkeypatch.setattr(S, "_overwrite", overwrite)
+    monkeypatch.setattr(type(legs), "persist", lambda *_: 1 / 0)
+    fn = S.rollup_batches(base)
+    fn(legs.filter(F.col("posting_month") >= "1999-01"), 0)
+    fn(legs.filter(F.col("posting_month") < "1999-01"), 1)
+    assert all("/ledger/posting_month=" in f for name in ("late", "rollup", "frontier") for f in read[name])
+    assert read["late"] and spark.read.parquet(f"{base}/late").columns == [*legs.columns, "batch_id"]
+
+
 def test_stream_restart_resumes_from_checkpoint(spark):
     L = Ledger(spark, SF_SMALL)
     land = scratch_path(spark, "restart-landing")
