@@ -36,8 +36,9 @@ MAX_LEN = 4096
 END_ID = 1
 #: Pieces numbered by one window, and ranks of one length joined to the runs by one key.
 BUCKET_ROWS = 50_000
-#: Distinct words of a generation; a Python worker keeps the ids of two (about 200 bytes a word).
-KEPT_WORDS = 400_000
+#: Distinct words of a generation; a Python worker keeps the ids of two (about 200 bytes a word), also when other stages
+#: use it again.
+KEPT_WORDS = 100_000
 
 # The normaliser and splitter that ``_text_ids`` knows by its own rules, as tokenizer files state them.
 NORMALIZER = {"type": "Sequence", "normalizers": [

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.staging import stage, table, text_batches
-from tally.llm.textcols import SMALL_SLICE, codepoints, letters, text_slices
+from tally.llm.textcols import codepoints, letters, text_slices
 
 ORDER = 4
 BITS = 6
@@ -62,8 +62,10 @@ WHOLE = Alphabet(21, 0x110000)
 PRIOR = 200
 QUANTILE = 0.995
 BATCH_BYTES = 16 << 20
+#: Bytes of texts whose n-grams are made at once, a dozen 8-byte values a character.
+GRAM_SLICE = 256 << 10
 #: Bytes of rows that a task holds before it deals them to their batches, and of blocks that it hands on at once.
-DEAL_BYTES = 32 << 20
+DEAL_BYTES = 16 << 20
 SEND_BYTES = 1 << 20
 #: Trusted ids sent to every task up to this number (16 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -195,7 +197,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[tuple, list] = {}
     for batch in batches:
         parts, langs = batch.column("part").to_numpy(zero_copy_only=False), batch.column("lang").to_pylist()
-        for a, z, raw, offsets in text_slices(batch.column("text"), SMALL_SLICE):
+        for a, z, raw, offsets in text_slices(batch.column("text"), GRAM_SLICE):
             text, code, whole = _symbol_grams(raw, offsets)
             keys = list(zip(parts[a:z].tolist(), langs[a:z], strict=True))
             number = {k: i for i, k in enumerate(dict.fromkeys(keys))}
@@ -289,43 +291,50 @@ def log_probabilities(asked: DataFrame, counts: DataFrame, alphabet: Alphabet =
     return out.select(*key, F.log("p").alias("logp"))
 
 
-def _looked_up(asked: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The value of each (high, gram) of ``asked``; all are among ``known``."""
+def _lookup(known: np.ndarray, values: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """What gives each (high, gram) its value; all that are asked are among ``known``."""
     highs, grams = np.unique(known[0]), np.unique(known[1])
 
     def number(of):
         return np.searchsorted(grams, of[1]) * len(highs) + np.searchsorted(highs, of[0])
     ids = number(known)
     order = np.argsort(ids)
-    return values[order][np.searchsorted(ids[order], number(asked))]
+    ids, values = ids[order], values[order]
+    return lambda asked: values[np.searchsorted(ids, number(asked))]
 
 
 def _scored(dealt: pa.Table, answers: pa.Table) -> pa.Table:
-    """Characters and summed negative log probability of each text of a batch."""
-    texts = pa.concat_tables([_opened(b) for chunk in dealt.column("block").chunks for b in chunk]).combine_chunks()
+    """Characters and summed negative log probability of each text of a batch; one block of texts is open at a time."""
     answers = answers.combine_chunks()
-    langs = np.array([x or "" for x in texts.column("lang").to_pylist()], dtype=object)
-    ids, keys, column = texts.column("doc_id"), texts.column("text_key"), texts.column("text")
     asked = np.array(answers.column("lang").to_pylist(), dtype=object)
     gram = np.stack([answers.column(c).to_numpy().astype(np.uint64) for c in ("high", "gram")])
     logp = answers.column("logp").to_numpy()
+    found = {lang: _lookup(gram[:, own], logp[own]) for lang in dict.fromkeys(asked.tolist()) for own in [asked == lang]}
     out = []
-    for lang in dict.fromkeys(langs.tolist()):
-        own = asked == lang
-        known, value = gram[:, own], logp[own]
-        rows = np.flatnonzero(langs == lang)
-        some = column.take(pa.array(rows))
-        n, sums = np.zeros(len(rows), np.int64), np.zeros(len(rows))
-        for a, z, raw, offsets in text_slices(some, SMALL_SLICE):
-            text, code, whole = _symbol_grams(raw, offsets)
-            kinds, at = np.unique(code, return_inverse=True)
-            n[a:z] = np.bincount(text, minlength=z - a)
-            sums[a:z] = -np.bincount(text, _looked_up(whole(kinds), known, value)[at], minlength=z - a)
-        out.append(pa.table({"doc_id": ids.take(pa.array(rows)), "text_key": keys.take(pa.array(rows)), "lang": pa.array([lang] * len(rows), pa.string()),
-                             "n_chars": pa.array(n), "nll": pa.array(sums)}))
+    for chunk in dealt.column("block").chunks:
+        for block in chunk:
+            texts = _opened(block).combine_chunks()
+            langs = np.array([x or "" for x in texts.column("lang").to_pylist()], dtype=object)
+            for lang in dict.fromkeys(langs.tolist()):
+                rows = pa.array(np.flatnonzero(langs == lang))
+                n, sums = _sums(texts.column("text").take(rows), found.get(lang))
+                out.append(pa.table({"doc_id": texts.column("doc_id").take(rows), "text_key": texts.column("text_key").take(rows),
+                                     "lang": pa.array([lang] * len(rows), pa.string()), "n_chars": pa.array(n), "nll": pa.array(sums)}))
     return pa.concat_tables(out).combine_chunks()
 
 
+def _sums(column: pa.ChunkedArray, value: Callable | None) -> tuple[np.ndarray, np.ndarray]:
+    n, sums = np.zeros(len(column), np.int64), np.zeros(len(column))
+    for a, z, raw, offsets in text_slices(column, GRAM_SLICE):
+        text, code, whole = _symbol_grams(raw, offsets)
+        if not len(code):
+            continue
+        kinds, at = np.unique(code, return_inverse=True)
+        n[a:z] = np.bincount(text, minlength=z - a)
+        sums[a:z] = -np.bincount(text, value(whole(kinds))[at], minlength=z - a)
+    return n, sums
+
+
 def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  lang_col: str = "lang", quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity, threshold, trusted, rejected, text_key) of every row; ``trusted``: ids in

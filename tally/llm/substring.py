@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.llm.staging import shuffle_width
-from tally.llm.textcols import ranges, text_slices, window_hashes, word_hashes, words
+from tally.llm.textcols import SMALL_SLICE, ranges, text_slices, window_hashes, word_hashes, words
 
 WIDTH = 13
 GRAM = 3
@@ -65,7 +65,7 @@ def _windows(hashes: np.ndarray, row: np.ndarray, width: int, gram: int):
 def _anchors(batches: Iterator[pa.RecordBatch], width: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for a, z, raw, offsets in text_slices(batch.column(1)):
+        for a, z, raw, offsets in text_slices(batch.column(1), SMALL_SLICE):
             s, e, upto = words(raw, offsets)
             row = np.repeat(np.arange(z - a), np.diff(upto))
             own, _, _, anchor = _windows(word_hashes(raw, s, e), row, width, gram)
@@ -83,7 +83,7 @@ def _shared_windows(batches: Iterator[pa.RecordBatch], width: int, gram: int) ->
         batch = batch.filter(batch.column(0).is_valid())
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         lists = batch.column(2)
-        for a, z, raw, offsets in text_slices(batch.column(1)):
+        for a, z, raw, offsets in text_slices(batch.column(1), SMALL_SLICE):
             s, e, upto = words(raw, offsets)
             row = np.repeat(np.arange(z - a), np.diff(upto))
             own, hashes, _, anchor = _windows(word_hashes(raw, s, e), row, width, gram)
@@ -153,7 +153,7 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int, verbatim: bool) -> Itera
     for batch in batches:
         schema = pa.schema(fields + [(n, c.type) for n, c in zip(batch.schema.names[3:], batch.columns[3:], strict=True)])
         lists = batch.column(2)
-        for a, z, raw, offsets in text_slices(batch.column(1)):
+        for a, z, raw, offsets in text_slices(batch.column(1), SMALL_SLICE):
             s, e, upto = words(raw, offsets)
             row = np.repeat(np.arange(z - a), np.diff(upto))
             n = len(s)
