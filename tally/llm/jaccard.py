@@ -21,9 +21,13 @@ families, so a group of near copies costs a row per set and signature and not it
 square.  Then a signature of up to ``BUCKET`` families gives their pairs, and a
 pair stays if it shares as many signatures as the least demanding members ask;
 sets that share one passage share one or two and go.  A signature of more
-families ties each of them to the smallest (a star, not all pairs), and lowers
-the bound of its families' other pairs by one.  The components of the ties are
-the candidate groups.  The
+families (a crowd) is not counted and lowers the bound of its families' other
+pairs by one.  A pair that shares crowds only can be linked only if both
+families are in as many crowds as they must share signatures, so crowds are
+looked at again with those families alone: one of up to ``BUCKET`` gives its
+pairs, and in a larger one each family that is still in as many is tied to the
+smallest (a star, not all pairs).  So a passage of very many texts makes no
+group of them.  The components of the ties are the candidate groups.  The
 shingles of the texts in a group are then fetched and all pairs of a group are
 compared by exact intersection counts, in blocks: a group of more than ``CHUNK``
 shingles or ``SETS`` sets is split into chunks and each pair of chunks is a
@@ -39,7 +43,8 @@ columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations, combinations_with_replacement, product
 from math import exp
 
@@ -48,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.staging import shuffle_width, stage, table, text_batches
+from tally.llm.staging import passing, shuffle_width, stage, table, text_batches
 from tally.llm.textcols import LOWER, SMALL_SLICE, mix, text_slices, window_hashes, word_hashes, words
 from tally.operators.graph import connected_components
 
@@ -58,6 +63,10 @@ PARTS = 8
 FULL_ENUMERATION = 4
 #: Sets of a signature whose pairs are counted.
 BUCKET = 64
+#: Shares of the signatures, shuffled one after another: on disk is one share at a time, and each signs the texts anew.
+SHARES = 2
+#: Keys of candidate texts sent to every task up to this number; beyond it all texts are shuffled.
+BROADCAST_KEYS = 2_000_000
 #: A signature row's tag: band group times this, plus the number of signatures that a linked set must share.
 TAG = 64
 #: Shingles of a group that one block holds from each side.
@@ -207,8 +216,9 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
                                              names=["doc_id", "text_key", "n", "node"])
 
 
-def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """(signature, node, tag): equal sets of a task sign once."""
+def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int, share: int = 0, shares: int = 1
+            ) -> Iterator[pa.RecordBatch]:
+    """(signature, node, tag), for one of so many shares of the signatures: equal sets of a task sign once."""
     known: set[int] = set()
     for batch in batches:
         for a, z, raw, offsets in text_slices(batch.column(0), SMALL_SLICE, rows=4096):
@@ -221,6 +231,9 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
                     one[k] = True
             keep = one[row]
             r, sig, tag = signatures(row[keep], value[keep], z - a, percent)
+            if shares > 1:
+                own = np.flatnonzero(sig % np.uint64(shares) == share)
+                r, sig, tag = r[own], sig[own], tag[own]
             for at in range(0, len(r), 50_000):
                 some = slice(at, at + 50_000)
                 yield pa.RecordBatch.from_arrays(
@@ -333,16 +346,25 @@ def _verified(block: pa.Table, percent: int) -> pa.Table:
     return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
 
-def _ties(signed: DataFrame) -> DataFrame:
-    """(src, dst) from (signature, node, tag): ties whose components hold every two nodes that may be linked.
+def _ties(*signed: DataFrame) -> DataFrame:
+    """(src, dst) from (signature, node, tag), in shares with signatures of their own: ties whose components hold every two
+    nodes that may be linked.
 
     What a signature gathers is only ever combined map-side, or joined from a stored table straight into another one,
     where AQE splits a signature of very many rows.
     """
-    repeated = stage(signed.groupBy("signature").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-                     .where("first != last").drop("last"), "repeated")
-    met = stage(signed.join(repeated.hint("merge"), "signature"), "met")
-    shared = stage(met.groupBy("signature", "node").agg(F.min("tag").alias("tag"), F.min("first").alias("first")), "shared")
+    with passing(signed[0].sparkSession) as here:
+        return stage(_tied(signed, here), "ties")
+
+
+def _tied(signed: tuple[DataFrame, ...], stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    met = []
+    for share in signed:
+        repeated = stage(share.groupBy("signature").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+                         .where("first != last").drop("last"), "repeated")
+        met.append(stage(share.join(repeated.hint("merge"), "signature"), "met"))
+    shared = stage(reduce(DataFrame.unionByName, met).groupBy("signature", "node")
+                   .agg(F.min("tag").alias("tag"), F.min("first").alias("first")), "shared")
 
     # near copies: a node that shares enough signatures with their smallest node is of its family
     near = stage(shared.where("node != first").groupBy("node", "first", F.floor(F.col("tag") / TAG).alias("group"))
@@ -357,19 +379,39 @@ def _ties(signed: DataFrame) -> DataFrame:
     several = stage(cells.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), F.min("family").alias("first"))
                     .where("n > 1"), "several")
     cells = stage(cells.join(several.hint("merge"), "signature"), "families")
-    sets = (cells.where(F.col("n") <= BUCKET).groupBy("signature")
+    counted, crowd = cells.where(F.col("n") <= BUCKET), cells.where(F.col("n") > BUCKET)
+    group = F.floor(F.col("tag") / TAG).alias("group")
+    of = ["family", "group"]
+    rest = stage(crowd.groupBy("family", group).agg(F.count(F.lit(1)).alias("more"), F.min(F.col("tag") % TAG).alias("least")),
+                 "rest")
+    # a pair may share crowds only, if both families are in as many as their least demanding member must share
+    able = rest.where("more >= least")
+    again = stage(crowd.select("signature", "family", "tag", group).join(able.select(*of), of), "able")
+    several = stage(again.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), F.min("family").alias("first"))
+                    .where("n > 1"), "several")
+    again = stage(again.join(several.hint("merge"), "signature"), "crowds")
+    left = again.where(F.col("n") > BUCKET).groupBy(*of).agg(F.count(F.lit(1)).alias("left"))
+    able = stage(able.join(left, of, "left").select(*of, "least", F.coalesce("left", F.lit(0)).alias("left")), "left")
+
+    counted = (counted.select("signature", "family", "tag")
+               .union(again.where(F.col("n") <= BUCKET).select("signature", "family", "tag")))
+    sets = (counted.groupBy("signature")
             .agg(F.sort_array(F.collect_list(F.struct("family", "tag"))).alias("m")))  # at most BUCKET
     pairs = (sets.select("m", F.posexplode("m").alias("i", "a"))
              .select("a", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("b"))
              .groupBy(F.col("a.family").alias("src"), F.col("b.family").alias("dst"),
                       F.floor(F.col("a.tag") / TAG).alias("group"))
              .agg(F.count(F.lit(1)).alias("times"), F.min(F.greatest(F.col("a.tag") % TAG, F.col("b.tag") % TAG)).alias("need")))
-    crowd = cells.where(F.col("n") > BUCKET)
-    rest = crowd.groupBy("family", F.floor(F.col("tag") / TAG).alias("group")).agg(F.count(F.lit(1)).alias("uncounted"))
+    rest = rest.join(able.select(*of, "left"), of, "left").select(*of, "more", "left")
     for end in ("src", "dst"):
-        pairs = pairs.join(rest.withColumnsRenamed({"family": end, "uncounted": f"{end}_more"}), [end, "group"], "left")
-    more = F.least(F.coalesce("src_more", F.lit(0)), F.coalesce("dst_more", F.lit(0)))
-    stars = crowd.where("family != first").select(F.col("family").alias("src"), F.col("first").alias("dst"))
+        pairs = pairs.join(rest.withColumnsRenamed({c: end if c == "family" else f"{end}_{c}" for c in ("family", "more", "left")}),
+                           [end, "group"], "left")
+    # of two families that are able, all crowds but those left are counted
+    more = F.when(F.col("src_left").isNotNull() & F.col("dst_left").isNotNull(), F.least("src_left", "dst_left")
+                  ).otherwise(F.least(F.coalesce("src_more", F.lit(0)), F.coalesce("dst_more", F.lit(0))))
+    stars = (again.where((F.col("n") > BUCKET) & (F.col("family") != F.col("first")))
+             .join(able.where("left >= least").select(*of), of, "left_semi")
+             .select(F.col("family").alias("src"), F.col("first").alias("dst")))
     return (pairs.where(F.col("times") + more >= F.col("need")).select("src", "dst").union(stars).distinct()
             .union(near))
 
@@ -384,8 +426,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with text_batches(spark):
         sets = stage(texts.mapInArrow(lambda it: _sets(it, width), "doc_id long, text_key long, n long, node long"), "sets")
 
-        signed = texts.select("text").mapInArrow(lambda it: _signed(it, width, percent), "signature long, node long, tag int")
-        ties = stage(_ties(signed), "ties")
+        signed = [texts.select("text").mapInArrow(lambda it, own=share: _signed(it, width, percent, own, SHARES),
+                                                  "signature long, node long, tag int") for share in range(SHARES)]
+        ties = _ties(*signed)
         nodes = ties.select(F.col("src").alias("id")).union(ties.select(F.col("dst").alias("id"))).distinct()
         groups = connected_components(nodes, ties).select(F.col("id").alias("node"), F.col("component").alias("group"))
 
@@ -394,8 +437,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         shares = wanted.groupBy("group").agg(
             F.greatest(F.ceil(F.sum("n") / chunk), F.ceil(F.count(F.lit(1)) / SETS)).alias("n_chunks"))
         wanted = stage(wanted.join(shares, "group").select("text_key", "node", "group", "n_chunks", "n"), "wanted")
-        total = wanted.agg(F.sum(F.col("n") * F.col("n_chunks"))).first()[0] or 0
-        blocks = max(shuffle_width(spark), total // chunk + 1)
+        total, found = wanted.agg(F.sum(F.col("n") * F.col("n_chunks")), F.count(F.lit(1))).first()
+        blocks = max(shuffle_width(spark), (total or 0) // chunk + 1)
+        if found <= BROADCAST_KEYS:  # others stay where they are
+            texts = texts.join(F.broadcast(wanted.select("text_key")), "text_key", "left_semi")
         # one plan at every size: a few groups would else be broadcast and the texts stay where they are
         fetched = (texts.select("text_key", "text").join(wanted.drop("n").hint("merge"), "text_key")
                    .dropDuplicates(["text_key"])  # of copies one; where the join has put them

@@ -96,6 +96,51 @@ def test_ties_of_near_copies_grow_with_their_number(spark, monkeypatch):
     assert brute.ordered(found.select("doc_id", "n_shingles", "component_id").collect()) == brute.jaccard(rows, 3, 90)
 
 
+def test_crowds_lose_no_link(spark, monkeypatch):
+    from tally.llm import jaccard
+    monkeypatch.setattr(jaccard, "BUCKET", 2)
+    rows = data.near_copies(seed=6)
+    found = jaccard_components(_texts(spark, rows), width=2, percent=80)
+    assert brute.ordered(found.select("doc_id", "n_shingles", "component_id").collect()) == brute.jaccard(rows, 2, 80)
+
+
+def test_a_passage_of_many_texts_makes_no_group(spark, monkeypatch):
+    """Signatures of more families than are counted tie only those that could be linked by them alone."""
+    from tally.llm import jaccard
+    monkeypatch.setattr(jaccard, "BUCKET", 4)
+    passage = [f"p{k}" for k in range(100)]
+    rows = [(i, " ".join([f"w{i}_{k}" for k in range(230)] + passage)) for i in range(120)]
+    rows += [(200 + i, rows[i][1].replace(f"w{i}_7 ", "x ")) for i in range(9)]
+    found = jaccard_components(_texts(spark, rows), width=5, percent=80)
+    assert brute.ordered(found.select("doc_id", "n_shingles", "component_id").collect()) == brute.jaccard(rows, 5, 80)
+    signed = [_texts(spark, rows).select("text").mapInArrow(
+        lambda it, own=share: jaccard._signed(it, 5, 80, own, 3), "signature long, node long, tag int") for share in range(3)]
+    assert 9 <= jaccard._ties(*signed).count() < 40
+
+
+def test_stored_tables_leave_nothing_shuffled(spark):
+    """What a stored step has shuffled goes with its write, without the driver's garbage collection."""
+    import time
+    from pathlib import Path
+
+    from tally.llm.staging import passing, stage
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {p for d in folders for p in Path(d).rglob("shuffle_*.data")}
+    df = spark.range(200_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    before = shuffled()
+    kept = stage(df, "kept")
+    with passing(spark) as here:
+        gone = here(kept.where("k < 10").groupBy("k").agg(F.sum("n").alias("n")), "gone")
+        (path,) = {Path(f.removeprefix("file://")).parent for f in gone.inputFiles()}
+        assert len(gone.collect()) == 10 and path.exists()
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left and not path.exists()
+    assert kept.agg(F.sum("n")).first()[0] == 200_000
+
+
 def test_jaccard_on_documents(spark):
     rows = [tuple(r) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
     assert brute.ordered(op2_ngram_jaccard_join(spark, SF_SMALL).collect()) == brute.jaccard(rows, 3, 90)
