@@ -16,6 +16,10 @@ corpus, so the count has two steps, both over all windows:
     goes another way: its windows are aggregated to the smallest document per
     window (combined before the shuffle) and joined back, which Spark can split.
 
+The lists of shared anchors and the repeated windows are stored, the latter in
+``SHARES`` shares of the anchors one after another, so that what finds them is
+gone from disk when the texts are cut.
+
 Nulls and edge cases: null text is empty; a text of fewer than ``width`` words
 has no window; a null id is no number, so its row loses nothing and takes
 nothing from others; rows that share an id are not smaller than each other and
@@ -26,6 +30,7 @@ named columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +39,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.staging import shuffle_width
+from tally.llm.staging import passing, shuffle_width, stage, text_batches
 from tally.llm.textcols import SMALL_SLICE, ranges, text_slices, window_hashes, word_hashes, words
 
 WIDTH = 13
 GRAM = 3
 HOT_DOCS = 5_000
+#: Shares of the anchors whose windows are shuffled one after another; each deals the texts anew.
+SHARES = 2
 
 RESULT = ("doc_id long, n_words long, n_removed long, "
           "spans array<struct<start:long,end:long>>, kept_text string")
@@ -215,8 +222,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     carried = [F.col(c).alias(f"carried_{k}") for k, c in enumerate(carry)]
     own = F.col(id_col).cast("long")
-    # joins go by ``place`` (spread where there is no id) and over all of these columns: so they shuffle one and the same
-    # frame, which Spark does once
+    # joins go by ``place``, spread where there is no id
     texts = docs.select(own.alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                         F.coalesce(own, F.xxhash64(F.col(text_col).cast("string"))).alias("place"), *carried)
     others = texts.columns[3:]
@@ -225,21 +231,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = (anchors.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("anchor")))
               .where("n > 1").withColumn("hot", F.col("n") > hot_docs))
 
-    def found(which: DataFrame) -> DataFrame:
-        lists = which.groupBy("place").agg(F.collect_list("anchor").alias("anchors"))
-        return (texts.join(lists, "place").select("doc_id", "text", "anchors", *others)
-                .mapInArrow(lambda it: _shared_windows(it, width, gram), "anchor long, doc_id long, hashes binary"))
-
     shards = 8 * shuffle_width(spark)
-    cold = (found(shared.where("not hot")).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-            .groupBy("shard").applyInArrow(_repeated_in_shard, "doc_id long, hashes binary"))
-    each = found(shared.where("hot")).select(
-        "doc_id", F.explode(F.transform(F.sequence(F.lit(0), (F.length("hashes") / 8).cast("int") - 1),
-                                        lambda i: F.substring("hashes", i * 8 + 1, F.lit(8)))).alias("hashes"))
-    lowest = each.groupBy("hashes").agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"))
-    hot = (each.join(lowest.where("lowest < highest"), "hashes").where("doc_id > lowest")
-           .select("doc_id", "hashes"))
-    repeated = (cold.unionByName(hot).groupBy(F.col("doc_id").alias("place"))
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
+    cold = [F.when(~F.col("hot") & (F.pmod(shard, F.lit(SHARES)) == k), F.col("anchor")) for k in range(SHARES)]
+    hot = F.when(F.col("hot"), F.col("anchor"))
+    with passing(spark) as here, text_batches(spark):
+        lists = here(shared.groupBy("place").agg(*[F.collect_list(c).alias(f"cold_{k}") for k, c in enumerate(cold)],
+                                                 F.collect_list(hot).alias("hot")), "anchors")
+
+        def found(which: str) -> DataFrame:
+            own = lists.where(F.size(which) > 0).select("place", F.col(which).alias("anchors"))
+            return (texts.select("doc_id", "text", "place").join(own, "place").select("doc_id", "text", "anchors")
+                    .mapInArrow(lambda it: _shared_windows(it, width, gram), "anchor long, doc_id long, hashes binary"))
+
+        again = [stage(found(f"cold_{k}").withColumn("shard", shard).groupBy("shard")
+                       .applyInArrow(_repeated_in_shard, "doc_id long, hashes binary"), "repeated") for k in range(SHARES)]
+        if not lists.where(F.size("hot") > 0).isEmpty():
+            each = here(found("hot").select(
+                "doc_id", F.explode(F.transform(F.sequence(F.lit(0), (F.length("hashes") / 8).cast("int") - 1),
+                                                lambda i: F.substring("hashes", i * 8 + 1, F.lit(8)))).alias("hashes")), "each")
+            lowest = each.groupBy("hashes").agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest"))
+            again.append(stage(each.join(lowest.where("lowest < highest"), "hashes").where("doc_id > lowest")
+                               .select("doc_id", "hashes"), "repeated"))
+    repeated = (reduce(DataFrame.unionByName, again).groupBy(F.col("doc_id").alias("place"))
                 .agg(F.collect_list("hashes").alias("hashes")))
     schema = RESULT + "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[3:])
     return (texts.join(repeated, "place", "left").select("doc_id", "text", "hashes", *others)

@@ -56,6 +56,13 @@ def test_windows(spark, hot):
         assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"]
 
 
+def test_cut_texts_shuffle_only_what_they_need(spark):
+    """What finds the repeated windows is stored and gone when the texts are cut."""
+    found = remove_repeats(_texts(spark, data.words_sharing()), hot_docs=1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("MapInArrow") == 1 and plan.count("Join") == 1
+
+
 def test_windows_on_documents(spark):
     rows = [tuple(r) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
     assert brute.ordered(op5_substring_dedup(spark, SF_SMALL).collect()) == brute.repeated_words(rows, 13)
